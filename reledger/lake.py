@@ -188,19 +188,20 @@ class Lake:
 
     # --- definitions -------------------------------------------------------------------
 
-    def ensure_tables(self) -> None:
+    def ensure_tables(self, *, attach: bool = True) -> None:
         """Create what is missing; a second call changes nothing.
 
         A table met for the first time by this catalog may already have files, whose
-        partitions are then listed once.
+        partitions are then listed once. `attach=False` says that there are none.
         """
         for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}")
         for table in TABLES:
             if not self.spark.catalog.tableExists(self.name(table)):
                 self._create(table)
-                self._write_nothing(table, "append")  # a location to list must exist
-                self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
+                if attach:
+                    self._write_nothing(table, "append")  # a location to list must exist
+                    self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.metrics_view} AS "
             + metrics_select_sql(self.name(GOLD), [*dict(GOLD.columns)])
@@ -254,53 +255,60 @@ class Lake:
     ) -> int:
         """Make `rows` the whole content of the partitions in `scope`; return their number.
 
-        Partitions outside the scope are left alone. The write stages its files and swaps
+        The partitions in scope differ by month only; others are left alone. The write stages its files and swaps
         them in when it commits, so a job that fails leaves the old state. Partitions of
-        the scope that receive no row are cleared after the commit; which ones they are is
-        counted by the write itself, so that no second scan is needed.
+        the scope that receive no row are dropped after the commit. Which months were written
+        is noted in one bitmap by the write itself, so that no second scan is needed.
 
         `rebalance` gathers each partition into files of the advisory size, splitting a hot
-        partition over several tasks. Leave it off where the input is already laid out well.
+        partition over several tasks. Leave it off where the input is already laid out well;
+        rows that arrive in the order of the files are not sorted again either.
         """
-        existing = list(scope)
         counted = Observation()
-        counts = [F.count(F.lit(1)).alias("rows")] + [
-            F.count_if(_matches(table, spec)).alias(f"part_{position}")
-            for position, spec in enumerate(existing)
-        ]
         placed = rows.select(*table.column_order)
         if rebalance:
             placed = placed.hint("rebalance", *table.partitions)
         (
-            placed.observe(counted, *counts)
+            placed.observe(
+                counted,
+                F.count(F.lit(1)).alias("rows"),
+                F.bitmap_construct_agg(F.bitmap_bit_position(REPORT_MONTH)).alias("months"),
+            )
             .sortWithinPartitions(*table.partitions, *table.clustering)
             .write.insertInto(self.name(table), overwrite=True)
         )
-        for position, spec in enumerate(existing):
-            if counted.get[f"part_{position}"] == 0:
-                self.drop_partition(table, spec)
-        return counted.get["rows"]
+        written = counted.get
+        self.drop_partitions(
+            table,
+            [
+                spec
+                for spec in scope
+                if not _has_bit(written["months"], int(spec[REPORT_MONTH]))
+            ],
+        )
+        return written["rows"]
 
     def append(self, table: Table, rows: DataFrame) -> None:
         """Add rows to a table, matched by column name."""
         rows.select(*table.column_order).write.insertInto(self.name(table), overwrite=False)
 
-    def drop_partition(self, table: Table, spec: PartitionSpec) -> None:
-        """Remove one partition, files included, which DROP alone does not do for a
-        table that has its own location."""
-        literals = _literals(table, spec)
+    def drop_partitions(self, table: Table, specs: Iterable[PartitionSpec]) -> None:
+        """Remove partitions, files included, which DROP alone does not do for a table
+        that has its own location: each is overwritten with nothing first."""
         nothing = ", ".join(
             f"CAST(NULL AS {ddl_type})"
             for name, ddl_type in table.columns
             if name not in table.partitions
         )
-        self.spark.sql(
-            f"INSERT OVERWRITE {self.name(table)} PARTITION ({literals}) "
-            f"SELECT {nothing} WHERE false"
-        )
-        self.spark.sql(
-            f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({literals})"
-        )
+        literals = [_literals(table, spec) for spec in specs]
+        for spec in literals:
+            self.spark.sql(
+                f"INSERT OVERWRITE {self.name(table)} PARTITION ({spec}) "
+                f"SELECT {nothing} WHERE false"
+            )
+        if literals:
+            dropped = ", ".join(f"PARTITION ({spec})" for spec in literals)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {dropped}")
 
     def truncate(self, table: Table) -> None:
         """Empty a table and forget its partitions."""
@@ -318,15 +326,15 @@ def scratch_lake(spark: SparkSession) -> Lake:
         shared = tempfile.gettempdir()
     tag = uuid.uuid4().hex[:12]
     lake = Lake(spark, f"{shared.rstrip('/')}/reledger-{tag}", prefix=f"trial_{tag}_")
-    lake.ensure_tables()
+    lake.ensure_tables(attach=False)
     return lake
 
 
-def _matches(table: Table, spec: PartitionSpec):
-    predicate = F.lit(True)
-    for column, value in spec.items():
-        predicate = predicate & (F.col(column) == F.lit(value).cast(table.type_of(column)))
-    return predicate
+def _has_bit(bitmap: bytes, value: int) -> bool:
+    """Whether `bitmap_construct_agg` has met a value, at the place `bitmap_bit_position`
+    gives it. Months of some three hundred years have places of their own."""
+    place = (value - 1) % (8 * len(bitmap))
+    return bool(bitmap[place // 8] >> (place % 8) & 1)
 
 
 def _literals(table: Table, spec: PartitionSpec) -> str:

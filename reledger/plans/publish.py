@@ -24,9 +24,16 @@ from reledger.sources.networks import conform, network_named, networks
 from reledger.sources.synthetic import baseline_rows
 
 BUSINESS_KEY = ("source", "account_id", "report_date", "campaign_id", "product_id")
+# The month follows from the report date, so it adds nothing to the key. In front of it, it
+# makes the order of the window the order of the Silver files, which then need no sort.
+WINDOW_KEY = (REPORT_MONTH, *BUSINESS_KEY)
 # After the version come the columns that make the order total.
 NEWEST_FIRST = ("_extracted_at", "_ingested_at", "_object", *COMPONENTS)
 
+# Up to here each task may write its share of every month: the files stay large enough, and
+# a restatement, which seldom touches more, is spared a shuffle of whole months.
+FEW_MONTHS = 4
+
 
 @dataclass(frozen=True)
 class Reload:
@@ -39,9 +46,10 @@ class Reload:
 def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
     """Rebuild one extraction of one source from all its objects.
 
-    The rows go from the scan into the files of the partition without a shuffle. The old
-    partition stays in place until every task has succeeded. Loading once or many times
-    leaves the same rows; other extractions are not read or written.
+    The rows go from the scan straight into the files of the extraction, unless it spans so
+    many months that every task would write a small file for each of them. The old files
+    stay in place until every task has succeeded. Loading once or many times leaves the same
+    rows; other extractions are not read or written.
     """
     network = network_named(source)
     day = date.fromisoformat(str(day))
@@ -62,12 +70,13 @@ def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
             if (spec["_source"], spec["_extracted_at"]) == (source, day.isoformat())
         ]
 
+    first, last = _month_span(report, network.day_column)
     before = held()
     count = lake.replace_partitions(
         network.bronze,
         require_values(rows, required, f"{source} {day}"),
         before,
-        rebalance=False,
+        rebalance=last - first >= FEW_MONTHS,
     )
     months = {int(spec[REPORT_MONTH]) for spec in before + held()}
     return Reload(count, sorted(months))
@@ -75,7 +84,7 @@ def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
 
 def latest_version(conformed: DataFrame) -> DataFrame:
     """Conformed rows reduced to the latest version of each business key."""
-    latest = latest_wins(conformed, BUSINESS_KEY, NEWEST_FIRST)
+    latest = latest_wins(conformed, WINDOW_KEY, NEWEST_FIRST)
     return latest.drop("_ingested_at", "_object")
 
 
@@ -87,6 +96,8 @@ def silver_rows(lake: Lake, months: list[int] | None = None) -> DataFrame:
     conformed = None
     for network in networks().values():
         rows = conform(network, in_months(lake.table(network.bronze), months))
+        # Checked before the window: a check on its output would hide that it is in order.
+        rows = require_values(rows, [name for name, _ in SILVER.columns], "silver")
         conformed = rows if conformed is None else conformed.unionByName(rows)
     return latest_version(conformed)
 
@@ -99,8 +110,9 @@ def build_silver(lake: Lake, months: list[int] | None = None) -> list[int]:
         rows = silver_rows(lake)
     else:
         rows = silver_rows(lake, months)
-    checked = require_values(rows, [name for name, _ in SILVER.columns], "silver")
-    lake.replace_partitions(SILVER, checked, _scope(lake, SILVER, months), rebalance=True)
+    lake.replace_partitions(
+        SILVER, rows, _scope(lake, SILVER, months), rebalance=len(months) > FEW_MONTHS
+    )
     return months
 
 
@@ -112,7 +124,9 @@ def build_gold(lake: Lake, months: list[int] | None = None) -> list[int]:
     if months is None:
         months = lake.months(SILVER)
     rows = campaign_daily(in_months(lake.table(SILVER), months))
-    lake.replace_partitions(GOLD, rows, _scope(lake, GOLD, months), rebalance=True)
+    lake.replace_partitions(
+        GOLD, rows, _scope(lake, GOLD, months), rebalance=len(months) > FEW_MONTHS
+    )
     return months
 
 
@@ -138,6 +152,13 @@ def load_baseline(lake: Lake) -> None:
     lake.append(BASELINE, baseline_rows(numbers))
 
 
+def _month_span(report: DataFrame, day_column: str) -> tuple[int, int]:
+    """The first and last month of a report, counted from year zero; reads one column."""
+    month = F.year(day_column) * 12 + F.month(day_column)
+    row = report.agg(F.min(month).alias("first"), F.max(month).alias("last")).first()
+    return row["first"] or 0, row["last"] or 0
+
+
 def _scope(lake: Lake, table, months: list[int]) -> list[dict[str, str]]:
     wanted = set(months)
     return [spec for spec in lake.partitions(table) if int(spec[REPORT_MONTH]) in wanted]

@@ -417,7 +417,7 @@ def drop_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per month after one month was dropped."""
     lake = _loaded_lake(spark, sf_dir)
     build_silver(lake)
-    lake.drop_partition(SILVER, {REPORT_MONTH: "199803"})
+    lake.drop_partitions(SILVER, [{REPORT_MONTH: "199803"}])
     return lake.table(SILVER).groupBy(REPORT_MONTH).agg(F.count(F.lit(1)).alias("row_count"))
 
 

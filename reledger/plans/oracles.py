@@ -35,10 +35,23 @@ SELECT CAST(user_id % 10 AS VARCHAR) AS account_id,
 FROM events GROUP BY 1, 2, 3
 """
 
-RESTATED_A = """
+REPORT_E = """
+SELECT CAST(user_id % 10 AS VARCHAR) AS account_id,
+       event_type AS campaign_id,
+       CAST(user_id AS VARCHAR) AS product_id,
+       CAST(ts AS DATE) AS segments_date,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) * 10000 AS BIGINT) AS cost_micros,
+       count(*) FILTER (event_type <> 'view') AS clicks,
+       count(*) AS impressions,
+       count(*) FILTER (event_type = 'purchase') AS conversions,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue_eur
+FROM events GROUP BY 1, 2, 3, 4
+"""
+
+RESTATED = """
 SELECT * REPLACE (conversions + 7 AS conversions,
                   CAST(revenue_eur + 100.00 AS DECIMAL(18,2)) AS revenue_eur)
-FROM report_a WHERE campaign_id LIKE 'R%'
+FROM {0} WHERE campaign_id LIKE 'R%' OR campaign_id = 'purchase'
 """
 
 MICROS = "CAST(CAST({0} AS DECIMAL(19,0)) * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(18,6))"
@@ -74,18 +87,26 @@ QUALIFY row_number() OVER (
 """
 
 
+def _union(*names: str) -> str:
+    return " UNION ALL ".join(f"SELECT * FROM {name}" for name in names)
+
+
 WITH = f"""
 WITH report_a AS ({REPORT_A}),
      report_b AS ({REPORT_B}),
-     restated_a AS ({RESTATED_A}),
+     report_e AS ({REPORT_E}),
+     restated_a AS ({RESTATED.format("report_a")}),
+     restated_e AS ({RESTATED.format("report_e")}),
      conformed_a AS ({_conformed_a("report_a", star.EXTRACTED_A)}),
-     conformed_r AS ({_conformed_a("restated_a", star.RESTATED_A)}),
+     conformed_ra AS ({_conformed_a("restated_a", star.RESTATED_A)}),
      conformed_b AS ({CONFORMED_B}),
-     silver_a AS ({_latest("SELECT * FROM conformed_a")}),
-     silver AS ({_latest("SELECT * FROM conformed_a UNION ALL SELECT * FROM conformed_b")}),
-     silver_r AS ({_latest("SELECT * FROM conformed_a UNION ALL SELECT * FROM conformed_r")}),
-     silver_br AS ({_latest("SELECT * FROM conformed_a UNION ALL SELECT * FROM conformed_r"
-                            " UNION ALL SELECT * FROM conformed_b")})
+     conformed_e AS ({_conformed_a("report_e", star.EXTRACTED_E)}),
+     conformed_re AS ({_conformed_a("restated_e", star.RESTATED_E)}),
+     silver_a AS ({_latest(_union("conformed_a"))}),
+     silver AS ({_latest(_union("conformed_a", "conformed_b"))}),
+     silver_ra AS ({_latest(_union("conformed_a", "conformed_ra"))}),
+     silver_eb AS ({_latest(_union("conformed_e", "conformed_b"))}),
+     silver_reb AS ({_latest(_union("conformed_e", "conformed_re", "conformed_b"))})
 """
 
 SUMS = """
@@ -162,23 +183,26 @@ ORACLES = {
     + _bronze("google_ads", star.FILE_A, star.EXTRACTED_A, "report_a", "segments_date"),
     "bronze_projection_b": WITH
     + _bronze("meta_ads", star.FILE_B, star.EXTRACTED_B, "report_b", "date_start"),
-    "source_file_provenance": """
+    "source_file_provenance": WITH
+    + """
 SELECT 'google_ads' AS _source, 2 * count(*) AS row_count, CAST(2 AS BIGINT) AS file_count,
-       CAST(1 AS BIGINT) AS instant_count, true AS is_traced FROM lineitem
+       CAST(1 AS BIGINT) AS instant_count, true AS is_traced FROM report_e
 """,
     "bronze_reload_idempotent": WITH
     + f"""
-SELECT 'google_ads' AS _source, DATE '{star.EXTRACTED_A}' AS _extracted_at,
+SELECT 'google_ads' AS _source, DATE '{star.EXTRACTED_E}' AS _extracted_at,
        count(*) AS row_count, CAST(1 AS BIGINT) AS instant_count,
        CAST(sum(cost_micros) AS BIGINT) AS cost_micros,
-       CAST(sum(conversions) AS BIGINT) AS conversions FROM report_a
+       CAST(sum(conversions) AS BIGINT) AS conversions FROM report_e
 """,
     "bronze_reload_empty": WITH
-    + PER_EXTRACTION.format("google_ads", star.EXTRACTED_A, "report_a"),
+    + PER_EXTRACTION.format("google_ads", star.EXTRACTED_E, "report_e"),
     "bronze_reload_neighbours": WITH
-    + PER_EXTRACTION.format("google_ads", star.EXTRACTED_A, "report_a")
+    + PER_EXTRACTION.format("google_ads", star.EXTRACTED_E, "report_e")
     + "UNION ALL"
-    + PER_EXTRACTION.format("google_ads", star.RESTATED_A, "restated_a WHERE clicks > 25")
+    + PER_EXTRACTION.format(
+        "google_ads", star.RESTATED_E, "restated_e WHERE cost_micros > 20000000"
+    )
     + "UNION ALL"
     + PER_EXTRACTION.format("meta_ads", star.EXTRACTED_B, "report_b"),
     "baseline_rows": BASELINE,
@@ -216,7 +240,7 @@ SELECT user_id, event_type, event_id FROM events
 QUALIFY row_number() OVER (
     PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
 """,
-    "late_restatement_silver": WITH + "SELECT * FROM silver_r",
+    "late_restatement_silver": WITH + "SELECT * FROM silver_ra",
     "slice_counts": WITH
     + """
 SELECT campaign_id, count(*) AS row_count,
@@ -244,10 +268,10 @@ FROM (SELECT DISTINCT account_id, campaign_id FROM conformed_a) GROUP BY account
     "cross_source_spend": WITH + f"SELECT report_month, {SUMS} FROM silver GROUP BY report_month",
     "gold_month_pruned": WITH
     + f"""
-SELECT source, account_id, campaign_id, report_date, {SUMS} FROM silver
+SELECT source, account_id, campaign_id, report_date, {SUMS} FROM silver_a
 WHERE report_month = 199803 GROUP BY source, account_id, campaign_id, report_date
 """,
-    "gold_metrics_view": WITH + _metrics(_gold("silver")),
+    "gold_metrics_view": WITH + _metrics(_gold("silver_eb")),
     "zero_denominators": WITH
     + f"""
 SELECT campaign_id, count(*) FILTER (roas IS NULL) AS roas_unknown,
@@ -265,19 +289,20 @@ SELECT source, account_id, campaign_id, report_date,
        a.impressions - coalesce(b.impressions, 0) AS impressions,
        a.conversions - coalesce(b.conversions, 0) AS conversions,
        CAST(a.revenue_eur - coalesce(b.revenue_eur, 0) AS DECIMAL(18,6)) AS revenue_eur
-FROM ({_gold("silver_r")}) a
+FROM ({_gold("silver_ra")}) a
 LEFT JOIN ({_gold("silver_a")}) b USING (source, account_id, campaign_id, report_date)
 WHERE a.spend_eur <> coalesce(b.spend_eur, 0) OR a.clicks <> coalesce(b.clicks, 0)
    OR a.impressions <> coalesce(b.impressions, 0)
    OR a.conversions <> coalesce(b.conversions, 0)
    OR a.revenue_eur <> coalesce(b.revenue_eur, 0)
 """,
-    "late_restatement_gold": WITH + _gold("silver_br"),
+    "late_restatement_gold": WITH + _gold("silver_ra"),
+    "late_restatement_replayed": WITH + _gold("silver_reb"),
     "touched_months_match_full": WITH
-    + "SELECT DISTINCT report_month, true AS reconciles FROM silver_br",
+    + "SELECT DISTINCT report_month, true AS reconciles FROM silver_reb",
     "drop_partition": WITH
     + """
-SELECT report_month, count(*) AS row_count FROM silver WHERE report_month <> 199803
+SELECT report_month, count(*) AS row_count FROM silver_a WHERE report_month <> 199803
 GROUP BY report_month
 """,
     "months_present": WITH
@@ -309,7 +334,7 @@ FROM (SELECT count(*) AS n FROM silver
     "reconciliation_by_month": WITH
     + f"""
 SELECT report_month, {_side_sums("left")}, {_side_sums("right")}, true AS reconciles
-FROM silver GROUP BY report_month
+FROM silver_a GROUP BY report_month
 """,
     "conservation_check": WITH
     + """

@@ -99,31 +99,40 @@ def _silver_restated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_version(_conformed_a(spark, sf_dir).unionByName(restated))
 
 
-def _land(lake: Lake, sf_dir: str, *, restated: bool = False) -> None:
-    """Publish the reports of both networks into the landing area of a lake."""
-    line = star.google_report(star.read(lake.spark, sf_dir, "lineitem"))
-    events = star.meta_report(star.read(lake.spark, sf_dir, "events"))
-    write_object(line, lake.landing, GOOGLE_ADS, star.EXTRACTED_A, "part-0001")
-    write_object(events, lake.landing, META_ADS, star.EXTRACTED_B, "part-0001")
-    if restated:
-        corrected = star.restated_report(line)
-        write_object(corrected, lake.landing, GOOGLE_ADS, star.RESTATED_A, "restated")
-
-
-def _loaded_lake(spark: SparkSession, sf_dir: str, *, restated: bool = False) -> Lake:
+def _reports(lake: Lake, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The reports of both networks, both from the events."""
+    events = star.read(lake.spark, sf_dir, "events")
+    return star.google_event_report(events), star.meta_report(events)
+
+
+def _loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Both networks loaded from the events, a correction of the first one landed."""
     lake = scratch_lake(spark)
-    _land(lake, sf_dir, restated=restated)
-    reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_A)
+    google, meta = _reports(lake, sf_dir)
+    write_object(google, lake.landing, GOOGLE_ADS, star.EXTRACTED_E, "part-0001")
+    write_object(meta, lake.landing, META_ADS, star.EXTRACTED_B, "part-0001")
+    corrected = star.restated_report(google)
+    write_object(corrected, lake.landing, GOOGLE_ADS, star.RESTATED_E, "restated")
+    reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_E)
     reload_extraction(lake, META_ADS, star.EXTRACTED_B)
     return lake
 
 
-def _published_lake(spark: SparkSession, sf_dir: str, *, restated: bool = False) -> Lake:
-    lake = _loaded_lake(spark, sf_dir, restated=restated)
+def _published_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    lake = _loaded_lake(spark, sf_dir)
     publish(lake)
     return lake
 
 
+def _long_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The first network loaded from the line items, which span many months."""
+    lake = scratch_lake(spark)
+    report = star.google_report(star.read(spark, sf_dir, "lineitem"))
+    write_object(report, lake.landing, GOOGLE_ADS, star.EXTRACTED_A, "part-0001")
+    reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_A)
+    return lake
+
+
 # --- Bronze ---------------------------------------------------------------------------------
 
 
@@ -146,14 +155,12 @@ def bronze_projection_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def source_file_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two objects in one extraction: both read, every row traced to its own."""
-    lake = scratch_lake(spark)
-    _land(lake, sf_dir)
-    prefix = extraction_prefix(lake.landing, GOOGLE_ADS, star.EXTRACTED_A)
+    lake = _loaded_lake(spark, sf_dir)
+    prefix = extraction_prefix(lake.landing, GOOGLE_ADS, star.EXTRACTED_E)
     copy_object(spark, f"{prefix}/part-0001.parquet", f"{prefix}/part-0002.parquet")
-    reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_A)
-    bronze = lake.table(GOOGLE_RAW)
-    day = F.lit(star.EXTRACTED_A).cast("date")
-    return quality.provenance(bronze, GOOGLE_ADS, day, ["_source"])
+    reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_E)
+    day = F.lit(star.EXTRACTED_E).cast("date")
+    return quality.provenance(lake.table(GOOGLE_RAW), GOOGLE_ADS, day, ["_source"])
 
 
 @query
@@ -161,7 +168,7 @@ def bronze_reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads of one extraction leave what one load leaves."""
     lake = _loaded_lake(spark, sf_dir)
     for _ in range(2):
-        reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_A)
+        reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_E)
     return lake.table(GOOGLE_RAW).groupBy("_source", "_extracted_at").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_distinct("_ingested_at").alias("instant_count"),
@@ -173,24 +180,24 @@ def bronze_reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bronze_reload_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An extraction reloaded with no row ends up empty; its neighbour does not."""
-    lake = _loaded_lake(spark, sf_dir, restated=True)
-    reload_extraction(lake, GOOGLE_ADS, star.RESTATED_A)
-    line = star.google_report(star.read(spark, sf_dir, "lineitem"))
-    none = line.filter(F.col("conversions") < 0)
-    write_object(none, lake.landing, GOOGLE_ADS, star.RESTATED_A, "restated")
-    reload_extraction(lake, GOOGLE_ADS, star.RESTATED_A)
+    lake = _loaded_lake(spark, sf_dir)
+    reload_extraction(lake, GOOGLE_ADS, star.RESTATED_E)
+    google, _ = _reports(lake, sf_dir)
+    none = google.filter(F.col("impressions") < 0)
+    write_object(none, lake.landing, GOOGLE_ADS, star.RESTATED_E, "restated")
+    reload_extraction(lake, GOOGLE_ADS, star.RESTATED_E)
     return quality.rows_per_extraction(lake.table(GOOGLE_RAW))
 
 
 @query
 def bronze_reload_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reloading one extraction with other rows leaves its neighbours as they were."""
-    lake = _loaded_lake(spark, sf_dir, restated=True)
-    reload_extraction(lake, GOOGLE_ADS, star.RESTATED_A)
-    line = star.google_report(star.read(spark, sf_dir, "lineitem"))
-    fewer = star.restated_report(line).filter(F.col("clicks") > 25)
-    write_object(fewer, lake.landing, GOOGLE_ADS, star.RESTATED_A, "restated")
-    reload_extraction(lake, GOOGLE_ADS, star.RESTATED_A)
+    lake = _loaded_lake(spark, sf_dir)
+    reload_extraction(lake, GOOGLE_ADS, star.RESTATED_E)
+    google, _ = _reports(lake, sf_dir)
+    fewer = star.restated_report(google).filter(F.col("cost_micros") > 20_000_000)
+    write_object(fewer, lake.landing, GOOGLE_ADS, star.RESTATED_E, "restated")
+    reload_extraction(lake, GOOGLE_ADS, star.RESTATED_E)
     return quality.rows_per_extraction(lake.table(GOOGLE_RAW)).unionByName(
         quality.rows_per_extraction(lake.table(META_RAW))
     )
@@ -352,7 +359,7 @@ def cross_source_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gold_month_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One month of Gold from stored Silver, by parameterised SQL; other months unread."""
-    lake = _loaded_lake(spark, sf_dir)
+    lake = _long_lake(spark, sf_dir)
     build_silver(lake)
     return spark.sql(
         """
@@ -395,18 +402,30 @@ def restated_gold_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def late_restatement_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load, publish, load the correction, publish only its months, replay it once more."""
-    lake = _published_lake(spark, sf_dir, restated=True)
-    for _ in range(2):
-        restate(lake, GOOGLE_ADS, star.RESTATED_A)
+    """Load and publish seven years, then load a correction and publish its months."""
+    lake = _long_lake(spark, sf_dir)
+    publish(lake)
+    report = star.google_report(star.read(spark, sf_dir, "lineitem"))
+    corrected = star.restated_report(report)
+    write_object(corrected, lake.landing, GOOGLE_ADS, star.RESTATED_A, "restated")
+    restate(lake, GOOGLE_ADS, star.RESTATED_A)
+    return lake.table(GOLD)
+
+
+@query
+def late_restatement_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A correction loaded three times: Gold holds it once."""
+    lake = _published_lake(spark, sf_dir)
+    for _ in range(3):
+        restate(lake, GOOGLE_ADS, star.RESTATED_E)
     return lake.table(GOLD)
 
 
 @query
 def touched_months_match_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publishing the touched months gives, month by month, what a full rebuild gives."""
-    lake = _published_lake(spark, sf_dir, restated=True)
-    restate(lake, GOOGLE_ADS, star.RESTATED_A)
+    lake = _published_lake(spark, sf_dir)
+    restate(lake, GOOGLE_ADS, star.RESTATED_E)
     full = campaign_daily(silver_rows(lake))
     compared = quality.reconcile(lake.table(GOLD), full, [REPORT_MONTH])
     return compared.select(REPORT_MONTH, "reconciles")
@@ -415,7 +434,7 @@ def touched_months_match_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def drop_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per month after one month was dropped."""
-    lake = _loaded_lake(spark, sf_dir)
+    lake = _long_lake(spark, sf_dir)
     build_silver(lake)
     lake.drop_partitions(SILVER, [{REPORT_MONTH: "199803"}])
     return lake.table(SILVER).groupBy(REPORT_MONTH).agg(F.count(F.lit(1)).alias("row_count"))
@@ -450,7 +469,8 @@ def null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def reconciliation_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored Gold against stored Silver, both sides shown."""
-    lake = _published_lake(spark, sf_dir)
+    lake = _long_lake(spark, sf_dir)
+    publish(lake)
     compared = quality.reconcile(lake.table(GOLD), lake.table(SILVER), [REPORT_MONTH])
     shown = [
         F.col(f"{side}_{name}").cast("decimal(28,6)").alias(f"{side}_{name}")

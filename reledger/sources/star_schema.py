@@ -1,7 +1,8 @@
 """Reports of both networks derived from a star schema of orders and events.
 
-`lineitem` plays the network that reports micro-units per product, `events` the one that
-reports currency and no product.
+`lineitem`, which spans seven years, plays the network that reports micro-units per product.
+`events`, which spans one month, plays the one that reports currency and no product, and is
+also summed per user in the form of the first network.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ FILE_B = "lake/events.parquet"
 EXTRACTED_A = "2002-01-01"
 EXTRACTED_B = "2024-02-01"
 RESTATED_A = "2002-03-01"
+EXTRACTED_E = "2024-02-01"
+RESTATED_E = "2024-03-01"
 INGESTED_AT = "2026-07-17 03:00:00"
 
 
@@ -63,9 +66,27 @@ def meta_report(events: DataFrame) -> DataFrame:
     )
 
 
+def google_event_report(events: DataFrame) -> DataFrame:
+    """Events summed per user and day in the form of the network that reports products."""
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    return events.groupBy(
+        (F.col("user_id") % 10).cast("string").alias("account_id"),
+        F.col("event_type").alias("campaign_id"),
+        F.col("user_id").cast("string").alias("product_id"),
+        F.col("ts").cast("date").alias("segments_date"),
+    ).agg(
+        (F.sum(cents) * 10_000).alias("cost_micros"),
+        F.count_if(F.col("event_type") != "view").alias("clicks"),
+        F.count(F.lit(1)).alias("impressions"),
+        F.count_if(F.col("event_type") == "purchase").alias("conversions"),
+        F.sum(F.col("value").cast(REPORTED_AMOUNT)).cast(REPORTED_AMOUNT).alias("revenue_eur"),
+    )
+
+
 def restated_report(report: DataFrame) -> DataFrame:
-    """A late correction: the returned items come back with more conversions and revenue."""
-    return report.filter(F.col("campaign_id").startswith("R")).withColumns(
+    """A late correction: returned items and purchases come back with higher figures."""
+    corrected = F.col("campaign_id").startswith("R") | (F.col("campaign_id") == "purchase")
+    return report.filter(corrected).withColumns(
         {
             "conversions": F.col("conversions") + 7,
             "revenue_eur": (F.col("revenue_eur") + F.expr("100.00BD")).cast(REPORTED_AMOUNT),

@@ -233,9 +233,12 @@ class Lake:
 
     # --- partitions --------------------------------------------------------------------
 
-    def partitions(self, table: Table) -> list[PartitionSpec]:
-        """The partitions of a table, from the catalog alone."""
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()
+    def partitions(
+        self, table: Table, within: PartitionSpec | None = None
+    ) -> list[PartitionSpec]:
+        """The partitions of a table, or of one leading part, from the catalog alone."""
+        part = f" PARTITION ({_literals(table, within)})" if within else ""
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}{part}").collect()
         return [
             {key: unquote(value) for key, value in (part.split("=", 1) for part in row[0].split("/"))}
             for row in listed

@@ -71,18 +71,25 @@ def reconcile(left: DataFrame, right: DataFrame, grain: Sequence[str]) -> DataFr
 def provenance(
     df: DataFrame, source: str, extracted_at: Column, group_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows, files, instants, and whether every row carries the expected lineage."""
+    """Rows, files, instants, and whether every row carries the expected lineage.
+
+    Rows are first counted per file and instant. Counting distinct files over the rows
+    themselves would have Spark copy each row once per distinct count.
+    """
     traced = (
         (F.col("_source") == source)
         & (F.col("_source_file") != "")
         & (F.col("_extracted_at") == extracted_at)
         & F.col("_ingested_at").isNotNull()
     )
-    return df.groupBy(*group_by).agg(
-        F.count(F.lit(1)).alias("row_count"),
+    per_file = df.groupBy(*dict.fromkeys([*group_by, "_source_file", "_ingested_at"])).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(traced).alias("traced")
+    )
+    return per_file.groupBy(*group_by).agg(
+        F.sum("rows").alias("row_count"),
         F.count_distinct("_source_file").alias("file_count"),
         F.count_distinct("_ingested_at").alias("instant_count"),
-        (F.count(F.lit(1)) == F.count_if(traced)).alias("is_traced"),
+        (F.sum("rows") == F.sum("traced")).alias("is_traced"),
     )
 
 

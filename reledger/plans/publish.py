@@ -63,22 +63,17 @@ def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
     )
     required = [name for name, _ in network.report_columns]
 
-    def held() -> list[dict[str, str]]:
-        return [
-            spec
-            for spec in lake.partitions(network.bronze)
-            if (spec["_source"], spec["_extracted_at"]) == (source, day.isoformat())
-        ]
-
+    extraction = {"_source": source, "_extracted_at": day.isoformat()}
     first, last = _month_span(report, network.day_column)
-    before = held()
+    before = lake.partitions(network.bronze, extraction)
     count = lake.replace_partitions(
         network.bronze,
         require_values(rows, required, f"{source} {day}"),
         before,
         rebalance=last - first >= FEW_MONTHS,
     )
-    months = {int(spec[REPORT_MONTH]) for spec in before + held()}
+    after = lake.partitions(network.bronze, extraction)
+    months = {int(spec[REPORT_MONTH]) for spec in before + after}
     return Reload(count, sorted(months))
 
 

@@ -169,9 +169,14 @@ def bronze_reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _loaded_lake(spark, sf_dir)
     for _ in range(2):
         reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_E)
-    return lake.table(GOOGLE_RAW).groupBy("_source", "_extracted_at").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct("_ingested_at").alias("instant_count"),
+    per_instant = lake.table(GOOGLE_RAW).groupBy("_source", "_extracted_at", "_ingested_at").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("cost_micros").alias("cost_micros"),
+        F.sum("conversions").alias("conversions"),
+    )
+    return per_instant.groupBy("_source", "_extracted_at").agg(
+        F.sum("rows").alias("row_count"),
+        F.count(F.lit(1)).alias("instant_count"),
         F.sum("cost_micros").alias("cost_micros"),
         F.sum("conversions").alias("conversions"),
     )
@@ -316,7 +321,10 @@ def slice_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def campaign_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The campaigns of each account as one sorted list; duplicates go before the shuffle."""
+    """The campaigns of each account, six at most, as one sorted list.
+
+    Duplicates go before anything is collected.
+    """
     silver = _conformed_a(spark, sf_dir)
     pairs = silver.select("account_id", "campaign_id").distinct()
     listed = F.sort_array(F.collect_list("campaign_id"))

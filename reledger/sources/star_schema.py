@@ -7,10 +7,11 @@ also summed per user in the form of the first network.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reledger.fixed_values import REPORTED_AMOUNT
+from reledger.functions.money import cents_to_amount
 
 # What the derived reports are stamped with.
 FILE_A = "lake/lineitem.parquet"
@@ -27,11 +28,16 @@ def read(spark: SparkSession, directory: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{table}.parquet")
 
 
+def _hundredths(price: Column) -> Column:
+    """A double with two digits as a whole number, so that sums of it are exact."""
+    return F.rint(price * 100).cast("bigint")
+
+
 def google_report(lineitem: DataFrame) -> DataFrame:
     """One row per line item; cost is the discount granted, zero for a tenth of them."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    discount_points = F.round(F.col("l_discount") * 100).cast("bigint")
-    tax_points = F.round(F.col("l_tax") * 100).cast("bigint")
+    cents = _hundredths(F.col("l_extendedprice"))
+    discount_points = _hundredths(F.col("l_discount"))
+    tax_points = _hundredths(F.col("l_tax"))
     quantity = F.col("l_quantity").cast("bigint")
     return lineitem.select(
         F.col("l_suppkey").cast("string").alias("account_id"),
@@ -42,14 +48,14 @@ def google_report(lineitem: DataFrame) -> DataFrame:
         quantity.alias("clicks"),
         (quantity * tax_points * 10).alias("impressions"),
         (F.col("l_linenumber") - 1).cast("bigint").alias("conversions"),
-        F.col("l_extendedprice").cast(REPORTED_AMOUNT).alias("revenue_eur"),
+        cents_to_amount(cents).alias("revenue_eur"),
     )
 
 
 def meta_report(events: DataFrame) -> DataFrame:
     """Events summed to one row per account, campaign and day."""
-    value = F.col("value").cast(REPORTED_AMOUNT)
-    earned = F.when(F.col("event_type").isin("purchase", "signup"), value).otherwise(F.lit(0))
+    cents = _hundredths(F.col("value"))
+    earned = F.when(F.col("event_type").isin("purchase", "signup"), cents).otherwise(F.lit(0))
     return (
         events.groupBy(
             (F.col("user_id") % 10).cast("string").alias("account_id"),
@@ -57,18 +63,18 @@ def meta_report(events: DataFrame) -> DataFrame:
             F.col("ts").cast("date").alias("date_start"),
         )
         .agg(
-            F.sum(value).cast(REPORTED_AMOUNT).alias("spend"),
+            cents_to_amount(F.sum(cents)).alias("spend"),
             F.count_if(F.col("event_type") != "view").alias("clicks"),
             F.count(F.lit(1)).alias("impressions"),
             F.count_if(F.col("event_type") == "purchase").alias("conversions"),
-            F.sum(earned).cast(REPORTED_AMOUNT).alias("revenue_eur"),
+            cents_to_amount(F.sum(earned)).alias("revenue_eur"),
         )
     )
 
 
 def google_event_report(events: DataFrame) -> DataFrame:
     """Events summed per user and day in the form of the network that reports products."""
-    cents = F.round(F.col("value") * 100).cast("bigint")
+    cents = _hundredths(F.col("value"))
     return events.groupBy(
         (F.col("user_id") % 10).cast("string").alias("account_id"),
         F.col("event_type").alias("campaign_id"),
@@ -79,7 +85,7 @@ def google_event_report(events: DataFrame) -> DataFrame:
         F.count_if(F.col("event_type") != "view").alias("clicks"),
         F.count(F.lit(1)).alias("impressions"),
         F.count_if(F.col("event_type") == "purchase").alias("conversions"),
-        F.sum(F.col("value").cast(REPORTED_AMOUNT)).cast(REPORTED_AMOUNT).alias("revenue_eur"),
+        cents_to_amount(F.sum(cents)).alias("revenue_eur"),
     )
 
 

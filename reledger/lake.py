@@ -158,6 +158,14 @@ METRICS_VIEW = "campaign_daily_metrics"
 PartitionSpec = dict[str, str]
 
 
+@dataclass(frozen=True)
+class Replaced:
+    """The rows written, and the partitions that were in scope and are empty now."""
+
+    rows: int
+    emptied: list[PartitionSpec]
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the tables live. `prefix` keeps several lakes apart within one catalog."""
@@ -255,13 +263,14 @@ class Lake:
         scope: Iterable[PartitionSpec],
         *,
         rebalance: bool,
-    ) -> int:
-        """Make `rows` the whole content of the partitions in `scope`; return their number.
+    ) -> Replaced:
+        """Make `rows` the whole content of the partitions in `scope`.
 
         The partitions in scope differ by month only; others are left alone. The write stages its files and swaps
         them in when it commits, so a job that fails leaves the old state. Partitions of
-        the scope that receive no row are dropped after the commit. Which months were written
-        is noted in one bitmap by the write itself, so that no second scan is needed.
+        the scope that receive no row are emptied after the commit, and reported so that the
+        caller can drop them when nothing needs them as a record any more. Which months were
+        written is noted in one bitmap by the write itself: there is no second scan.
 
         `rebalance` gathers each partition into files of the advisory size, splitting a hot
         partition over several tasks. Leave it off where the input is already laid out well;
@@ -281,15 +290,12 @@ class Lake:
             .write.insertInto(self.name(table), overwrite=True)
         )
         written = counted.get
-        self.drop_partitions(
-            table,
-            [
-                spec
-                for spec in scope
-                if not _has_bit(written["months"], int(spec[REPORT_MONTH]))
-            ],
-        )
-        return written["rows"]
+        emptied = [
+            spec for spec in scope if not _has_bit(written["months"], int(spec[REPORT_MONTH]))
+        ]
+        for spec in emptied:
+            self._empty_partition(table, spec)
+        return Replaced(written["rows"], emptied)
 
     def append(self, table: Table, rows: DataFrame) -> None:
         """Add rows to a table, matched by column name."""
@@ -303,15 +309,24 @@ class Lake:
             for name, ddl_type in table.columns
             if name not in table.partitions
         )
-        literals = [_literals(table, spec) for spec in specs]
-        for spec in literals:
+        literals = [f"PARTITION ({_literals(table, spec)})" for spec in specs]
+        for partition in literals:
             self.spark.sql(
-                f"INSERT OVERWRITE {self.name(table)} PARTITION ({spec}) "
-                f"SELECT {nothing} WHERE false"
+                f"INSERT OVERWRITE {self.name(table)} {partition} SELECT {nothing} WHERE false"
             )
         if literals:
-            dropped = ", ".join(f"PARTITION ({spec})" for spec in literals)
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {dropped}")
+            self.spark.sql(
+                f"ALTER TABLE {self.name(table)} DROP IF EXISTS {', '.join(literals)}"
+            )
+
+    def _empty_partition(self, table: Table, spec: PartitionSpec) -> None:
+        """Put one file without rows in place of a partition, which stays listed."""
+        stored = self.table(table).drop(*table.partitions).schema
+        keys = "/".join(f"{column}={spec[column]}" for column in table.partitions)
+        self.spark.createDataFrame([], stored).write.mode("overwrite").parquet(
+            f"{self.location(table)}/{keys}"
+        )
+        self.spark.catalog.refreshTable(self.name(table))
 
     def truncate(self, table: Table) -> None:
         """Empty a table and forget its partitions."""

@@ -13,12 +13,12 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reledger.fixed_values import BASELINE_ROWS
 from reledger.functions.calendar import REPORT_MONTH, in_months
-from reledger.lake import BASELINE, GOLD, SILVER, Lake
+from reledger.lake import BASELINE, GOLD, SILVER, Lake, Table
 from reledger.operators.latest import latest_wins
 from reledger.operators.quality import require_values
 from reledger.operators.rollup import COMPONENTS, campaign_daily
-from reledger.fixed_values import BASELINE_ROWS
 from reledger.sources.landing import object_path, read_extraction, to_bronze
 from reledger.sources.networks import conform, network_named, networks
 from reledger.sources.synthetic import baseline_rows
@@ -37,10 +37,12 @@ FEW_MONTHS = 4
 
 @dataclass(frozen=True)
 class Reload:
-    """What a reload left: the rows loaded, and the months it held before or holds now."""
+    """What a reload left: the rows loaded, the months it held before or holds now, and the
+    partitions that only record that it once held a month."""
 
     rows: int
     months: list[int]
+    emptied: list[dict[str, str]]
 
 
 def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
@@ -66,7 +68,7 @@ def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
     extraction = {"_source": source, "_extracted_at": day.isoformat()}
     first, last = _month_span(report, network.day_column)
     before = lake.partitions(network.bronze, extraction)
-    count = lake.replace_partitions(
+    replaced = lake.replace_partitions(
         network.bronze,
         require_values(rows, required, f"{source} {day}"),
         before,
@@ -74,7 +76,7 @@ def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
     )
     after = lake.partitions(network.bronze, extraction)
     months = {int(spec[REPORT_MONTH]) for spec in before + after}
-    return Reload(count, sorted(months))
+    return Reload(replaced.rows, sorted(months), replaced.emptied)
 
 
 def latest_version(conformed: DataFrame) -> DataFrame:
@@ -105,9 +107,7 @@ def build_silver(lake: Lake, months: list[int] | None = None) -> list[int]:
         rows = silver_rows(lake)
     else:
         rows = silver_rows(lake, months)
-    lake.replace_partitions(
-        SILVER, rows, _scope(lake, SILVER, months), rebalance=len(months) > FEW_MONTHS
-    )
+    _replace_months(lake, SILVER, rows, months)
     return months
 
 
@@ -119,9 +119,7 @@ def build_gold(lake: Lake, months: list[int] | None = None) -> list[int]:
     if months is None:
         months = lake.months(SILVER)
     rows = campaign_daily(in_months(lake.table(SILVER), months))
-    lake.replace_partitions(
-        GOLD, rows, _scope(lake, GOLD, months), rebalance=len(months) > FEW_MONTHS
-    )
+    _replace_months(lake, GOLD, rows, months)
     return months
 
 
@@ -133,10 +131,12 @@ def publish(lake: Lake, months: list[int] | None = None) -> list[int]:
 def restate(lake: Lake, source: str, day: date | str) -> Reload:
     """Reload one extraction and publish the months it touched, and only those.
 
-    Months it held before count too: a key may have moved to another month or vanished.
+    Months it held before count too: a key may have moved to another month or vanished. A
+    restatement that fails anywhere can simply be run again.
     """
     reloaded = reload_extraction(lake, source, day)
     publish(lake, reloaded.months)
+    lake.drop_partitions(network_named(source).bronze, reloaded.emptied)
     return reloaded
 
 
@@ -154,6 +154,8 @@ def _month_span(report: DataFrame, day_column: str) -> tuple[int, int]:
     return row["first"] or 0, row["last"] or 0
 
 
-def _scope(lake: Lake, table, months: list[int]) -> list[dict[str, str]]:
+def _replace_months(lake: Lake, table: Table, rows: DataFrame, months: list[int]) -> None:
     wanted = set(months)
-    return [spec for spec in lake.partitions(table) if int(spec[REPORT_MONTH]) in wanted]
+    scope = [spec for spec in lake.partitions(table) if int(spec[REPORT_MONTH]) in wanted]
+    replaced = lake.replace_partitions(table, rows, scope, rebalance=len(months) > FEW_MONTHS)
+    lake.drop_partitions(table, replaced.emptied)

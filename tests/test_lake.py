@@ -13,7 +13,7 @@ from reledger.fixed_values import GOOGLE_ADS
 from reledger.functions.calendar import REPORT_MONTH, between_days
 from reledger.lake import BASELINE, GOLD, GOOGLE_RAW, META_RAW, SILVER, TABLES, Lake
 from reledger.operators.quality import fingerprint, rows_per_extraction
-from reledger.plans.publish import load_baseline, reload_extraction
+from reledger.plans.publish import load_baseline, reload_extraction, restate
 from reledger.sources.landing import copy_object, extraction_prefix, write_object
 from tests.conftest import DAYS, load_days
 
@@ -80,8 +80,10 @@ def test_an_empty_reload_empties_its_partition_only(landed):
     reloaded = reload_extraction(landed, GOOGLE_ADS, "2026-07-20")
     assert (reloaded.rows, reloaded.months) == (0, [202607])
     assert loaded(landed) == dict.fromkeys(DAYS, 1000)
+    assert restate(landed, GOOGLE_ADS, "2026-07-20").months == [202607]
     left = f"{landed.location(GOOGLE_RAW)}/*/_extracted_at=2026-07-20/*/*.parquet"
     assert not glob.glob(left)
+    assert landed.partitions(GOOGLE_RAW, {"_extracted_at": "2026-07-20"}) == []
 
 
 def test_another_session_catalog_sees_what_is_stored(landed):
@@ -172,9 +174,10 @@ def test_a_hot_month_is_written_by_several_tasks(empty_lake):
     normal = spark.conf.get(key)
     spark.conf.set(key, "2m")
     try:
-        empty_lake.replace_partitions(SILVER, rows, [], rebalance=True)
+        written = empty_lake.replace_partitions(SILVER, rows, [], rebalance=True)
     finally:
         spark.conf.set(key, normal)
+    assert (written.rows, written.emptied) == (300_000, [])
     assert empty_lake.table(SILVER).count() == 300_000
     hot = glob.glob(f"{empty_lake.location(SILVER)}/report_month=202601/*.parquet")
     cold = glob.glob(f"{empty_lake.location(SILVER)}/report_month=202512/*.parquet")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reledger.fixed_values import GOOGLE_ADS, META_ADS, UNKNOWN_PRODUCT
-from reledger.lake import GOLD, GOOGLE_RAW, SILVER
+from reledger.lake import GOLD, GOOGLE_RAW, SILVER, Lake
 from reledger.operators import quality
 from reledger.operators.rollup import (
     CAMPAIGN_DAY,
@@ -162,6 +162,20 @@ def test_rows_that_move_to_another_month_leave_the_old_one(monthly):
     assert full_rebuild_agrees(lake)
 
 
+def test_a_restatement_that_failed_before_publishing_can_be_run_again(monthly):
+    """The reload went through and moved rows out of a month, then the driver was lost."""
+    lake, report = monthly
+    later = report.withColumn("segments_date", F.to_date(F.lit("2026-08-31")))
+    write_object(later, lake.landing, GOOGLE_ADS, "2026-09-03", "part-0001")
+    reload_extraction(lake, GOOGLE_ADS, "2026-09-03")
+    again = Lake(lake.spark, lake.root, prefix=f"again_{lake.prefix}")
+    again.ensure_tables()
+    assert restate(again, GOOGLE_ADS, "2026-09-03").months == [202608, 202609]
+    assert again.months(SILVER) == again.months(GOLD) == [202607, 202608]
+    assert again.months(GOOGLE_RAW) == [202607, 202608]
+    assert full_rebuild_agrees(again)
+
+
 def test_a_partial_publication_leaves_other_months_alone(monthly):
     lake, report = monthly
     fewer = report.limit(0)

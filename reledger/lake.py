@@ -247,10 +247,8 @@ class Lake:
         """The partitions of a table, or of one leading part, from the catalog alone."""
         part = f" PARTITION ({_literals(table, within)})" if within else ""
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}{part}").collect()
-        return [
-            {key: unquote(value) for key, value in (part.split("=", 1) for part in row[0].split("/"))}
-            for row in listed
-        ]
+        pairs = ([part.split("=", 1) for part in row[0].split("/")] for row in listed)
+        return [{column: unquote(value) for column, value in spec} for spec in pairs]
 
     def months(self, table: Table) -> list[int]:
         """The report months a table holds, in order, from the catalog alone."""

@@ -226,6 +226,7 @@ def test_changes_between_two_states(spark):
         [("s", "a", "c", "d1", one, 1, 1, 1, two), ("s", "a", "c", "d3", one, 5, 1, 1, one)],
         schema,
     )
-    changed = {row["report_date"]: row for row in change_between(before, after, CAMPAIGN_DAY).collect()}
+    found = change_between(before, after, CAMPAIGN_DAY).collect()
+    changed = {row["report_date"]: row for row in found}
     assert {day: row["clicks"] for day, row in changed.items()} == {"d1": 0, "d2": -1, "d3": 5}
     assert changed["d1"]["revenue_eur"] == 1

@@ -245,8 +245,8 @@ class Lake:
         self, table: Table, within: PartitionSpec | None = None
     ) -> list[PartitionSpec]:
         """The partitions of a table, or of one leading part, from the catalog alone."""
-        part = f" PARTITION ({_literals(table, within)})" if within else ""
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}{part}").collect()
+        only = f" PARTITION ({_literals(table, within)})" if within else ""
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}{only}").collect()
         pairs = ([part.split("=", 1) for part in row[0].split("/")] for row in listed)
         return [{column: unquote(value) for column, value in spec} for spec in pairs]
 
@@ -264,11 +264,11 @@ class Lake:
     ) -> Replaced:
         """Make `rows` the whole content of the partitions in `scope`.
 
-        The partitions in scope differ by month only; others are left alone. The write stages its files and swaps
-        them in when it commits, so a job that fails leaves the old state. Partitions of
-        the scope that receive no row are emptied after the commit, and reported so that the
-        caller can drop them when nothing needs them as a record any more. Which months were
-        written is noted in one bitmap by the write itself: there is no second scan.
+        The partitions in scope differ by month only; others are left alone. The write stages
+        its files and swaps them in when it commits, so a job that fails leaves the old state.
+        Partitions of the scope that receive no row are emptied after the commit, and reported
+        so that the caller can drop them when nothing needs them as a record any more. Which
+        months were written is noted in one bitmap by the write itself: no second scan.
 
         `rebalance` gathers each partition into files of the advisory size, splitting a hot
         partition over several tasks. Leave it off where the input is already laid out well;

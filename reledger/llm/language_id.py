@@ -28,7 +28,7 @@ PARAMETERS = zstandard.ZstdCompressionParameters(
     search_log=4,
     min_match=4,
     target_length=32,
-    strategy=zstandard.STRATEGY_LAZY2,
+    strategy=zstandard.STRATEGY_LAZY,
     write_content_size=0,
 )
 MIN_MARGIN = 0.004

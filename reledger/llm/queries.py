@@ -13,6 +13,7 @@ from .language_id import dictionaries, identify
 from .mixing import mix_digest
 from .sharding import shard_digest
 from .storage import table
+from .suffix_dedup import suffix_dedup
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -20,6 +21,10 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, dictionaries(docs.where(~held_out())))
@@ -45,6 +50,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_suffix_dedup,
         op6_language_id,
         op7_jaccard_join,
         op8_decontamination,

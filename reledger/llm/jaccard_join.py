@@ -220,7 +220,6 @@ def jaccard_components(
         .select("s", "band", "kind", "n", F.col("kind").alias("comp"), F.lit(None).cast("double").alias("d")),
         "members",
     )
-    sets = written(_shingle_sets(docs, members.select("kind").distinct(), text), "sets")
     comps, known, turn = None, None, 0
     while True:
         regions = (
@@ -260,6 +259,9 @@ def jaccard_components(
         )
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("kind")).distinct()
+        sets = written(_shingle_sets(docs, ends, text), "sets")
         measured = written(_measured(pairs, sets), "measured")
         known = measured if known is None else known.unionByName(measured)
         links = measured.where(f"100 * common >= {percent} * total")

@@ -135,7 +135,8 @@ def _link_back(points, links, sources, targets, keep):
     extra = np.full((len(rows), most), -1, dtype=np.int64)
     which = np.repeat(np.arange(len(rows)), count)
     extra[which, np.arange(len(target)) - first[which]] = source
-    both = np.concatenate([links[rows], extra], axis=1)
+    both = np.sort(np.concatenate([links[rows], extra], axis=1), axis=1)
+    both[:, 1:][both[:, 1:] == both[:, :-1]] = -1  # two nodes of a batch may choose each other
     full = (both >= 0).sum(axis=1) > keep
     place = np.argsort(both < 0, axis=1, kind="stable")[:, :keep]
     links[rows[~full]] = both[~full][np.arange((~full).sum())[:, None], place[~full]]

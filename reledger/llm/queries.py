@@ -15,6 +15,7 @@ from .mixing import mix_digest
 from .sharding import shard_digest
 from .storage import table
 from .suffix_dedup import suffix_dedup
+from .url_filter import url_verdicts
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -30,6 +31,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, dictionaries(docs.where(~held_out())))
@@ -57,6 +62,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_ann,
         op2_suffix_dedup,
+        op3_url_filter,
         op6_language_id,
         op7_jaccard_join,
         op8_decontamination,

@@ -24,7 +24,7 @@ from .storage import written
 
 NEIGHBOURS = 16
 BUILD_BEAM = 64
-SEARCH_BEAM = 160
+SEARCH_BEAM = 112
 SHARDS = 8
 #: A shard's vectors, graph and one batch of searches fit in a task's memory.
 SHARD_ROWS = 250_000

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from .ann import nearest
 from .decontamination import contained_items
+from .extraction import extract
 from .jaccard_join import jaccard_components
 from .language_id import dictionaries, identify
+from .lm_scoring import cross_entropy_difference
 from .mixing import mix_digest
 from .sharding import shard_digest
 from .storage import table
@@ -35,6 +37,16 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"))
 
 
+def op4_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target corpus is the documents that `labels` calls good."""
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, dictionaries(docs.where(~held_out())))
@@ -63,6 +75,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_ann,
         op2_suffix_dedup,
         op3_url_filter,
+        op4_extraction,
+        op5_lm_scoring,
         op6_language_id,
         op7_jaccard_join,
         op8_decontamination,

@@ -11,7 +11,9 @@ documents in one outer region. The recursion therefore has two kinds of pivots.
    into these regions and no others.
 2. The empty set gives the size window: d(x, y) >= 1 - min/max of the sizes, so a region splits
    into bands of sizes, each document in its own and the next.
-3. Document pivots. In each region the smallest member is the pivot p, and d(x, p) is computed
+3. Coordinates. Counts of a set in 128 parts of all shingles bound its distance from another set
+   from below; pairs that are too far apart are never measured.
+4. Document pivots. In each region the smallest member is the pivot p, and d(x, p) is computed
    exactly. Members inside p's ball are linked through it and never compared with each other, so
    a group of n near copies costs n pairs. Other pairs of a region go on only if they are in
    different components and if |d(x, p) - d(y, p)| <= tau. Regions of more than `leaf` members
@@ -37,6 +39,7 @@ from .storage import written
 BUCKET_BITS = 18
 FILTER_BITS = 23
 LEAF = 64
+PARTS = 128
 
 
 def _bucket(value: np.ndarray) -> np.ndarray:
@@ -68,6 +71,12 @@ def shingle_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out
 
 
+def _parts(owner: np.ndarray, value: np.ndarray, n_texts: int) -> np.ndarray:
+    """How many shingles of each set fall into each of the parts of all shingles."""
+    place = owner * PARTS + (value & np.uint64(PARTS - 1)).astype(np.int64)
+    return np.bincount(place, minlength=n_texts * PARTS).reshape(n_texts, PARTS)
+
+
 def _sets(block: np.ndarray, offsets: np.ndarray, rank: np.ndarray | None):
     """(owner, value) distinct, by owner and pivot order; sizes; class hashes."""
     _, _, hashes, owner = rolling.words(block, offsets)
@@ -97,15 +106,15 @@ def _lists(values: np.ndarray, sizes: np.ndarray, present: np.ndarray) -> pa.Arr
     offsets = np.zeros(len(sizes) + 1, dtype=np.int32)
     np.cumsum(sizes, out=offsets[1:])
     return pa.ListArray.from_arrays(
-        pa.array(offsets), pa.array(values.view(np.int64)), mask=pa.array(~present)
+        pa.array(offsets), pa.array(values), mask=pa.array(~present)
     )
 
 
 def shingled(docs: DataFrame, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n, kind, pivots): size of each set, its hash, and the regions it belongs to.
+    """(doc_id, n, kind, pivots, parts): size of each set, its hash, its regions and its coordinates.
 
-    Texts with equal sets have one `kind`; a task gives the pivots of a kind once. A text
-    without words has size 0 and no pivots.
+    Texts with equal sets have one `kind`; a task gives pivots and parts of a kind once. A text
+    without words has size 0 and neither.
     """
     counts = shingle_counts(docs, text)
     order = np.argsort(counts, kind="stable")
@@ -125,18 +134,21 @@ def shingled(docs: DataFrame, percent: int, doc_id: str = "doc_id", text: str =
                 take = np.where(fresh, take, 0)
                 begin = np.cumsum(size) - size
                 held = np.arange(len(value)) - begin[owner] < take[owner]
+                parts = np.minimum(_parts(owner, value, last - first)[fresh], np.iinfo(np.int16).max)
+                part_lists = np.where(fresh, PARTS, 0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
                         pa.array(size.astype(np.int64)),
                         pa.array(kind),
-                        _lists(value[held], take, fresh),
+                        _lists(value[held].view(np.int64), take, fresh),
+                        _lists(parts.ravel().astype(np.int16), part_lists, fresh),
                     ],
-                    names=["doc_id", "n", "kind", "pivots"],
+                    names=["doc_id", "n", "kind", "pivots", "parts"],
                 )
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        regions, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n long, kind long, pivots array<long>"
+        regions, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n long, kind long, pivots array<long>, parts array<smallint>"
     )
 
 
@@ -154,13 +166,28 @@ def _shingle_sets(docs: DataFrame, kinds: DataFrame, text: str) -> DataFrame:
                     wanted[i] = kind[i] not in seen
                     seen.add(kind[i])
                 if wanted.any():
-                    lists = _lists(value[wanted[owner]], size[wanted], np.ones(int(wanted.sum()), dtype=bool))
+                    lists = _lists(value[wanted[owner]].view(np.int64), size[wanted], np.ones(int(wanted.sum()), dtype=bool))
                     yield pa.RecordBatch.from_arrays([pa.array(kind[wanted]), lists], names=["kind", "members"])
 
     found = docs.select(F.col(text).alias("text")).mapInArrow(members, "kind long, members array<long>")
     return found.join(kinds, "kind", "left_semi").dropDuplicates(["kind"])
 
 
+def _possible(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that may link by their coordinates.
+
+    A part of all shingles maps a set to how many of its shingles lie there. Two such counts differ
+    by no more than the sets differ in that part, so the sum of differences is a lower bound of
+    |x ^ y|, which is at most (1 - t) / (1 + t) * (|x| + |y|) for sets that link at t.
+    """
+    left = parts.select(F.col("kind").alias("a"), F.col("parts").alias("a_parts"), F.col("n").alias("a_n"))
+    right = parts.select(F.col("kind").alias("b"), F.col("parts").alias("b_parts"), F.col("n").alias("b_n"))
+    gaps = F.zip_with("a_parts", "b_parts", lambda x, y: F.abs(x.cast("int") - y.cast("int")))
+    apart = F.aggregate(gaps, F.lit(0), lambda total, gap: total + gap)
+    fits = apart * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)
+    return pairs.join(left, "a").join(right, "b").where(fits).select("a", "b")
+
+
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, common, total): exact sizes of intersection and union."""
     left = sets.select(F.col("kind").alias("a"), F.col("members").alias("a_set"))
@@ -220,6 +247,13 @@ def jaccard_components(
         .select("s", "band", "kind", "n", F.col("kind").alias("comp"), F.lit(None).cast("double").alias("d")),
         "members",
     )
+    coordinates = written(
+        rows.where("parts is not null")
+        .join(members.select("kind").distinct(), "kind", "left_semi")
+        .groupBy("kind", "n")
+        .agg(F.first("parts").alias("parts")),
+        "coordinates",
+    )
     comps, known, turn = None, None, 0
     while True:
         regions = (
@@ -259,7 +293,7 @@ def jaccard_components(
         )
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
+        pairs = written(_possible(pairs, coordinates, percent), "pairs")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("kind")).distinct()
         sets = written(_shingle_sets(docs, ends, text), "sets")
         measured = written(_measured(pairs, sets), "measured")

@@ -10,8 +10,9 @@ each pass:
    equal choose the same one. Digits that occur once are gone after a count.
 2. Second digit: all bytes of the windows that a suffix represents. Suffixes that agree in it are
    repeats in all these windows; the first by document stays and goes on.
-3. Last digit: where suffixes with one first digit differ in the second, each of their windows is
-   a key of `width` bytes of its own, and its first place by document and offset stays.
+3. Last digits: where suffixes with one first digit differ in the second, a quarter of their
+   windows at a time is looked up by the bytes these share, and what is left window by window;
+   the first place of a window by document and offset stays.
 
 Every pass is a grouping with partial sums and a join that adaptive execution may split, so a
 passage that a third of all documents share is no task's burden. Digits are compared by two
@@ -145,44 +146,73 @@ def repeated_suffixes(docs: DataFrame, width: int) -> DataFrame:
     return written(whole.unionByName(split), "repeats")
 
 
-def _windows(docs: DataFrame, places: DataFrame, width: int) -> DataFrame:
-    """(id, at, key_one, key_two, again): the windows around the given suffixes, by their bytes.
-
-    again: the same text has the window at a smaller offset too.
-    """
+def _contexts(docs: DataFrame, places: DataFrame, width: int) -> DataFrame:
+    """(id, at, before, bytes): each suffix with the bytes of all windows it represents."""
     spread = width - DIGIT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            which, at, before, around = [], [], [], []
             for i in range(len(batch)):
-                raw = np.frombuffer(batch.column(1)[i].as_py() or b"", dtype=np.uint8)
-                at = np.asarray(batch.column(2)[i].values).astype(np.int64)
-                starts = np.unique((at[:, None] - np.arange(spread + 1)).ravel())
-                starts = starts[(starts >= 0) & (starts + width <= len(raw))]
-                one, two = _ONE.prefix(raw), _TWO.prefix(raw)
-                key_one = rolling.mix(_ONE.windows(one, starts, starts + width))
-                key_two = rolling.mix(_TWO.windows(two, starts, starts + width))
-                order = np.lexsort((starts, key_two, key_one))
-                again = np.zeros(len(order), dtype=bool)
-                again[1:] = (key_one[order[1:]] == key_one[order[:-1]]) & (key_two[order[1:]] == key_two[order[:-1]])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(np.full(len(starts), i))),
-                        pa.array(starts[order].astype(np.int32)),
-                        pa.array(key_one[order].view(np.int64)),
-                        pa.array(key_two[order].view(np.int64)),
-                        pa.array(again),
-                    ],
-                    names=["id", "at", "key_one", "key_two", "again"],
-                )
+                raw = batch.column(1)[i].as_py() or b""
+                for place in batch.column(2)[i].as_py():
+                    low = max(place - spread, 0)
+                    which.append(i)
+                    at.append(place)
+                    before.append(place - low)
+                    around.append(raw[low : place + width])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(which, pa.int64())),
+                    pa.array(at, pa.int32()),
+                    pa.array(before, pa.int32()),
+                    pa.array(around, pa.binary()),
+                ],
+                names=["id", "at", "before", "bytes"],
+            )
 
     kind = docs.schema["id"].dataType.simpleString()
     return (
         _with_spot(docs, places, True)
         .join(places, "id")
         .select("id", "text", "places")
-        .mapInArrow(run, f"id {kind}, at int, key_one long, key_two long, again boolean")
+        .mapInArrow(run, f"id {kind}, at int, before int, bytes binary")
+    )
+
+
+def _later_windows(contexts: DataFrame, width: int) -> DataFrame:
+    """(id, start) of the windows around the given suffixes that start earlier elsewhere too.
+
+    The windows of a suffix fall into quarters, and what all windows of a quarter share is the
+    next digit: where it is found once, the quarter drops out. The others are compared one by one.
+    """
+    spread = width - DIGIT
+    step = -(-(spread + 1) // 4)
+    # A window is numbered by the bytes it takes before the suffix.
+    quarters = F.array(*(F.struct(F.lit(i).alias("low"), F.lit(min(i + step - 1, spread)).alias("high")) for i in range(0, spread + 1, step)))
+    first, last = f"greatest(q.low, {spread} - (octet_length(bytes) - before - {DIGIT}))", "least(q.high, before)"
+    parts = contexts.withColumn("q", F.explode(quarters)).where(f"{first} <= {last}")
+    core = F.expr(f"substring(bytes, before - q.low + 1, q.low + {width} - q.high)")
+    keyed = parts.select("id", "at", F.expr(first).alias("low"), F.expr(last).alias("high"), F.xxhash64("q.low", core).alias("key"))
+    again = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    kept = keyed.join(again, "key").groupBy("id", "at").agg(F.collect_list(F.struct("low", "high")).alias("parts"))
+    numbered = (
+        contexts.join(kept, ["id", "at"])
+        .select("id", "at", "before", "bytes", F.explode("parts").alias("q"))
+        .select("id", "at", "before", "bytes", F.explode(F.sequence("q.low", "q.high")).alias("r"))
+    )
+    window = F.expr(f"substring(bytes, before - r + 1, {width})")
+    windows = written(
+        numbered.select(
+            "id",
+            (F.col("at") - F.col("r")).alias("start"),
+            F.xxhash64(F.lit(1), window).alias("key_one"),
+            F.xxhash64(F.lit(2), window).alias("key_two"),
+        ),
+        "windows",
     )
+    owners = windows.groupBy("key_one", "key_two").agg(F.count("*").alias("n"), F.min(F.struct("id", "start")).alias("owner")).where("n > 1")
+    return windows.join(owners, ["key_one", "key_two"]).where(F.struct("id", "start") > F.col("owner")).select("id", "start")
 
 
 def _with_spot(docs: DataFrame, wanted: DataFrame, inside: bool) -> DataFrame:
@@ -279,20 +309,12 @@ def suffix_dedup(
     named = rows.where("id is not null")
     repeats = repeated_suffixes(named, width)
     places = repeats.where("not whole").groupBy("id").agg(F.collect_list("at").alias("places"))
-    windows = written(_windows(named, places, width), "windows")
-    owners = (
-        windows.where("not again")
-        .groupBy("key_one", "key_two")
-        .agg(F.count("*").alias("n"), F.min("id").alias("owner"))
-        .where("n > 1")
-    )
-    later = windows.where("not again").join(owners, ["key_one", "key_two"]).where("id > owner")
+    later = _later_windows(written(_contexts(named, places, width), "contexts"), width)
     nothing = F.lit(None).cast("int")
     spans = written(
         repeats.where("whole")
         .select("id", "at", nothing.alias("start"))
-        .unionByName(later.select("id", nothing.alias("at"), F.col("at").alias("start")))
-        .unionByName(windows.where("again").select("id", nothing.alias("at"), F.col("at").alias("start")))
+        .unionByName(later.select("id", nothing.alias("at"), "start"))
         .groupBy("id")
         .agg(F.collect_list("at").alias("around"), F.collect_list("start").alias("starts")),
         "spans",

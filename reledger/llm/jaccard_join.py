@@ -19,7 +19,7 @@ documents in one outer region. The recursion therefore has two kinds of pivots.
    different components and if |d(x, p) - d(y, p)| <= tau. Regions of more than `leaf` members
    recurse with new pivots; the rest are joined exactly.
 
-The order of shingles uses counts of all shingles in 2**18 buckets, whatever the input: 2 MB.
+The order of shingles uses counts of all shingles in 2**20 buckets, whatever the input: 8 MB.
 """
 
 from __future__ import annotations
@@ -36,9 +36,9 @@ from .bitmaps import bitmap, member
 from .components import components
 from .storage import written
 
-BUCKET_BITS = 18
+BUCKET_BITS = 20
 FILTER_BITS = 23
-LEAF = 64
+LEAF = 512
 PARTS = 128
 
 
@@ -47,7 +47,7 @@ def _bucket(value: np.ndarray) -> np.ndarray:
 
 
 def shingle_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Shingle occurrences of the corpus by hash bucket; 2**18 numbers at any size."""
+    """Shingle occurrences of the corpus by hash bucket; 2**20 numbers at any size."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
@@ -270,10 +270,10 @@ def jaccard_components(
         if not largest:
             break
         final = turn > 0 and largest <= leaf
-        # One pivot a region at first, which gathers its ball; an eighth of the rest in later turns.
+        # One pivot a region at first, which gathers its ball; a third of the rest in later turns.
         chosen = F.col("kind") == F.col("least")
         if turn:
-            chosen = chosen | (F.pmod(F.xxhash64("kind", F.lit(turn)), F.lit(8)) == 0)
+            chosen = chosen | (F.pmod(F.xxhash64("kind", F.lit(turn)), F.lit(3)) == 0)
         placed = members.join(regions.select("s", "band", "least"), ["s", "band"]).withColumn(
             "chosen", F.lit(True) if final else chosen
         )

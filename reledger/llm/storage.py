@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -33,4 +34,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/reledger-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of finished steps now, not at some later GC.
+
+    The cleaner only sees what the driver has collected as garbage; a job of many steps would
+    keep the shuffles of all of them on the executors' disks until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -181,38 +181,62 @@ def _contexts(docs: DataFrame, places: DataFrame, width: int) -> DataFrame:
 
 
 def _later_windows(contexts: DataFrame, width: int) -> DataFrame:
-    """(id, start) of the windows around the given suffixes that start earlier elsewhere too.
+    """(id, start, end) of bytes under windows around the given suffixes that start earlier elsewhere.
 
-    The windows of a suffix fall into quarters, and what all windows of a quarter share is the
-    next digit: where it is found once, the quarter drops out. The others are compared one by one.
+    The windows of a suffix fall into quarters. What all windows of a quarter cover, its hull, is
+    the next digit: of equal hulls the first by document stays and the others are repeats as a
+    whole. Of what stays, a quarter whose windows share bytes that no other hull has drops
+    out; the windows of the rest are compared one by one.
     """
     spread = width - DIGIT
     step = -(-(spread + 1) // 4)
     # A window is numbered by the bytes it takes before the suffix.
-    quarters = F.array(*(F.struct(F.lit(i).alias("low"), F.lit(min(i + step - 1, spread)).alias("high")) for i in range(0, spread + 1, step)))
-    first, last = f"greatest(q.low, {spread} - (octet_length(bytes) - before - {DIGIT}))", "least(q.high, before)"
-    parts = contexts.withColumn("q", F.explode(quarters)).where(f"{first} <= {last}")
+    bounds = [(i, min(i + step - 1, spread)) for i in range(0, spread + 1, step)]
+    quarters = F.array(*(F.struct(F.lit(i).alias("low"), F.lit(j).alias("high")) for i, j in bounds))
+    first = f"greatest(q.low, {spread} - (octet_length(bytes) - before - {DIGIT}))"
     core = F.expr(f"substring(bytes, before - q.low + 1, q.low + {width} - q.high)")
-    keyed = parts.select("id", "at", F.expr(first).alias("low"), F.expr(last).alias("high"), F.xxhash64("q.low", core).alias("key"))
-    again = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    kept = keyed.join(again, "key").groupBy("id", "at").agg(F.collect_list(F.struct("low", "high")).alias("parts"))
-    numbered = (
-        contexts.join(kept, ["id", "at"])
-        .select("id", "at", "before", "bytes", F.explode("parts").alias("q"))
-        .select("id", "at", "before", "bytes", F.explode(F.sequence("q.low", "q.high")).alias("r"))
+    hull = F.expr(f"substring(bytes, before - last + 1, last + {width} - first)")
+    keyed = (
+        contexts.withColumn("q", F.explode(quarters))
+        .withColumns({"first": F.expr(first), "last": F.expr("least(q.high, before)")})
+        .where("first <= last")
+        .select("id", "at", "first", "last", F.xxhash64("q.low", core).alias("core"), F.xxhash64(F.lit(3), "q.low", "first", "last", hull).alias("hull"))
+    )
+    keyed = written(keyed, "quarters")
+    hulls = keyed.groupBy("core", "hull").agg(F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("owner"))
+    hulls = written(hulls, "hulls")
+    shared = hulls.groupBy("core").agg(F.min("hull").alias("a"), F.max("hull").alias("b")).where("a <> b")
+    repeats = keyed.join(hulls.where("n > 1").select("core", "hull", "owner"), ["core", "hull"])
+    whole = repeats.where(F.struct("id", "at") > F.col("owner")).select(
+        "id", F.expr("at - last").alias("start"), F.expr(f"at - first + {width}").alias("end")
     )
+    owners = hulls.join(shared.select("core"), "core").select("owner.*", "core", "hull")
+    open_parts = keyed.join(owners, ["id", "at", "core", "hull"], "left_semi")
+    kept = open_parts.groupBy("id", "at").agg(F.collect_list(F.struct("first", "last")).alias("parts"))
     window = F.expr(f"substring(bytes, before - r + 1, {width})")
-    windows = written(
-        numbered.select(
+    windows = (
+        contexts.join(kept, ["id", "at"])
+        .select("id", "at", "before", "bytes", F.explode("parts").alias("q"))
+        .select("id", "at", "before", "bytes", F.explode(F.sequence("q.first", "q.last")).alias("r"))
+        .select(
             "id",
             (F.col("at") - F.col("r")).alias("start"),
             F.xxhash64(F.lit(1), window).alias("key_one"),
             F.xxhash64(F.lit(2), window).alias("key_two"),
-        ),
-        "windows",
+        )
     )
-    owners = windows.groupBy("key_one", "key_two").agg(F.count("*").alias("n"), F.min(F.struct("id", "start")).alias("owner")).where("n > 1")
-    return windows.join(owners, ["key_one", "key_two"]).where(F.struct("id", "start") > F.col("owner")).select("id", "start")
+    windows = written(windows, "windows")
+    earliest = (
+        windows.groupBy("key_one", "key_two")
+        .agg(F.count("*").alias("n"), F.min(F.struct("id", "start")).alias("owner"))
+        .where("n > 1")
+    )
+    single = (
+        windows.join(earliest, ["key_one", "key_two"])
+        .where(F.struct("id", "start") > F.col("owner"))
+        .select("id", "start", (F.col("start") + width).alias("end"))
+    )
+    return whole.unionByName(single)
 
 
 def _with_spot(docs: DataFrame, wanted: DataFrame, inside: bool) -> DataFrame:
@@ -258,9 +282,8 @@ def _digest(docs: DataFrame, width: int, keep_text: bool) -> DataFrame:
                         highs[i].append(np.minimum(at + width, size))
                     at = rows.column(3)[i].values
                     if at is not None and len(at):
-                        at = np.asarray(at).astype(np.int64)
-                        lows[i].append(at)
-                        highs[i].append(at + width)
+                        lows[i].append(np.asarray(at.field(0)).astype(np.int64))
+                        highs[i].append(np.asarray(at.field(1)).astype(np.int64))
                     a, b = _merged(np.concatenate(lows[i]), np.concatenate(highs[i]))
                     raw = block[offsets[i] : offsets[i + 1]]
                     if len(a):
@@ -288,7 +311,7 @@ def _digest(docs: DataFrame, width: int, keep_text: bool) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return docs.select("id", "text", "around", "starts").mapInArrow(run, schema)
+    return docs.select("id", "text", "around", "spans").mapInArrow(run, schema)
 
 
 def suffix_dedup(
@@ -310,17 +333,18 @@ def suffix_dedup(
     repeats = repeated_suffixes(named, width)
     places = repeats.where("not whole").groupBy("id").agg(F.collect_list("at").alias("places"))
     later = _later_windows(written(_contexts(named, places, width), "contexts"), width)
-    nothing = F.lit(None).cast("int")
+    span = F.struct("start", "end")
     spans = written(
         repeats.where("whole")
-        .select("id", "at", nothing.alias("start"))
-        .unionByName(later.select("id", nothing.alias("at"), "start"))
+        .select("id", "at", F.lit(None).cast("struct<start:int,end:int>").alias("span"))
+        .unionByName(later.select("id", F.lit(None).cast("int").alias("at"), span.alias("span")))
         .groupBy("id")
-        .agg(F.collect_list("at").alias("around"), F.collect_list("start").alias("starts")),
+        .agg(F.collect_list("at").alias("around"), F.collect_list("span").alias("spans")),
         "spans",
     )
-    free = F.lit(None).cast("array<int>")
-    alone = _with_spot(rows, spans, False).select("id", "text", free.alias("around"), free.alias("starts"))
+    alone = _with_spot(rows, spans, False).select(
+        "id", "text", F.lit(None).cast("array<int>").alias("around"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans")
+    )
     touched = _with_spot(rows, spans, True).join(spans.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
     out = _digest(alone, width, keep_text).unionByName(_digest(touched, width, keep_text))
     return out if keep_text else out.drop("kept")

@@ -52,6 +52,7 @@ def main() -> None:
         master=f"local[{cpus}]",
         extra={
             "spark.sql.shuffle.partitions": cpus,
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
             "spark.ui.showConsoleProgress": "false",
             # On one machine idle cores cost more than small files.

@@ -55,6 +55,7 @@ def main() -> None:
         master=f"local[{size.cpus}]",
         extra={
             "spark.sql.shuffle.partitions": str(4 * int(size.cpus)),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * int(size.cpus)),
             "spark.driver.memory": "16g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",

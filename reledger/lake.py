@@ -259,8 +259,6 @@ class Lake:
         table: Table,
         rows: DataFrame,
         scope: Iterable[PartitionSpec],
-        *,
-        rebalance: bool,
     ) -> Replaced:
         """Make `rows` the whole content of the partitions in `scope`.
 
@@ -270,14 +268,11 @@ class Lake:
         so that the caller can drop them when nothing needs them as a record any more. Which
         months were written is noted in one bitmap by the write itself: no second scan.
 
-        `rebalance` gathers each partition into files of the advisory size, splitting a hot
-        partition over several tasks. Leave it off where the input is already laid out well;
-        rows that arrive in the order of the files are not sorted again either.
+        Each partition is gathered into files of the advisory size, and a hot one is split over
+        several tasks, so the plan is the same for one month and for a hundred.
         """
         counted = Observation()
-        placed = rows.select(*table.column_order)
-        if rebalance:
-            placed = placed.hint("rebalance", *table.partitions)
+        placed = rows.select(*table.column_order).hint("rebalance", *table.partitions)
         (
             placed.observe(
                 counted,
@@ -291,8 +286,7 @@ class Lake:
         emptied = [
             spec for spec in scope if not _has_bit(written["months"], int(spec[REPORT_MONTH]))
         ]
-        for spec in emptied:
-            self._empty_partition(table, spec)
+        self._empty_partitions(table, emptied)
         return Replaced(written["rows"], emptied)
 
     def append(self, table: Table, rows: DataFrame) -> None:
@@ -301,30 +295,34 @@ class Lake:
 
     def drop_partitions(self, table: Table, specs: Iterable[PartitionSpec]) -> None:
         """Remove partitions, files included, which DROP alone does not do for a table
-        that has its own location: each is overwritten with nothing first."""
-        nothing = ", ".join(
-            f"CAST(NULL AS {ddl_type})"
-            for name, ddl_type in table.columns
-            if name not in table.partitions
-        )
-        literals = [f"PARTITION ({_literals(table, spec)})" for spec in specs]
-        for partition in literals:
-            self.spark.sql(
-                f"INSERT OVERWRITE {self.name(table)} {partition} SELECT {nothing} WHERE false"
-            )
-        if literals:
-            self.spark.sql(
-                f"ALTER TABLE {self.name(table)} DROP IF EXISTS {', '.join(literals)}"
-            )
-
-    def _empty_partition(self, table: Table, spec: PartitionSpec) -> None:
-        """Put one file without rows in place of a partition, which stays listed."""
-        stored = self.table(table).drop(*table.partitions).schema
-        keys = "/".join(f"{column}={spec[column]}" for column in table.partitions)
-        self.spark.createDataFrame([], stored).write.mode("overwrite").parquet(
-            f"{self.location(table)}/{keys}"
-        )
-        self.spark.catalog.refreshTable(self.name(table))
+        that has its own location. No Spark job runs, however many there are."""
+        specs = list(specs)
+        if not specs:
+            return
+        self._empty_partitions(table, specs, keep=False)
+        literals = ", ".join(f"PARTITION ({_literals(table, spec)})" for spec in specs)
+        self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {literals}")
+
+    def _empty_partitions(
+        self, table: Table, specs: Iterable[PartitionSpec], *, keep: bool = True
+    ) -> None:
+        """Delete the files of partitions through the file system of the lake.
+
+        With `keep` an empty folder stays, and the partition stays listed.
+        """
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
+        deleted = False
+        for spec in specs:
+            keys = "/".join(f"{column}={spec[column]}" for column in table.partitions)
+            folder = hadoop.Path(f"{self.location(table)}/{keys}")
+            files = folder.getFileSystem(configuration)
+            files.delete(folder, True)
+            if keep:
+                files.mkdirs(folder)
+            deleted = True
+        if deleted:
+            self.spark.catalog.refreshTable(self.name(table))
 
     def truncate(self, table: Table) -> None:
         """Empty a table and forget its partitions."""

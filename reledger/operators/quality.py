@@ -48,9 +48,10 @@ def reconcile(left: DataFrame, right: DataFrame, grain: Sequence[str]) -> DataFr
     """Component sums of two layers per group, and whether all of them agree exactly.
 
     Both sides go through one aggregation, so a group missing on one side shows up as a
-    difference instead of dropping out of a join.
+    difference instead of dropping out of a join. Its sums there are NULL, so a group of zeros
+    on the other side differs from it too.
     """
-    empty = F.lit(0)
+    empty = F.lit(None)
 
     def side(df: DataFrame, is_left: bool) -> DataFrame:
         columns = [F.col(name).alias(f"left_{name}") if is_left else
@@ -136,7 +137,13 @@ def conservation(parts: DataFrame, whole: DataFrame, grain: Sequence[str]) -> Da
     """Per group, whether the parts add up to the whole in every shared measure column."""
     measures = [name for name in whole.columns if name not in grain]
     negated = whole.select(*grain, *[(-F.col(name)).alias(name) for name in measures])
-    both = parts.select(*grain, *measures).unionByName(negated)
-    sums = both.groupBy(*grain).agg(*[F.sum(name).alias(name) for name in measures])
-    balanced = reduce(lambda a, b: a & b, [F.col(name) == 0 for name in measures])
+    # A group of zeros balances against nothing at all, so the sides' rows are counted as well.
+    both = (
+        parts.select(*grain, *measures, F.lit(1).alias("_part"), F.lit(0).alias("_whole"))
+    ).unionByName(negated.withColumns({"_part": F.lit(0), "_whole": F.lit(1)}))
+    sums = both.groupBy(*grain).agg(
+        *[F.sum(name).alias(name) for name in (*measures, "_part", "_whole")]
+    )
+    present = (F.col("_part") > 0) & (F.col("_whole") > 0)
+    balanced = reduce(lambda a, b: a & b, [F.col(name) == 0 for name in measures], present)
     return sums.select(*grain, balanced.alias("is_conserved"))

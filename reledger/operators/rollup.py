@@ -60,11 +60,18 @@ def change_between(before: DataFrame, after: DataFrame, grain: Sequence[str]) ->
     """What each component gained from `before` to `after`, where anything changed.
 
     One aggregation over both sides, the earlier one negated: rows present on one side only
-    count in full, and no join is needed.
+    count in full, and no join is needed. `row_change` is the rows gained, so a group of zeros
+    that appeared or vanished shows up as well.
     """
-    negated = before.select(*grain, *[(-F.col(name)).alias(name) for name in COMPONENTS])
-    signed = after.select(*grain, *COMPONENTS).unionByName(negated)
-    changed = F.lit(False)
+    negated = before.select(
+        *grain, *[(-F.col(name)).alias(name) for name in COMPONENTS], F.lit(-1).alias("_sign")
+    )
+    signed = after.select(*grain, *COMPONENTS, F.lit(1).alias("_sign")).unionByName(negated)
+    changed = F.col("row_change") != 0
     for name in COMPONENTS:
         changed = changed | (F.col(name) != 0)
-    return sum_components(signed, grain).filter(changed)
+    return (
+        signed.groupBy(*grain)
+        .agg(*[total(name) for name in COMPONENTS], F.sum("_sign").alias("row_change"))
+        .filter(changed)
+    )

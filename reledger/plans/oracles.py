@@ -288,10 +288,11 @@ SELECT source, account_id, campaign_id, report_date,
        a.clicks - coalesce(b.clicks, 0) AS clicks,
        a.impressions - coalesce(b.impressions, 0) AS impressions,
        a.conversions - coalesce(b.conversions, 0) AS conversions,
-       CAST(a.revenue_eur - coalesce(b.revenue_eur, 0) AS DECIMAL(18,6)) AS revenue_eur
+       CAST(a.revenue_eur - coalesce(b.revenue_eur, 0) AS DECIMAL(18,6)) AS revenue_eur,
+       CASE WHEN b.clicks IS NULL THEN 1 ELSE 0 END AS row_change
 FROM ({_gold("silver_ra")}) a
 LEFT JOIN ({_gold("silver_a")}) b USING (source, account_id, campaign_id, report_date)
-WHERE a.spend_eur <> coalesce(b.spend_eur, 0) OR a.clicks <> coalesce(b.clicks, 0)
+WHERE b.clicks IS NULL OR a.spend_eur <> coalesce(b.spend_eur, 0) OR a.clicks <> coalesce(b.clicks, 0)
    OR a.impressions <> coalesce(b.impressions, 0)
    OR a.conversions <> coalesce(b.conversions, 0)
    OR a.revenue_eur <> coalesce(b.revenue_eur, 0)

@@ -24,17 +24,11 @@ from reledger.sources.networks import conform, network_named, networks
 from reledger.sources.synthetic import baseline_rows
 
 BUSINESS_KEY = ("source", "account_id", "report_date", "campaign_id", "product_id")
-# The month follows from the report date, so it adds nothing to the key. In front of it, it
-# makes the order of the window the order of the Silver files, which then need no sort.
+# The month follows from the report date, so it adds nothing to the key.
 WINDOW_KEY = (REPORT_MONTH, *BUSINESS_KEY)
 # After the version come the columns that make the order total.
 NEWEST_FIRST = ("_extracted_at", "_ingested_at", "_object", *COMPONENTS)
 
-# Up to here each task may write its share of every month: the files stay large enough, and
-# a restatement, which seldom touches more, is spared a shuffle of whole months.
-FEW_MONTHS = 4
-
-
 @dataclass(frozen=True)
 class Reload:
     """What a reload left: the rows loaded, the months it held before or holds now, and the
@@ -48,9 +42,8 @@ class Reload:
 def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
     """Rebuild one extraction of one source from all its objects.
 
-    The rows go from the scan straight into the files of the extraction, unless it spans so
-    many months that every task would write a small file for each of them. The old files
-    stay in place until every task has succeeded. Loading once or many times leaves the same
+    The rows are gathered by month on their way into the files of the extraction, whatever the
+    number of months, and a hot month is split over several tasks. The old files stay in place until every task has succeeded. Loading once or many times leaves the same
     rows; other extractions are not read or written.
     """
     network = network_named(source)
@@ -66,13 +59,11 @@ def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
     required = [name for name, _ in network.report_columns]
 
     extraction = {"_source": source, "_extracted_at": day.isoformat()}
-    first, last = _month_span(report, network.day_column)
     before = lake.partitions(network.bronze, extraction)
     replaced = lake.replace_partitions(
         network.bronze,
         require_values(rows, required, f"{source} {day}"),
         before,
-        rebalance=last - first >= FEW_MONTHS,
     )
     after = lake.partitions(network.bronze, extraction)
     months = {int(spec[REPORT_MONTH]) for spec in before + after}
@@ -147,15 +138,8 @@ def load_baseline(lake: Lake) -> None:
     lake.append(BASELINE, baseline_rows(numbers))
 
 
-def _month_span(report: DataFrame, day_column: str) -> tuple[int, int]:
-    """The first and last month of a report, counted from year zero; reads one column."""
-    month = F.year(day_column) * 12 + F.month(day_column)
-    row = report.agg(F.min(month).alias("first"), F.max(month).alias("last")).first()
-    return row["first"] or 0, row["last"] or 0
-
-
 def _replace_months(lake: Lake, table: Table, rows: DataFrame, months: list[int]) -> None:
     wanted = set(months)
     scope = [spec for spec in lake.partitions(table) if int(spec[REPORT_MONTH]) in wanted]
-    replaced = lake.replace_partitions(table, rows, scope, rebalance=len(months) > FEW_MONTHS)
+    replaced = lake.replace_partitions(table, rows, scope)
     lake.drop_partitions(table, replaced.emptied)

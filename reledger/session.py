@@ -12,6 +12,9 @@ SETTINGS = {
     # Aim at the advisory size instead of at many small tasks: it is also the file size.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # AQE joins small reducers but splits none under a window, so start with many of them:
+    # 4,096 reducers of the advisory size hold 512 GB of one shuffle. Raise it for larger ones.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",

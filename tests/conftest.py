@@ -25,6 +25,7 @@ def spark():
         master="local[4]",
         extra={
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -174,7 +174,7 @@ def test_a_hot_month_is_written_by_several_tasks(empty_lake):
     normal = spark.conf.get(key)
     spark.conf.set(key, "2m")
     try:
-        written = empty_lake.replace_partitions(SILVER, rows, [], rebalance=True)
+        written = empty_lake.replace_partitions(SILVER, rows, [])
     finally:
         spark.conf.set(key, normal)
     assert (written.rows, written.emptied) == (300_000, [])

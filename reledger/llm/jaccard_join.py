@@ -13,7 +13,7 @@ documents in one outer region. The recursion therefore has two kinds of pivots.
    into bands of sizes, each document in its own and the next.
 3. Coordinates. Counts of a set in 128 parts of all shingles bound its distance from another set
    from below; pairs that are too far apart are never measured.
-4. Document pivots. In each region the smallest member is the pivot p, and d(x, p) is computed
+4. Document pivots. In each region the member with most copies is the pivot p, and d(x, p) is computed
    exactly. Members inside p's ball are linked through it and never compared with each other, so
    a group of n near copies costs n pairs. Other pairs of a region go on only if they are in
    different components and if |d(x, p) - d(y, p)| <= tau. Regions of more than `leaf` members
@@ -229,12 +229,19 @@ def jaccard_components(
     rows = written(shingled(docs, percent, doc_id, text), "shingled")
     held = rows.where("pivots is not null").select("kind", "n", F.explode("pivots").alias("s"))
     shared = held.groupBy("s").agg(F.min("kind").alias("low"), F.max("kind").alias("high")).where("low <> high")
-    near = held.join(shared.select("s"), "s").groupBy("s", "kind", "n").agg(F.lit(0).alias("d0"))
+    # A text with many copies is the likelier centre of its near copies: the first pivot. Every
+    # task lists the pivots of a kind once, so tasks are counted here; the kind breaks ties.
+    near = (
+        held.join(shared.select("s"), "s")
+        .groupBy("s", "kind", "n")
+        .agg(F.count("*").alias("tasks"))
+        .withColumn("weight", F.struct("tasks", "kind"))
+    )
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + 1e-9) if percent < 100 else F.col("n")
     steps = F.array(F.lit(0), F.lit(1)) if percent < 100 else F.array(F.lit(0))
     banded = written(
-        near.select("s", "kind", "n", F.explode(steps).alias("step"), band.cast("long").alias("own"))
-        .select("s", "kind", "n", (F.col("own") + F.col("step")).alias("band"), F.col("step")),
+        near.select("s", "kind", "n", "weight", F.explode(steps).alias("step"), band.cast("long").alias("own"))
+        .select("s", "kind", "n", "weight", (F.col("own") + F.col("step")).alias("band"), F.col("step")),
         "regions",
     )
     alive = (
@@ -244,7 +251,7 @@ def jaccard_components(
     )
     members = written(
         banded.join(alive.select("s", "band"), ["s", "band"])
-        .select("s", "band", "kind", "n", F.col("kind").alias("comp"), F.lit(None).cast("double").alias("d")),
+        .select("s", "band", "kind", "n", F.col("kind").alias("comp"), F.lit(None).cast("double").alias("d"), "weight"),
         "members",
     )
     coordinates = written(
@@ -259,7 +266,7 @@ def jaccard_components(
         regions = (
             members.groupBy("s", "band")
             .agg(
-                F.min("kind").alias("least"),
+                F.max_by("kind", "weight").alias("least"),
                 F.count("*").alias("m"),
                 F.min("comp").alias("low"),
                 F.max("comp").alias("high"),
@@ -269,10 +276,10 @@ def jaccard_components(
         largest = regions.agg(F.max("m")).first()[0]
         if not largest:
             break
-        final = turn > 0 and largest <= leaf
-        # One pivot a region at first, which gathers its ball; a third of the rest in later turns.
+        final = turn > 1 and largest <= leaf
+        # One pivot a region in the first two turns, which gathers its ball; a third of the rest later.
         chosen = F.col("kind") == F.col("least")
-        if turn:
+        if turn > 1:
             chosen = chosen | (F.pmod(F.xxhash64("kind", F.lit(turn)), F.lit(3)) == 0)
         placed = members.join(regions.select("s", "band", "least"), ["s", "band"]).withColumn(
             "chosen", F.lit(True) if final else chosen
@@ -285,7 +292,7 @@ def jaccard_components(
         close = F.abs(F.col("d") - F.col("pivot_d")) <= 1 - percent / 100 + 1e-9
         pairs = (
             placed.join(pivots, ["s", "band"])
-            .where("comp <> pivot_comp")
+            .where("comp <> pivot_comp and (not chosen or kind > pivot_kind)")
             .where(f"100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n)")
             .where(F.coalesce(close, F.lit(True)))
             .select(F.greatest("kind", "pivot_kind").alias("a"), F.least("kind", "pivot_kind").alias("b"))
@@ -311,7 +318,7 @@ def jaccard_components(
             rest = rest.drop("d").join(distance, ["kind", "least"], "left").withColumnRenamed("new_d", "d")
         members = written(
             rest.join(comps.select(F.col("node").alias("kind"), F.col("component").alias("comp")), "kind", "left")
-            .select("s", "band", "kind", "n", F.coalesce("comp", "kind").alias("comp"), "d"),
+            .select("s", "band", "kind", "n", F.coalesce("comp", "kind").alias("comp"), "d", "weight"),
             "members",
         )
         turn += 1

@@ -119,7 +119,9 @@ def _diverse(points, centres, candidates, scores, keep):
         chosen[:, i] |= take
         count += take
     place = np.argsort(~chosen, axis=1, kind="stable")[:, :keep]
-    return np.where(chosen[across, place], candidates[across, place], -1)
+    out = np.full((n, keep), -1, dtype=np.int64)
+    out[:, : place.shape[1]] = np.where(chosen[across, place], candidates[across, place], -1)
+    return out
 
 
 def _link_back(points, links, sources, targets, keep):

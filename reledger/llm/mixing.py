@@ -152,9 +152,12 @@ def mix(
             F.when(F.col("whole") > i, F.col("size")) for i in range(max_epochs)
         ), F.col("part"))))
     ).where("words > 0")
-    first = r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){"
     whole = F.col("words") == F.col("size")
-    cut = F.expr("regexp_extract(row.`{}`, concat('{}', words - 1, '}}[^\\\\x20\\\\x09-\\\\x0D]+'), 0)".format(text, first.replace("\\", "\\\\")))
+    # The words up to the limit and the rest as one last part, which is cut off.
+    body, space = F.col("row").getField(text), r"[\x20\x09-\x0D]"
+    limit = F.col("words") + F.when(body.rlike(f"^{space}"), 2).otherwise(1)
+    rest = F.element_at(F.split(body, f"{space}+", limit.cast("int")), -1)
+    cut = F.regexp_replace(F.substring(body, F.lit(1), F.length(body) - F.length(rest)), f"{space}+$", "")
     out = {c: F.col("row").getField(c) for c in docs.columns}
     out[text] = F.when(whole, out[text]).otherwise(cut)
     if n_chars in docs.columns:

@@ -49,7 +49,7 @@ stepped AS (
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
 leveled AS (
-    SELECT min(CAST(rest AS DOUBLE) / CAST(open_weight AS DOUBLE)) AS level FROM stepped
+    SELECT max(CAST(rest AS DOUBLE) / CAST(open_weight AS DOUBLE)) AS level FROM stepped
     WHERE CAST(rest AS DOUBLE) / CAST(open_weight AS DOUBLE) <= 2.0 * source_size / weight
 ),
 targets AS (

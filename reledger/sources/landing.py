@@ -13,12 +13,14 @@ from reledger.sources.networks import Network
 
 LANDING_KEYS = ("source", "report", "extracted_at")
 
-# Row groups stay small enough to skip within a file and large enough to compress.
-LANDING_OPTIONS = {
+# One writer for every landed object. Row groups stay small enough to skip within a file and
+# large enough to compress.
+OBJECT_OPTIONS = {
     "compression": "zstd",
     "parquet.compression.codec.zstd.level": "3",
-    "partitionOverwriteMode": "dynamic",
+    "parquet.block.size": str(64 << 20),
 }
+LANDING_OPTIONS = {**OBJECT_OPTIONS, "partitionOverwriteMode": "dynamic"}
 
 
 def extraction_prefix(landing: str, source: str, day: date | str) -> str:
@@ -82,12 +84,10 @@ def write_object(rows: DataFrame, landing: str, source: str, day: date | str, na
     The object is a directory of part files, so its size is not bound to one task.
     """
     path = f"{extraction_prefix(landing, source, day)}/{name}.parquet"
-    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    rows.write.mode("overwrite").options(**OBJECT_OPTIONS).parquet(path)
     return path
 
 
 def copy_object(spark: SparkSession, origin: str, target: str) -> None:
     """Copy an object to another key, replacing what was there."""
-    spark.read.parquet(origin).write.mode("overwrite").option("compression", "zstd").parquet(
-        target
-    )
+    spark.read.parquet(origin).write.mode("overwrite").options(**OBJECT_OPTIONS).parquet(target)

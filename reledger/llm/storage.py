@@ -38,6 +38,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a table from `written` that no later step reads.
+
+    What was made of it must be written by then: a lost executor then never needs it again.
+    """
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner delete the shuffle files of finished steps now, not at some later GC.
 

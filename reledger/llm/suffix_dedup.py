@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import rolling
 from .bitmaps import bitmap, member
-from .storage import written
+from .storage import discard, written
 
 DIGIT = 40
 FILTER_BITS = 23
@@ -152,7 +152,9 @@ def repeated_suffixes(suffixes: DataFrame) -> DataFrame:
     ranked = shared.join(classes, ["first", "second"]).join(mixed, "first", "left")
     whole = ranked.where("id > owner").select("id", "at", F.lit(True).alias("whole"))
     split = ranked.where("id = owner and mixed").select("id", "at", F.lit(False).alias("whole"))
-    return written(whole.unionByName(split), "repeats")
+    repeats = written(whole.unionByName(split), "repeats")
+    discard(shared)
+    return repeats
 
 
 def _contexts(docs: DataFrame, places: DataFrame, width: int) -> DataFrame:
@@ -202,7 +204,7 @@ def _later_windows(contexts: DataFrame, width: int) -> DataFrame:
     first = f"greatest(low, {spread} - (octet_length(bytes) - before - {DIGIT}))"
     core = F.expr(f"substring(bytes, before - low + 1, low + {width} - high)")
     hull = F.expr(f"substring(bytes, before - last + 1, last + {width} - first)")
-    parts, size, spans = contexts.withColumn("parent", F.lit(0)), spread + 1, []
+    parts, size, spans, done = contexts.withColumn("parent", F.lit(0)), spread + 1, [], []
     while size > 1:
         step = -(-size // 4)
         keyed = (
@@ -221,21 +223,24 @@ def _later_windows(contexts: DataFrame, width: int) -> DataFrame:
             )
         )
         keyed = written(keyed, f"parts-{step}")
+        for table in done:
+            discard(table)
         owner = F.min(F.struct("id", "at")).alias("owner")
         hulls = keyed.groupBy("core", "hull").agg(F.count("*").alias("n"), owner, F.first("low").alias("low"))
         hulls = written(hulls, f"hulls-{step}") if step > 1 else hulls
         repeats = keyed.join(hulls.where("n > 1").select("core", "hull", "owner"), ["core", "hull"])
-        spans.append(
-            repeats.where(F.struct("id", "at") > F.col("owner")).select(
-                "id", F.expr("at - last").alias("start"), F.expr(f"at - first + {width}").alias("end")
-            )
+        later = repeats.where(F.struct("id", "at") > F.col("owner")).select(
+            "id", F.expr("at - last").alias("start"), F.expr(f"at - first + {width}").alias("end")
         )
+        spans.append(written(later, f"later-{step}"))
         if step > 1:
             several = hulls.groupBy("core").agg(F.min("hull").alias("a"), F.max("hull").alias("b")).where("a <> b")
             kept = hulls.join(several.select("core"), "core").select("owner.*", "low")
             kept = kept.groupBy("id", "at").agg(F.collect_set("low").alias("parents"))
             parts = contexts.join(kept, ["id", "at"]).withColumn("parent", F.explode("parents"))
+            done = [keyed, hulls]
         size = step
+    discard(keyed)
     return reduce(DataFrame.unionByName, spans)
 
 
@@ -335,9 +340,13 @@ def suffix_dedup(
     suffixes = written(_suffixes(named, width), "suffixes")
     repeats = repeated_suffixes(suffixes)
     places = repeats.where("not whole").groupBy("id").agg(F.collect_set("at").alias("places"))
-    later = _later_windows(written(_contexts(named, places, width), "contexts"), width)
-    span = F.struct("start", "end")
     within = suffixes.where("until is not null").select("id", F.col("at").alias("start"), F.col("until").alias("end"))
+    within = written(within, "within")
+    discard(suffixes)
+    contexts = written(_contexts(named, places, width), "contexts")
+    later = _later_windows(contexts, width)
+    discard(contexts)
+    span = F.struct("start", "end")
     spans = written(
         repeats.where("whole")
         .select("id", "at", F.lit(None).cast("struct<start:int,end:int>").alias("span"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reledger.operators import quality
 from reledger.operators.rollup import AMOUNTS, COMPONENTS, change_between
@@ -42,3 +43,11 @@ def test_zero_group_that_appears_or_vanishes_is_a_change(zeros):
 
 def test_shuffles_start_with_many_reducers():
     assert int(SETTINGS["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 4096
+
+
+def test_column_audit_tells_a_wrong_and_a_missing_column(spark):
+    declared = T.StructType.fromDDL("a bigint, b string")
+    found = quality.column_audit(spark.createDataFrame([(1, 2.0)], "a int, c double"), declared)
+    assert sorted(tuple(row) for row in found.collect()) == [
+        ("a", "int", False, 1), ("b", None, False, 0), ("c", "double", False, 1)
+    ]

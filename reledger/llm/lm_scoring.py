@@ -1,11 +1,13 @@
 """Cross-entropy difference: a target and a background bigram model score each document.
 
-Both models have the same vocabulary, the commonest words of the background corpus, and the same
-inventory of bigrams, the commonest of the target corpus, so that they differ in counts alone.
-Counts cover every document. What is broadcast is bounded by the two sizes, not by the corpus.
-
-p(w | h) = max(c(h, w) - d, 0) / c(h) + g(h) * p(w) for bigrams of the inventory, and g(h) * p(w)
-for others, where g(h) is the mass that is left and p(w) has add-one counts.
+Every word and bigram of both corpora is counted, by sums in each task and a shuffle by bigram;
+the counts are tables that grow with the corpus. The loss of a word after another is the
+same in every document, so a document's loss is a sum over its bigrams. The commonest bigrams, at
+most HOT, go to every task with their losses, so no other is hot; the rest are joined by a shuffle.
+
+p(w | h) = max(c(h, w) - d, 0) / c(h) + g(h) * p(w), where g(h) is the mass that is left, 1 for a
+context that was not seen, and p(w) has add-one counts over the words of the background and one
+word more, which stands for all others. Bigrams and words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -14,103 +16,138 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
 from .bitmaps import bitmap, member
+from .storage import written
 
-VOCABULARY = 1 << 16
-BIGRAMS = 1 << 18
+#: Bound of the bigrams that are broadcast; results do not depend on it.
+HOT = 1 << 19
+#: Word statistics of fewer words than this are broadcast.
+BROADCAST_WORDS = 1 << 20
 DISCOUNT = 0.5
 FILTER_BITS = 23
-#: Word numbers of a text's start and of words outside the vocabulary.
-START, UNKNOWN, FIRST = 0, 1, 2
+#: Stands before the first word of a text.
+START = np.uint64(0)
+#: Distinct bigrams that a task sums before it passes them on.
+PENDING = 1 << 20
+#: Losses are whole multiples of 1 / STEPS, so their sums hardly depend on the order.
+STEPS = float(1 << 32)
 
 
 class _Sum:
-    """Counts by key of a task, folded whenever many are pending."""
+    """Counts of the bigrams of a task, by key; passed on whenever many are held."""
 
     def __init__(self) -> None:
-        self.keys, self.counts, self.pending = np.zeros(0, np.int64), np.zeros(0, np.int64), []
-
-    def add(self, keys: np.ndarray) -> None:
-        self.pending.append(keys)
-        if sum(map(len, self.pending)) > 4_000_000:
-            self.fold()
-
-    def fold(self) -> None:
-        if self.pending:
-            keys, counts = np.unique(np.concatenate(self.pending), return_counts=True)
-            keys = np.concatenate([self.keys, keys])
-            counts = np.concatenate([self.counts, counts])
-            self.keys, place = np.unique(keys, return_inverse=True)
-            self.counts = np.bincount(place, weights=counts, minlength=len(self.keys)).astype(np.int64)
-            self.pending = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.held = self.folded = 0
+
+    def add(self, keys: np.ndarray, before: np.ndarray) -> Iterator[pa.RecordBatch]:
+        key, first, n = np.unique(keys, return_index=True, return_counts=True)
+        self.parts.append((key, before[first], n))
+        self.held += len(key)
+        if self.held > self.folded + PENDING:
+            self._fold()
+            if self.folded > PENDING:
+                yield self.batch()
+
+    def _fold(self) -> None:
+        key, before, n = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        key, first, place = np.unique(key, return_index=True, return_inverse=True)
+        n = np.bincount(place, weights=n, minlength=len(key)).astype(np.int64)
+        self.parts = [(key, before[first], n)]
+        self.held = self.folded = len(key)
 
     def batch(self) -> pa.RecordBatch:
-        self.fold()
-        return pa.RecordBatch.from_arrays([pa.array(self.keys), pa.array(self.counts)], names=["key", "n"])
+        columns = [np.zeros(0, np.int64)] * 3
+        if self.parts:
+            self._fold()
+            columns = [c.view(np.int64) for c in self.parts[0]]
+        self.parts, self.held, self.folded = [], 0, 0
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "h", "n"])
+
 
+def _bigrams(block: np.ndarray, offsets: np.ndarray):
+    """(key, previous, text) of each word; key is the exclusive or of both words' hashes.
 
-def _counted(docs: DataFrame, keys_of) -> DataFrame:
-    """(key, n): occurrences of the keys that `keys_of` finds in a block; summed in each task first."""
+    That of the previous word is mixed once more, so that order counts.
+    """
+    _, _, current, text = rolling.words(block, offsets)
+    before = np.empty_like(current)
+    before[:1] = START
+    before[1:] = np.where(text[1:] == text[:-1], current[:-1], START)
+    before = rolling.mix(before)
+    return before ^ current, before, text
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """(key, h, n): occurrences of each bigram, summed in each task; h is its first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = _Sum()
         for batch in batches:
             for _, _, block, offsets in rolling.blocks(batch.column(0)):
-                total.add(keys_of(block, offsets))
+                key, before, _ = _bigrams(block, offsets)
+                yield from total.add(key, before)
         yield total.batch()
 
-    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "key long, h long, n long")
 
 
-def _numbers(block: np.ndarray, offsets: np.ndarray, known: np.ndarray, number: np.ndarray):
-    """(previous, current, text) of each word, as word numbers."""
-    _, _, hashes, text = rolling.words(block, offsets)
-    hashes = hashes.view(np.int64)
-    if len(known):
-        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        current = np.where(known[place] == hashes, number[place], UNKNOWN)
-    else:
-        current = np.full(len(hashes), UNKNOWN)
-    before = np.empty_like(current)
-    before[:1] = START
-    before[1:] = np.where(text[1:] == text[:-1], current[:-1], START)
-    return before, current, text
+def counts(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """(key, h, far_n, near_n): how often each bigram of `docs` is in `docs` and in `target`, rows of `docs`."""
+    zero = F.lit(0).cast("long")
+    both = _counted(docs).select("key", "h", F.col("n").alias("far_n"), zero.alias("near_n")).unionByName(
+        _counted(target).select("key", "h", zero.alias("far_n"), F.col("n").alias("near_n"))
+    )
+    sums = [F.sum(c).alias(c) for c in ("far_n", "near_n")]
+    return written(both.groupBy("key").agg(F.min("h").alias("h"), *sums), "bigrams")
+
 
+def with_losses(pairs: DataFrame):
+    """A function that gives (key, near, far), nats under either model, of some rows of `pairs`."""
+    both = ("far", "near")
+    pairs = pairs.withColumn("w", F.col("key").bitwiseXOR(F.col("h")))
+    seen = [F.sum((F.col(f"{m}_n") > 0).cast("long")).alias(f"{m}_after") for m in both]
+    # Written, so that a join by a common word is one of two shuffles, which Spark may split.
+    contexts = written(pairs.groupBy("h").agg(*(F.sum(f"{m}_n").alias(f"{m}_h") for m in both), *seen), "contexts")
+    words = written(pairs.groupBy("w").agg(*(F.sum(f"{m}_n").alias(f"{m}_w") for m in both)), "words")
+    total = words.agg(F.count("*").alias("words"), *(F.sum(f"{m}_w").alias(m) for m in both)).first()
+    if total.words < BROADCAST_WORDS:
+        contexts, words = F.broadcast(contexts), F.broadcast(words)
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
-    """(word hashes in order, word numbers) of the commonest words, ties by hash."""
+    def loss(model: str) -> Column:
+        n, context, after = (F.col(f"{model}_{c}").cast("double") for c in ("n", "h", "after"))
+        single = (F.col(f"{model}_w") + 1) / F.lit(float((total[model] or 0) + total.words + 1))
+        share = F.greatest(n - DISCOUNT, F.lit(0.0)) / F.greatest(context, F.lit(1.0))
+        left = F.when(context > 0, DISCOUNT * after / context).otherwise(1.0)
+        return (F.rint(-F.log(share + left * single) * STEPS) / STEPS).alias(model)
 
-    def keys(block: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return rolling.words(block, offsets)[2].view(np.int64)
+    def of(some: DataFrame) -> DataFrame:
+        some = some.withColumn("w", F.col("key").bitwiseXOR(F.col("h")))
+        return some.join(contexts, "h").join(words, "w").select("key", loss("near"), loss("far"))
 
-    rows = _counted(docs, keys).orderBy(F.desc("n"), "key").limit(size).toArrow()
-    hashes = rows.column("key").to_numpy()
-    order = np.argsort(hashes)
-    return hashes[order], (np.arange(len(hashes)) + FIRST)[order]
+    return of
 
 
-class Model:
-    """Log probabilities under one corpus; the inventory is shared between models."""
+def _least(pairs: DataFrame, most: int) -> int | None:
+    """The smallest count that at most `most` bigrams reach."""
+    least, n = None, 0
+    for row in pairs.groupBy("far_n").count().orderBy(F.desc("far_n")).toLocalIterator():
+        n += row["count"]
+        if n > most:
+            break
+        least = row.far_n
+    return least
 
-    def __init__(self, words: np.ndarray, contexts: np.ndarray, pairs: np.ndarray, counts: np.ndarray, width: int):
-        self.pairs, self.width = pairs, width
-        single = words + 1.0
-        single[START] = 0.0
-        self.single = single / single.sum()
-        kept = np.maximum(counts - DISCOUNT, 0.0)
-        context = pairs // width
-        mass = np.bincount(context, weights=kept, minlength=width)
-        total = np.maximum(contexts, 1.0)
-        self.share = kept / total[context]
-        self.left = np.where(contexts > 0, 1.0 - mass / total, 1.0)
 
-    def loss(self, before: np.ndarray, current: np.ndarray, place: np.ndarray, found: np.ndarray) -> np.ndarray:
-        share = np.where(found, self.share[place], 0.0) if len(self.share) else 0.0
-        return -np.log(share + self.left[before] * self.single[current])
+def _by_key(hot: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows = hot.toArrow()
+    order = np.argsort(rows.column("key").to_numpy())
+    return tuple(rows.column(c).to_numpy()[order] for c in ("key", "near", "far"))
 
 
 def _where_in(pairs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,23 +157,6 @@ def _where_in(pairs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return place, pairs[place] == keys
 
 
-def _model(docs: DataFrame, known, number, pairs: np.ndarray, width: int) -> Model:
-    """Counts of all words, of all contexts and of the inventory's bigrams, in one pass."""
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((known, number, pairs))
-
-    def keys(block: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        before, current, _ = _numbers(block, offsets, *shared.value[:2])
-        place, found = _where_in(shared.value[2], before * width + current)
-        # Bigrams by place, then words, then contexts.
-        return np.concatenate([place[found], BIGRAMS + current, BIGRAMS + width + before])
-
-    rows = _counted(docs, keys).toArrow()
-    total = np.zeros(BIGRAMS + 2 * width)
-    total[rows.column("key").to_numpy()] = rows.column("n").to_numpy()
-    return Model(total[BIGRAMS : BIGRAMS + width], total[BIGRAMS + width :], pairs, total[: len(pairs)], width)
-
-
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, text) of the rows of `docs` (id, text) whose id is in `ids` (id).
 
@@ -162,8 +182,7 @@ def cross_entropy_difference(
     doc_id: str = "doc_id",
     text: str = "text",
     target_id: str = "doc_id",
-    words: int = VOCABULARY,
-    bigrams: int = BIGRAMS,
+    hot: int = HOT,
 ) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) for each row of `docs`.
 
@@ -171,48 +190,69 @@ def cross_entropy_difference(
     mean nats per word; score is target_loss - background_loss, lower for texts nearer to the
     target. Words are those of the shingles, A-Z lower-cased. A null, empty or blank text has
     n_tokens 0 and null losses. Without target documents the target model is uniform. Repeated rows
-    count and are scored each; other columns are ignored; an empty table gives no rows. The models
-    keep `words` words and `bigrams` bigrams at most, the commonest, ties by number.
+    count and are scored each; other columns are ignored; an empty table gives no rows. All words
+    and bigrams are in both models; `hot` bounds the bigrams that are broadcast.
     """
-    if not 0 < bigrams <= BIGRAMS:
-        raise ValueError(f"bigrams must be from 1 to {BIGRAMS}")
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     target = only(rows, target_ids.select(F.col(target_id).alias("id")))
-    known, number = vocabulary(rows, words)
-    width = len(known) + FIRST
-    context = docs.sparkSession.sparkContext
-    lexicon = context.broadcast((known, number))
-
-    def pairs_of(block: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        before, current, _ = _numbers(block, offsets, *lexicon.value)
-        return before * width + current
-
-    common = _counted(target, pairs_of).orderBy(F.desc("n"), "key").limit(bigrams).select("key").toArrow()
-    pairs = np.sort(common.column("key").to_numpy())
-    models = context.broadcast((_model(target, known, number, pairs, width), _model(rows, known, number, pairs, width)))
+    pairs = counts(rows, target)
+    losses, least = with_losses(pairs), _least(pairs, hot)
+    is_hot = F.col("far_n") >= least if least is not None else F.lit(False)
+    common = docs.sparkSession.sparkContext.broadcast(_by_key(losses(pairs.where(is_hot))))
+    kind = docs.schema[doc_id].dataType
+    sums = ["near", "far"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, far = models.value
+        known, *nats = common.value
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, last, block, offsets in rolling.blocks(batch.column(1)):
-                before, current, of = _numbers(block, offsets, *lexicon.value)
-                place, found = _where_in(near.pairs, before * width + current)
-                n = np.bincount(of, minlength=last - first)
-                means = []
-                for model in (near, far):
-                    loss = np.bincount(of, weights=model.loss(before, current, place, found), minlength=last - first)
-                    means.append(loss / np.maximum(n, 1))
-                columns = [*means, means[0] - means[1]]
+                n_texts = last - first
+                key, _, of = _bigrams(block, offsets)
+                key = key.view(np.int64)
+                place, found = _where_in(known, key)
+                held, place = of[found], place[found]
+                ids = batch.column(0).slice(first, n_texts)
+                # One line for each text, then one for each of its bigrams that are not broadcast.
+                rest, owner = key[~found], of[~found]
+                order = np.lexsort((rest, owner))
+                rest, owner = rest[order], owner[order]
+                new = np.ones(len(rest), dtype=bool)
+                new[1:] = (rest[1:] != rest[:-1]) | (owner[1:] != owner[:-1])
+                at = np.flatnonzero(new)
+                times = np.diff(np.append(at, len(rest)))
+                blank = pa.nulls(len(at))
+                columns = [
+                    [pa.array(row + np.arange(n_texts)), pa.array(row + owner[at])],
+                    [ids, blank.cast(ids.type)],
+                    [pa.array(np.bincount(of, minlength=n_texts).astype(np.int64)), pa.array(times.astype(np.int64))],
+                    *(
+                        [pa.array(np.bincount(held, weights=x[place], minlength=n_texts).astype(float)), blank.cast(pa.float64())]
+                        for x in nats
+                    ),
+                    [pa.nulls(n_texts, pa.int64()), pa.array(rest[at])],
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, last - first),
-                        pa.array(n.astype(np.int64)),
-                        *(pa.array(c, mask=n == 0) for c in columns),
-                    ],
-                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
+                    [pa.concat_arrays(c) for c in columns], names=["row", "id", "n", *sums, "key"]
                 )
+                row += n_texts
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return rows.mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double"
+    # Written, as a row's number holds for one run only.
+    parts = written(
+        rows.mapInArrow(run, f"row long, id {kind.simpleString()}, n long, near double, far double, key long"), "scored"
+    )
+    rest = parts.where("key is not null").select("row", "key", "n").join(losses(pairs.where(~is_hot)), "key")
+    lines = parts.where("key is null").select("row", "id", "n", *sums).unionByName(
+        rest.select(
+            "row", F.lit(None).cast(kind).alias("id"), F.lit(0).cast("long").alias("n"), *((F.col(c) * F.col("n")).alias(c) for c in sums)
+        )
+    )
+    scored = lines.groupBy("row").agg(F.first("id", True).alias("doc_id"), F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in sums))
+    near, far = (F.when(F.col("n") > 0, F.col(c) / F.col("n")) for c in sums)
+    return scored.select(
+        "doc_id",
+        F.col("n").alias("n_tokens"),
+        near.alias("target_loss"),
+        far.alias("background_loss"),
+        (near - far).alias("score"),
     )

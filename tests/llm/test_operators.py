@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -199,3 +201,40 @@ def test_cross_entropy(spark, docs, nothing):
     assert max(rows[i].score for i in range(70, 76)) < min(rows[i].score for i in range(10, 16))
     assert lm_scoring.cross_entropy_difference(nothing, near).collect() == []
     assert lm_scoring.cross_entropy_difference(docs, near.where("false")).count() == docs.count()
+
+
+def test_cross_entropy_counts_all(spark, docs):
+    """Every word and bigram counts, also those that only the background has, whatever is broadcast."""
+    near = set(range(70, 76))
+    texts = [(i, "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").encode().split()) for i, t in [*_texts(), (None, "one two three")]]
+    models = []
+    for corpus in ([w for i, w in texts if i in near], [w for _, w in texts]):
+        models.append((Counter((h, x) for w in corpus for h, x in zip([None, *w], w)), Counter(x for w in corpus for x in w)))
+    size = len(models[1][1]) + 1
+
+    def loss(model, words):
+        pairs, single = model
+        total = 0.0
+        for h, w in zip([None, *words], words):
+            seen, kinds = after[id(model)].get(h, (0, 0))
+            share, left = (max(pairs[h, w] - 0.5, 0) / seen, 0.5 * kinds / seen) if seen else (0.0, 1.0)
+            total -= math.log(share + left * (single[w] + 1) / (sum(single.values()) + size))
+        return total / len(words)
+
+    after = {}
+    for model in models:
+        own = after[id(model)] = {}
+        for (h, _), n in model[0].items():
+            own[h] = (own.get(h, (0, 0))[0] + n, own.get(h, (0, 0))[1] + 1)
+    expected = {i: (len(w), *(loss(m, w) if w else None for m in models)) for i, w in texts}
+    more = docs.unionByName(docs.limit(1).selectExpr("cast(null as long) doc_id", "'one two three' text"), allowMissingColumns=True)
+    ids = spark.createDataFrame([(i,) for i in near], "doc_id long")
+    for options in ({}, {"hot": 40}):
+        rows = lm_scoring.cross_entropy_difference(more, ids, **options).collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            n, target, background = expected[r.doc_id]
+            assert r.n_tokens == n
+            if n:
+                assert (r.target_loss, r.background_loss) == pytest.approx((target, background), abs=1e-8)
+                assert r.score == pytest.approx(target - background, abs=1e-8)

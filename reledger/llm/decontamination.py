@@ -126,6 +126,12 @@ def contained_items(
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, whose document holds no item; see `contained_items`."""
-    held = contained_items(docs, items, percent, doc_id, text).select(F.col("doc_id").alias("held_id")).distinct()
-    return docs.join(held, F.col(doc_id).eqNullSafe(F.col("held_id")), "left_anti")
+    """The rows of `docs`, all columns, whose own text holds no item; see `contained_items`.
+
+    Rows are told apart by their whole text, not by their id, so a row without an id, or one that
+    repeats an id, goes only for what it holds itself. Equal texts are judged once.
+    """
+    # 256 bits: a clean row never goes for another's text.
+    whole = F.unhex(F.sha2(F.col(text).cast("binary"), 256))
+    held = contained_items(docs.select(whole.alias("doc_id"), F.col(text).alias("text")), items, percent)
+    return docs.join(held.select(F.col("doc_id").alias("held_text")).distinct(), whole == F.col("held_text"), "left_anti")

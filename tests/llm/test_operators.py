@@ -102,6 +102,18 @@ def test_containment(spark, docs, nothing):
     assert decontamination.contained_items(docs, table.where("false")).collect() == []
 
 
+def test_decontaminated_judges_rows(spark):
+    """Rows without an id, or with one id and different texts, go only for their own text."""
+    item = "one two three four five six seven eight nine ten"
+    half = [f"a {item[:28]} b", f"c {item[14:]} d"]
+    texts = [(None, f"x {item} y"), (None, "clean text of seven words in all"), (None, half[0]), (None, half[1]), (None, None)]
+    texts += [(1, f"{item} z"), (1, "another clean text of some words"), (2, item), (3, "clean text of seven words in all")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    table = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = decontamination.decontaminated(rows, table).collect()
+    assert sorted(map(str, found)) == sorted(str(r) for r in rows.collect() if item not in (r.text or ""))
+
+
 def test_mixing(docs, nothing):
     rows = mixing.mix_digest(docs).collect()
     assert len(rows) == docs.count()

@@ -25,8 +25,10 @@ RULES = (
     ("example.com/de/", "block"),
     ("org/fr/", "allow"),
 )
-#: Bound of the labelled sample that the trees are fitted on; beyond it, a hash of the URL chooses.
+#: Bound of the distinct labelled URLs that the trees are fitted on; beyond it, a hash of the URL chooses.
 SAMPLE = 20_000
+#: Statistics of fewer keys than this are broadcast.
+BROADCAST_KEYS = 100_000
 TREES = 12
 DEPTH = 4
 #: Weight of the prior in suffix statistics, in URLs.
@@ -126,15 +128,17 @@ def lexical(urls: DataFrame) -> DataFrame:
 
 
 def _statistics(labelled: DataFrame, key: Column, name: str) -> DataFrame:
-    """(key, blocked, n): labelled URLs by one suffix or path segment."""
-    return labelled.groupBy(key.alias(f"{name}_key")).agg(
-        F.sum("label").alias(f"{name}_blocked"), F.count("*").alias(f"{name}_n")
+    """(key, blocked, n): all labelled rows by one suffix or path segment; `labelled` has distinct URLs and `times`."""
+    found = labelled.groupBy(key.alias(f"{name}_key")).agg(
+        F.sum(F.col("label") * F.col("times")).alias(f"{name}_blocked"), F.sum("times").alias(f"{name}_n")
     )
+    found = written(found, name)
+    return F.broadcast(found) if found.count() < BROADCAST_KEYS else found
 
 
 def _with_statistics(rows: DataFrame, tables: dict[str, tuple[Column, DataFrame]], prior: float, own: bool) -> DataFrame:
-    """Adds the smoothed share of blocked URLs; own: without the row's own label."""
-    less_n, less = (F.lit(1), F.col("label")) if own else (F.lit(0), F.lit(0.0))
+    """Adds the smoothed share of blocked URLs; own: without the labels of the row's own URL."""
+    less_n, less = (F.col("times"), F.col("label") * F.col("times")) if own else (F.lit(0), F.lit(0.0))
     for name, (key, table) in tables.items():
         rows = rows.withColumn(f"{name}_key", key).join(table, f"{name}_key", "left")
         n = F.greatest(F.coalesce(f"{name}_n", F.lit(0)) - less_n, F.lit(0))
@@ -158,7 +162,8 @@ def url_verdicts(
     has an empty host and path and is judged by the trees like any other. Where the rules decide
     no URL, or all alike, nothing can be learned: that one verdict, else allow, is given, with a
     null score. Equal URLs get equal verdicts; other columns are ignored; an empty table gives no
-    rows. The trees are fitted on `sample` labelled URLs at most, the first by hash.
+    rows. Statistics of suffixes and segments count all labelled rows; the trees are fitted on `sample`
+    distinct labelled URLs at most, the first by hash, each with its number of rows as its weight.
     """
     verdicts = F.create_map(*(F.lit(x) for pair in rules for x in pair))
     urls = (
@@ -168,14 +173,14 @@ def url_verdicts(
     )
     urls = written(urls, "urls")
     ruled = urls.where("rule is not null").select("page_id", "host", "path", "rule", verdicts[F.col("rule")].alias("verdict"))
+    # Equal URLs have equal labels.
     labelled = (
         urls.where("rule is not null")
-        .select("url", "host", "path", (verdicts[F.col("rule")] == "block").cast("double").alias("label"))
-        .orderBy(F.xxhash64("url"), "url")
-        .limit(sample)
+        .groupBy("url", "host", "path", (verdicts[F.col("rule")] == "block").cast("double").alias("label"))
+        .agg(F.count("*").alias("times"))
     )
     labelled = written(labelled, "labelled")
-    seen = labelled.agg(F.count("*").alias("n"), F.avg("label").alias("prior")).first()
+    seen = labelled.agg(F.sum("times").alias("n"), (F.sum(F.col("label") * F.col("times")) / F.sum("times")).alias("prior")).first()
     open_urls = urls.where("rule is null").select("page_id", "url", "host", "path")
     fixed = F.lit(None).cast("double")
     if not seen.n or seen.prior in (0.0, 1.0):
@@ -187,12 +192,12 @@ def url_verdicts(
             "suffix_two": _suffix(F.col("host"), 2),
             "first_segment": F.regexp_extract("path", r"^/([^/]*)", 1),
         }
-        # At most `sample` rows each, whatever the input.
-        tables = {name: (key, F.broadcast(_statistics(labelled, key, name))) for name, key in keys.items()}
+        tables = {name: (key, _statistics(labelled, key, name)) for name, key in keys.items()}
+        fitted = written(labelled.orderBy(F.xxhash64("url"), "url").limit(sample), "fitted")
         assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        train = assembler.transform(_with_statistics(lexical(labelled), tables, seen.prior, True))
-        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=3, maxBins=32)
-        model = trees.fit(written(train.select("features", "label"), "training"))
+        train = assembler.transform(_with_statistics(lexical(fitted), tables, seen.prior, True))
+        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=3, maxBins=32, weightCol="weight")
+        model = trees.fit(written(train.select("features", "label", F.col("times").cast("double").alias("weight")), "training"))
         judged = model.transform(assembler.transform(_with_statistics(lexical(open_urls), tables, seen.prior, False)))
         share = F.round(F.element_at(vector_to_array(F.col("probability")), 2), 9)
         rest = judged.select(

@@ -195,6 +195,27 @@ def test_url_rules(spark):
     assert url_filter.url_verdicts(pages.where("false")).collect() == []
 
 
+def test_url_statistics_cover_all_labelled(spark):
+    """A URL repeated beyond the sample leaves others in it; statistics are of all labelled rows."""
+    urls = [f"http://a{i}.example.net/en/{i}" for i in range(30)] + [f"http://b{i}.other.net/x/{i}" for i in range(30)]
+    first = spark.createDataFrame([(u,) for u in urls], "url string").orderBy("url").selectExpr("url", "xxhash64(url) h").orderBy("h").first().url
+    urls += [first] * 100 + ["http://c.example.com/en/1", "http://c.other.com/x/1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = url_filter.url_verdicts(pages, sample=50).where("rule is null").collect()
+    assert len(rows) == 2 and all(r.score is not None for r in rows)
+    seen = {}
+    plain = url_filter._with_statistics
+    try:
+        url_filter._with_statistics = lambda rows, tables, prior, own: seen.update(tables=tables, prior=prior) or plain(rows, tables, prior, own)
+        url_filter.url_verdicts(pages, sample=5)
+    finally:
+        url_filter._with_statistics = plain
+    segments = {r[0]: (r[1], r[2]) for r in seen["tables"]["first_segment"][1].collect()}
+    more = "/en/" in first
+    assert segments == {"en": (0.0, 130 if more else 30), "x": (30.0 if more else 130.0, 30 if more else 130)}
+    assert seen["prior"] == pytest.approx((30 if more else 130) / 160)
+
+
 def test_extraction(spark):
     page = (
         "<html><head><title>T</title><script>var t='</p>';</script></head><body><nav><a>Menu</a></nav><div class=ad>Buy</div>"

@@ -8,6 +8,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from reledger.llm import ann, decontamination, extraction, jaccard_join, language_id, lm_scoring, mixing, sharding
@@ -271,3 +272,22 @@ def test_cross_entropy_counts_all(spark, docs):
             if n:
                 assert (r.target_loss, r.background_loss) == pytest.approx((target, background), abs=1e-8)
                 assert r.score == pytest.approx(target - background, abs=1e-8)
+
+
+def test_nearest_of_every_query(spark):
+    """The recall of `test_nearest` over all queries, on shards large enough that nodes are not all linked."""
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(3000)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2)
+    good = np.array([r.embedding for r in table.orderBy("vec_id").collect()])
+    found: dict[int, list[int]] = {}
+    for r in ann.nearest(table, "vec_id % 20 = 0", k=10).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert sorted(found) == list(range(0, 3000, 20))
+    hits = 0
+    for query, got in found.items():
+        score = good @ good[query]
+        score[query] = -np.inf
+        assert len(got) == len(set(got)) == 10 and query not in got
+        hits += len(set(np.argsort(-score)[:10].tolist()) & set(got))
+    assert hits / (10 * len(found)) >= 0.9

@@ -69,4 +69,49 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op8_decontamination": _CONTAINED, "op9_mixing": _MIX}
+_PHRASES = """
+WITH pieces AS (
+    SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    )
+),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, w[i:i + k - 1] AS g, count(*) AS f
+    FROM (
+        SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+        FROM split, (SELECT unnest([1, 2, 3]) AS k)
+        WHERE len(w) >= k
+    )
+    GROUP BY ALL
+),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang),
+candidates AS (SELECT lang, g, f AS a FROM grams WHERE len(g) > 1 AND f >= 10),
+cuts AS (
+    SELECT c.lang, c.g, c.a, k, p.f AS l, q.f AS r,
+           CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(generate_series(1, len(g) - 1)) AS k FROM candidates) AS c
+    JOIN grams AS p ON p.lang = c.lang AND p.g = c.g[1:k]
+    JOIN grams AS q ON q.lang = c.lang AND q.g = c.g[k + 1:len(c.g)]
+),
+lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+),
+covered AS (
+    SELECT lang, p AS g, max(a) AS longer
+    FROM (SELECT lang, a, unnest([g[1:2], g[2:3]]) AS p FROM candidates WHERE len(g) = 3)
+    GROUP BY ALL
+),
+ranked AS (
+    SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
+    FROM lowest LEFT JOIN covered USING (lang, g)
+    WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES = {"op8_decontamination": _CONTAINED, "op9_mixing": _MIX, "op13_phrases": _PHRASES}

@@ -14,7 +14,10 @@ from .jaccard_join import jaccard_components
 from .language_id import dictionaries, identify
 from .lm_scoring import cross_entropy_difference
 from .mixing import mix_digest
+from .periodic_runs import periodic_runs, run_digest, with_planted_periods
+from .phrases import collocations
 from .sharding import shard_digest
+from .simhash import simhash_components
 from .storage import table
 from .suffix_dedup import suffix_dedup
 from .url_filter import url_verdicts
@@ -69,6 +72,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(periodic_runs(with_planted_periods(table(spark, sf_dir, "documents"))))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,5 +97,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_mixing,
         op10_sharding,
+        op11_periodic_runs,
+        op12_simhash,
+        op13_phrases,
     )
 }

@@ -6,7 +6,9 @@ from reledger.plans.publish import (
     build_silver,
     publish,
     reload_extraction,
+    reload_extractions,
     restate,
+    restate_days,
 )
 from reledger.session import build_session
 
@@ -17,5 +19,7 @@ __all__ = [
     "build_silver",
     "publish",
     "reload_extraction",
+    "reload_extractions",
     "restate",
+    "restate_days",
 ]

@@ -17,8 +17,8 @@ from reledger.plans.publish import (
     build_silver,
     load_baseline,
     publish,
-    reload_extraction,
-    restate,
+    reload_extractions,
+    restate_days,
 )
 from reledger.session import build_session
 from reledger.sources.synthetic import write_fixture
@@ -34,7 +34,7 @@ def main(arguments: list[str] | None = None) -> None:
     for name in ("ingest", "restate"):
         step = steps.add_parser(name)
         step.add_argument("source")
-        step.add_argument("extracted_at")
+        step.add_argument("extracted_at", nargs="+")
     steps.add_parser("query").add_argument("sql")
     chosen = parser.parse_args(arguments)
 
@@ -47,9 +47,9 @@ def main(arguments: list[str] | None = None) -> None:
         case "fixture":
             write_fixture(spark, lake.landing, chosen.seed)
         case "ingest":
-            print(reload_extraction(lake, chosen.source, chosen.extracted_at))
+            print(reload_extractions(lake, chosen.source, chosen.extracted_at))
         case "restate":
-            print(restate(lake, chosen.source, chosen.extracted_at))
+            print(restate_days(lake, chosen.source, chosen.extracted_at))
         case "silver":
             print("months", build_silver(lake))
         case "gold":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -13,17 +14,27 @@ from pyspark.sql import functions as F
 
 from reledger.functions.calendar import REPORT_MONTH
 from reledger.operators.rollup import metrics_select_sql
+from reledger.sources.footers import footers, stamped
+from reledger.storage import Files
 
 LAYERS = ("bronze", "silver", "gold")
 
 # Sorted dates and counters shrink under delta encoding; low-cardinality text falls back to
-# dictionary pages. Overwriting is by partition for every writer of these tables.
-TABLE_OPTIONS = {
-    "partitionOverwriteMode": "dynamic",
+# dictionary pages.
+FILE_OPTIONS = {
     "compression": "zstd",
     "parquet.compression.codec.zstd.level": "3",
     "parquet.writer.version": "PARQUET_2_0",
 }
+# Statements of others that write to these tables overwrite by partition.
+TABLE_OPTIONS = {**FILE_OPTIONS, "partitionOverwriteMode": "dynamic"}
+
+# Below the location of a table: a folder a load, and a short file a commit.
+LOADS = "_loads"
+COMMITS = "_commits"
+SEEN = "reledger.commit"
+STATEMENT_PARTITIONS = 500
+MERGED_COMMITS = 64
 
 
 @dataclass(frozen=True)
@@ -35,6 +46,15 @@ class Table:
     columns: tuple[tuple[str, str], ...]
     partitions: tuple[str, ...]
     clustering: tuple[str, ...]
+    lookups: tuple[str, ...] = ()
+
+    @property
+    def file_options(self) -> dict[str, str]:
+        """How files are written: columns looked up by value get a bloom filter a row group,
+        no larger than their distinct values need."""
+        blooms = {f"parquet.bloom.filter.enabled#{column}": "true" for column in self.lookups}
+        sized = {"parquet.bloom.filter.adaptive.enabled": "true"} if blooms else {}
+        return {**FILE_OPTIONS, **blooms, **sized}
 
     @property
     def column_order(self) -> list[str]:
@@ -135,6 +155,7 @@ SILVER = Table(
     ),
     (REPORT_MONTH,),
     ("source", "account_id", "report_date", "campaign_id", "product_id"),
+    lookups=("campaign_id", "product_id"),
 )
 
 GOLD = Table(
@@ -160,9 +181,10 @@ PartitionSpec = dict[str, str]
 
 @dataclass(frozen=True)
 class Replaced:
-    """The rows written, and the partitions that were in scope and are empty now."""
+    """The rows written, the partitions that hold them, and those of the scope that are empty."""
 
     rows: int
+    written: list[PartitionSpec]
     emptied: list[PartitionSpec]
 
 
@@ -192,6 +214,8 @@ class Lake:
         return f"{self.database('gold')}.{METRICS_VIEW}"
 
     def table(self, table: Table) -> DataFrame:
+        """The rows of a table as of its last commit."""
+        self.sync(table)
         return self.spark.table(self.name(table))
 
     # --- definitions -------------------------------------------------------------------
@@ -208,8 +232,9 @@ class Lake:
             if not self.spark.catalog.tableExists(self.name(table)):
                 self._create(table)
                 if attach:
-                    self._write_nothing(table, "append")  # a location to list must exist
+                    Files(self.spark, self.location(table)).make(".")  # one to list must exist
                     self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
+            self.sync(table)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.metrics_view} AS "
             + metrics_select_sql(self.name(GOLD), [*dict(GOLD.columns)])
@@ -225,7 +250,7 @@ class Lake:
         )
 
     def _write_nothing(self, table: Table, mode: str) -> None:
-        empty = self.spark.createDataFrame([], self.table(table).schema)
+        empty = self.spark.createDataFrame([], self.spark.table(self.name(table)).schema)
         empty.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(
             *table.partitions
         ).parquet(self.location(table))
@@ -239,16 +264,116 @@ class Lake:
         )
         return clone
 
+    # --- commits -----------------------------------------------------------------------
+
+    def sync(self, table: Table) -> None:
+        """Bring the catalog up to the last commit of a table.
+
+        A commit is a short file that says which partitions of a table a load replaced, and
+        in which folder their rows are. It is the one instant at which a load takes effect:
+        whoever was lost before it has changed nothing, and whatever was lost after it is made
+        up for here. The number of the last commit a catalog has seen is a table property.
+        """
+        files = Files(self.spark, self.location(table))
+        seen = self._seen(table)
+        missed = [number for number in _commit_numbers(files) if number > seen]
+        if missed:
+            known = {_folder(table, spec) for spec in self._listed(table)}
+            for number in missed:
+                self._apply(table, number, _read_commit(files, number), known)
+
+    def _seen(self, table: Table) -> int:
+        properties = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
+        return next((int(row[1]) for row in properties if row[0] == SEEN), 0)
+
+    def _commit(self, table: Table, placed: dict[str, str], dropped: list[str]) -> None:
+        """Make a load take effect, then delete what it replaced.
+
+        `placed` names the load that holds each partition, `dropped` the partitions to forget.
+        """
+        files = Files(self.spark, self.location(table))
+        number = max([self._seen(table), *_commit_numbers(files)]) + 1
+        files.make(COMMITS)
+        _write_commit(files, number, placed, dropped)
+        self.sync(table)
+        self._sweep(table, files, number)
+
+    def _apply(self, table: Table, number: int, commit: dict, known: set[str]) -> None:
+        """Point the catalog at the folders of one commit; doing so twice changes nothing."""
+        name, placed, dropped = self.name(table), commit["placed"], commit["dropped"]
+
+        def part(folder: str) -> str:
+            return f"PARTITION ({_literals(table, _spec(folder))})"
+
+        def place(folder: str) -> str:
+            return f"LOCATION '{self.location(table)}/{LOADS}/{placed[folder]}/{folder}'"
+
+        added = [folder for folder in placed if folder not in known]
+        for first in range(0, len(added), STATEMENT_PARTITIONS):
+            some = added[first : first + STATEMENT_PARTITIONS]
+            parts = " ".join(f"{part(folder)} {place(folder)}" for folder in some)
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+        for folder in placed:
+            if folder in known:
+                self.spark.sql(f"ALTER TABLE {name} {part(folder)} SET {place(folder)}")
+        if dropped:
+            parts = ", ".join(part(folder) for folder in dropped)
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+        known.update(placed)
+        known.difference_update(dropped)
+        self._mark_seen(table, number)
+        self.spark.catalog.refreshTable(name)
+
+    def _mark_seen(self, table: Table, number: int) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ('{SEEN}'='{number}')")
+
+    def _sweep(self, table: Table, files: Files, number: int) -> None:
+        """Delete the folders a commit replaced, and merge commits when there are many."""
+        numbers = [earlier for earlier in _commit_numbers(files) if earlier <= number]
+        commits = [_read_commit(files, earlier) for earlier in numbers]
+        before, after = _state(commits[:-1]), _state(commits)
+        for folder in {*commits[-1]["placed"], *commits[-1]["dropped"]}:
+            files.delete(folder)  # where statements of others put rows
+            if folder in before:
+                files.delete(f"{LOADS}/{before[folder]}/{folder}")
+        for load in set(before.values()) - set(after.values()):
+            files.delete(f"{LOADS}/{load}")
+        # A dropped partition may come back by a statement, so its commit must not outlive it.
+        if commits[-1]["dropped"] or len(numbers) > MERGED_COMMITS:
+            _write_commit(files, number + 1, after, [])
+            if self._seen(table) == number:
+                self._mark_seen(table, number + 1)
+            for earlier in numbers:
+                files.delete(f"{COMMITS}/{earlier:012d}")
+
+    def remove_abandoned(self, table: Table) -> list[str]:
+        """Delete the partition folders that no commit refers to: of loads that were lost before
+        their commit, or after it and before the deletions. No load may be under way."""
+        self.sync(table)
+        files = Files(self.spark, self.location(table))
+        state = _state([_read_commit(files, number) for number in _commit_numbers(files)])
+        pattern = "/".join(["*", *(f"{column}=*" for column in table.partitions)])
+        live = {f"{load}/{folder}" for folder, load in state.items()}
+        left = [folder for folder in files.matches(LOADS, pattern) if folder not in live]
+        for folder in left:
+            files.delete(f"{LOADS}/{folder}")
+        for load in set(files.names(LOADS)) - set(state.values()):
+            files.delete(f"{LOADS}/{load}")
+        return left
+
     # --- partitions --------------------------------------------------------------------
 
     def partitions(
         self, table: Table, within: PartitionSpec | None = None
     ) -> list[PartitionSpec]:
         """The partitions of a table, or of one leading part, from the catalog alone."""
+        self.sync(table)
+        return self._listed(table, within)
+
+    def _listed(self, table: Table, within: PartitionSpec | None = None) -> list[PartitionSpec]:
         only = f" PARTITION ({_literals(table, within)})" if within else ""
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}{only}").collect()
-        pairs = ([part.split("=", 1) for part in row[0].split("/")] for row in listed)
-        return [{column: unquote(value) for column, value in spec} for spec in pairs]
+        return [_spec(row[0]) for row in listed]
 
     def months(self, table: Table) -> list[int]:
         """The report months a table holds, in order, from the catalog alone."""
@@ -262,67 +387,108 @@ class Lake:
     ) -> Replaced:
         """Make `rows` the whole content of the partitions in `scope`.
 
-        The partitions in scope differ by month only; others are left alone. The write stages
-        its files and swaps them in when it commits, so a job that fails leaves the old state.
-        Partitions of the scope that receive no row are emptied after the commit, and reported
-        so that the caller can drop them when nothing needs them as a record any more. Which
-        months were written is noted in one bitmap by the write itself: no second scan.
+        The rows are written to a fresh folder, which a job that fails leaves without effect.
+        One commit then replaces all partitions at once, and the old files go last. Partitions
+        of the scope that receive no row stay listed as empty ones, and are reported so that
+        the caller can drop them when nothing needs them as a record any more.
 
         Each partition is gathered into files of the advisory size, and a hot one is split over
-        several tasks, so the plan is the same for one month and for a hundred.
+        several tasks, so the plan is the same for one partition and for thousands.
         """
+        load = uuid.uuid4().hex
+        fresh = f"{self.location(table)}/{LOADS}/{load}"
+        files = Files(self.spark, self.location(table))
         counted = Observation()
-        placed = rows.select(*table.column_order).hint("rebalance", *table.partitions)
-        (
-            placed.observe(
-                counted,
-                F.count(F.lit(1)).alias("rows"),
-                F.bitmap_construct_agg(F.bitmap_bit_position(REPORT_MONTH)).alias("months"),
-            )
-            .sortWithinPartitions(*table.partitions, *table.clustering)
-            .write.insertInto(self.name(table), overwrite=True)
+        typed = [F.col(c).cast(table.type_of(c)).alias(c) for c in table.column_order]
+        placed = stamped(rows.select(*typed), table.file_options).hint(
+            "rebalance", *table.partitions
         )
-        written = counted.get
-        emptied = [
-            spec for spec in scope if not _has_bit(written["months"], int(spec[REPORT_MONTH]))
-        ]
-        self._empty_partitions(table, emptied)
-        return Replaced(written["rows"], emptied)
+        try:
+            (
+                placed.observe(counted, F.count(F.lit(1)).alias("rows"))
+                .sortWithinPartitions(*table.partitions, *table.clustering)
+                .write.options(**table.file_options)
+                .partitionBy(*table.partitions)
+                .parquet(fresh)
+            )
+        except Exception:
+            files.delete(f"{LOADS}/{load}")
+            raise
+        written = files.matches(f"{LOADS}/{load}", "/".join(f"{c}=*" for c in table.partitions))
+        held = set(written)
+        emptied = [spec for spec in scope if _folder(table, spec) not in held]
+        for spec in emptied:
+            files.make(f"{LOADS}/{load}/{_folder(table, spec)}")
+        folders = [*written, *(_folder(table, spec) for spec in emptied)]
+        self._commit(table, dict.fromkeys(folders, load), [])
+        return Replaced(counted.get["rows"], [_spec(folder) for folder in written], emptied)
 
     def append(self, table: Table, rows: DataFrame) -> None:
         """Add rows to a table, matched by column name."""
+        self.sync(table)
         rows.select(*table.column_order).write.insertInto(self.name(table), overwrite=False)
 
     def drop_partitions(self, table: Table, specs: Iterable[PartitionSpec]) -> None:
         """Remove partitions, files included, which DROP alone does not do for a table
         that has its own location. No Spark job runs, however many there are."""
-        specs = list(specs)
-        if not specs:
-            return
-        self._empty_partitions(table, specs, keep=False)
-        literals = ", ".join(f"PARTITION ({_literals(table, spec)})" for spec in specs)
-        self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {literals}")
-
-    def _empty_partitions(
-        self, table: Table, specs: Iterable[PartitionSpec], *, keep: bool = True
-    ) -> None:
-        """Delete the files of partitions through the file system of the lake.
-
-        With `keep` an empty folder stays, and the partition stays listed.
+        folders = [_folder(table, spec) for spec in specs]
+        if folders:
+            self._commit(table, {}, folders)
+
+    def files(self, table: Table) -> DataFrame:
+        """The files of a table from their footers, with the partition each belongs to.
+
+        Row groups of a file should follow each other in the order of the clustering columns.
+        """
+        self.sync(table)
+        state = Files(self.spark, self.location(table))
+        loads = f"{self.location(table)}/{LOADS}"
+        folders = [f"{loads}/{load}" for load in state.names(LOADS)]
+        if not folders:
+            state.make(LOADS)
+        partition = F.regexp_extract("path", f"/{LOADS}/[^/]+/(.*)/[^/]+$", 1)
+        found = footers(self.spark, folders or [loads], table.clustering)
+        return found.withColumn("partition", partition)
+
+    def columns(self) -> DataFrame:
+        """Every column of every table: its declared type, the catalog's and that of the files.
+
+        A column conforms if all three agree; partition columns are not in the files, and a table
+        without files has no stored types. Only names and types pass through the driver.
         """
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
-        deleted = False
-        for spec in specs:
-            keys = "/".join(f"{column}={spec[column]}" for column in table.partitions)
-            folder = hadoop.Path(f"{self.location(table)}/{keys}")
-            files = folder.getFileSystem(configuration)
-            files.delete(folder, True)
-            if keep:
-                files.mkdirs(folder)
-            deleted = True
-        if deleted:
-            self.spark.catalog.refreshTable(self.name(table))
+        sides = []
+        for table in TABLES:
+            label, declared = f"{table.layer}.{table.name}", dict(table.columns)
+            known = {one.name: one for one in self.spark.catalog.listColumns(self.name(table))}
+            for name in dict.fromkeys([*declared, *known]):
+                found = known.get(name)
+                partition = found.isPartition if found else name in table.partitions
+                kind = found.dataType if found else None
+                sides.append((label, name, declared.get(name), kind, partition))
+        schema = (
+            "table_name string, column_name string, declared_type string,"
+            " catalogued_type string, is_partition boolean"
+        )
+        stored = None
+        for table in TABLES:
+            one = (
+                self.files(table)
+                .select("row_count", F.explode("columns").alias("column"))
+                .groupBy(F.col("column.name").alias("column_name"))
+                .agg(
+                    F.array_join(F.sort_array(F.collect_set("column.type")), "|").alias("stored_type"),
+                    F.sum("row_count").alias("stored_rows"),
+                )
+                .withColumn("table_name", F.lit(f"{table.layer}.{table.name}"))
+            )
+            stored = one if stored is None else stored.unionByName(one)
+        both = self.spark.createDataFrame(sides, schema).join(
+            stored, ["table_name", "column_name"], "full"
+        )
+        declared = F.col("declared_type")
+        agree = declared.eqNullSafe(F.col("catalogued_type")) & declared.isNotNull()
+        in_files = F.col("stored_type").isNull() | (F.col("stored_type") == declared)
+        return both.withColumn("conforms", agree & F.coalesce(in_files, F.lit(False)))
 
     def truncate(self, table: Table) -> None:
         """Empty a table and forget its partitions."""
@@ -344,11 +510,38 @@ def scratch_lake(spark: SparkSession) -> Lake:
     return lake
 
 
-def _has_bit(bitmap: bytes, value: int) -> bool:
-    """Whether `bitmap_construct_agg` has met a value, at the place `bitmap_bit_position`
-    gives it. Months of some three hundred years have places of their own."""
-    place = (value - 1) % (8 * len(bitmap))
-    return bool(bitmap[place // 8] >> (place % 8) & 1)
+def _commit_numbers(files: Files) -> list[int]:
+    return [int(name) for name in files.names(COMMITS) if name.isdigit()]
+
+
+def _read_commit(files: Files, number: int) -> dict:
+    return json.loads(files.read(f"{COMMITS}/{number:012d}"))
+
+
+def _write_commit(
+    files: Files, number: int, placed: dict[str, str], dropped: list[str]
+) -> None:
+    text = json.dumps({"placed": placed, "dropped": dropped})
+    files.publish(f"{COMMITS}/{number:012d}", text)
+
+
+def _state(commits: Iterable[dict]) -> dict[str, str]:
+    """The load that holds each partition after some commits, in order."""
+    state: dict[str, str] = {}
+    for commit in commits:
+        state.update(commit["placed"])
+        for folder in commit["dropped"]:
+            state.pop(folder, None)
+    return state
+
+
+def _folder(table: Table, spec: PartitionSpec) -> str:
+    return "/".join(f"{column}={spec[column]}" for column in table.partitions)
+
+
+def _spec(folder: str) -> PartitionSpec:
+    pairs = (part.split("=", 1) for part in folder.split("/"))
+    return {column: unquote(value) for column, value in pairs}
 
 
 def _literals(table: Table, spec: PartitionSpec) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,3 +21,17 @@ def latest_wins(df: DataFrame, key: Sequence[str], newest_first: Sequence[str])
     newest = Window.partitionBy(*key).orderBy(*[F.col(name).desc() for name in newest_first])
     ranked = df.withColumn("_rank", F.row_number().over(newest))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
+def latest_twice(
+    df: DataFrame, key: Sequence[str], newest_first: Sequence[str], earlier: Column
+) -> DataFrame:
+    """Per `key` the latest version of all, `now`, and of the rows that are `earlier`, `before`.
+
+    Both are structs of the `newest_first` columns, NULL where the key had no version. One
+    grouping with partial maxima takes both, so rows are read and shuffled once.
+    """
+    version = F.struct(*newest_first)
+    return df.groupBy(*key).agg(
+        F.max(version).alias("now"), F.max(F.when(earlier, version)).alias("before")
+    )

@@ -75,3 +75,22 @@ def change_between(before: DataFrame, after: DataFrame, grain: Sequence[str]) ->
         .agg(*[total(name) for name in COMPONENTS], F.sum("_sign").alias("row_change"))
         .filter(changed)
     )
+
+
+def change_of_versions(versions: DataFrame, grain: Sequence[str]) -> DataFrame:
+    """The same change where each row holds both versions, the structs `before` and `now`."""
+
+    def gained(name: str):
+        now, before = (F.coalesce(F.sum(f"{side}.{name}"), F.lit(0)) for side in ("now", "before"))
+        change = now - before
+        return (change.cast("decimal(18,6)") if name in AMOUNTS else change).alias(name)
+
+    exists = [(F.count(side) > 0).cast("bigint") for side in ("now", "before")]
+    changed = F.col("row_change") != 0
+    for name in COMPONENTS:
+        changed = changed | (F.col(name) != 0)
+    return (
+        versions.groupBy(*grain)
+        .agg(*[gained(name) for name in COMPONENTS], (exists[0] - exists[1]).alias("row_change"))
+        .filter(changed)
+    )

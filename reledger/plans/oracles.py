@@ -5,6 +5,14 @@ Decimal division is a double there, so truncated ratios are written with whole n
 
 from __future__ import annotations
 
+from reledger import fixed_values as fixed
+from reledger.fixed_values import (
+    CAMPAIGN_DAILY_REPORT,
+    EXTRACTION_LAG_DAYS,
+    GOOGLE_ADS,
+    META_ADS,
+)
+from reledger.lake import GOLD, GOOGLE_RAW, META_RAW, SILVER, TABLES, Table
 from reledger.sources import star_schema as star
 
 REPORT_A = """
@@ -161,14 +169,16 @@ def _side_sums(side: str) -> str:
     )
 
 
-BASELINE = """
-SELECT 'google_ads' AS _source,
-       's3://lake/raw/source=google_ads/report=campaign_daily'
-         || '/extracted_at=2026-07-17/part-0001.parquet' AS _source_file,
-       DATE '2026-07-17' AS _extracted_at, '2026-07-17 03:00:00' AS _ingested_at,
-       ['acct_01', 'acct_02'][n % 2 + 1] AS account_id,
-       'camp_' || lpad(CAST(n // 2 % 5 + 1 AS VARCHAR), 3, '0') AS campaign_id,
-       CAST(DATE '2026-07-14' + CAST(n // 10 AS INTEGER) AS DATE) AS report_date,
+BASELINE = f"""
+SELECT '{fixed.GOOGLE_ADS}' AS _source, '{fixed.BASELINE_SOURCE_FILE}' AS _source_file,
+       DATE '{fixed.BASELINE_EXTRACTED_AT}' AS _extracted_at,
+       '{fixed.BASELINE_INGESTED_AT}' AS _ingested_at,
+       'acct_' || lpad(CAST(n % {fixed.ACCOUNT_COUNT} + 1 AS VARCHAR), 2, '0') AS account_id,
+       'camp_' || lpad(CAST(n // {fixed.ACCOUNT_COUNT} % {fixed.CAMPAIGN_COUNT} + 1 AS VARCHAR),
+                       3, '0') AS campaign_id,
+       CAST(DATE '{fixed.FIRST_REPORT_DAY}'
+            + CAST(n // {fixed.ACCOUNT_COUNT * fixed.CAMPAIGN_COUNT} AS INTEGER) AS DATE)
+         AS report_date,
        1000000 * (n + 1) AS cost_micros, 10 * n AS clicks,
        CAST(1000 * n AS DECIMAL(20,0)) AS impressions, n AS conversions
 FROM (SELECT o_orderkey AS n FROM orders)
@@ -178,6 +188,21 @@ PER_EXTRACTION = """
 SELECT '{0}' AS _source, DATE '{1}' AS _extracted_at, count(*) AS row_count FROM {2}
 """
 
+# The rows of the published lake behind each table that holds any.
+LOADED_ROWS = {
+    GOOGLE_RAW.name: "report_e",
+    META_RAW.name: "report_b",
+    SILVER.name: "silver_eb",
+    GOLD.name: f"({_gold('silver_eb')})",
+}
+
+
+def _stored(table: Table, column: str, value: str) -> str:
+    """What files say of a column: nothing of partition columns and of tables without rows."""
+    in_files = table.name in LOADED_ROWS and column not in table.partitions
+    return value if in_files else "NULL"
+
+
 ORACLES = {
     "bronze_projection_a": WITH
     + _bronze("google_ads", star.FILE_A, star.EXTRACTED_A, "report_a", "segments_date"),
@@ -186,14 +211,40 @@ ORACLES = {
     "source_file_provenance": WITH
     + """
 SELECT 'google_ads' AS _source, 2 * count(*) AS row_count, CAST(2 AS BIGINT) AS file_count,
-       CAST(1 AS BIGINT) AS instant_count, true AS is_traced FROM report_e
+       CAST(1 AS BIGINT) AS instant_count, CAST(0 AS BIGINT) AS unread_count,
+       CAST(0 AS BIGINT) AS foreign_count, true AS is_traced FROM report_e
+""",
+    "lineage_faults": WITH
+    + f"""
+SELECT DATE '{star.EXTRACTED_E}' AS _extracted_at, name AS object_name,
+       CASE name WHEN 'part-0001.parquet' THEN n WHEN 'part-0002.parquet' THEN 0 ELSE m END
+         AS landed_rows,
+       n AS loaded_rows, name = 'part-0001.parquet' AS is_traced
+FROM (SELECT count(*) AS n FROM report_e), (SELECT count(*) AS m FROM restated_e),
+     (VALUES ('part-0001.parquet'), ('part-0002.parquet'), ('part-0003.parquet')) names(name)
+UNION ALL
+SELECT DATE '{star.RESTATED_E}', 'restated.parquet', count(*), 0, false FROM restated_e
 """,
     "bronze_reload_idempotent": WITH
     + f"""
 SELECT 'google_ads' AS _source, DATE '{star.EXTRACTED_E}' AS _extracted_at,
-       count(*) AS row_count, CAST(1 AS BIGINT) AS instant_count,
-       CAST(sum(cost_micros) AS BIGINT) AS cost_micros,
-       CAST(sum(conversions) AS BIGINT) AS conversions FROM report_e
+       {MONTH.format("segments_date")} AS report_month, count(*) AS rows_before,
+       count(*) AS rows_after, true AS is_same, CAST(1 AS BIGINT) AS instant_count
+FROM report_e GROUP BY ALL
+""",
+    "daily_extractions_bronze": WITH
+    + f"""
+SELECT 'google_ads' AS _source, CAST(segments_date + {EXTRACTION_LAG_DAYS} AS DATE) AS _extracted_at,
+       'source=google_ads/report={CAMPAIGN_DAILY_REPORT}/extracted_at='
+         || strftime(segments_date + {EXTRACTION_LAG_DAYS}, '%Y-%m-%d') AS object_key,
+       *, {MONTH.format("segments_date")} AS report_month
+FROM report_e
+""",
+    "moved_value_noticed": WITH
+    + f"""
+SELECT {MONTH.format("segments_date")} AS report_month, count(*) AS row_count,
+       true AS same_sums, count(*) < 2 AS same_print
+FROM report_a GROUP BY ALL
 """,
     "bronze_reload_empty": WITH
     + PER_EXTRACTION.format("google_ads", star.EXTRACTED_E, "report_e"),
@@ -299,8 +350,15 @@ WHERE b.clicks IS NULL OR a.spend_eur <> coalesce(b.spend_eur, 0) OR a.clicks <>
 """,
     "late_restatement_gold": WITH + _gold("silver_ra"),
     "late_restatement_replayed": WITH + _gold("silver_reb"),
+    "daily_restatement_gold": WITH + _gold("silver_reb"),
     "touched_months_match_full": WITH
-    + "SELECT DISTINCT report_month, true AS reconciles FROM silver_reb",
+    + """
+SELECT DISTINCT report_month,
+       report_month IN (SELECT report_month FROM conformed_ra WHERE report_month // 100 = 1995)
+         AS was_touched,
+       true AS reconciles
+FROM silver_ra
+""",
     "drop_partition": WITH
     + """
 SELECT report_month, count(*) AS row_count FROM silver_a WHERE report_month <> 199803
@@ -358,6 +416,33 @@ FROM (VALUES ('account_id', 'string'), ('campaign_id', 'string'), ('date_start',
          columns_b(column_name, found_type),
      (SELECT count(*) AS filled FROM report_b)
 """,
+    "landed_files_audit": WITH
+    + " UNION ALL ".join(
+        f"SELECT '{source}' AS source, DATE '{day}' AS _extracted_at, count(*) AS row_count,"
+        f" true AS conforms FROM {rows}"
+        for source, day, rows in (
+            (GOOGLE_ADS, star.EXTRACTED_E, "report_e"),
+            (GOOGLE_ADS, star.RESTATED_E, "restated_e"),
+            (META_ADS, star.EXTRACTED_B, "report_b"),
+        )
+    ),
+    "stored_files_audit": WITH
+    + """
+SELECT 'report_month=' || report_month AS partition, count(*) AS row_count, 'zstd' AS codecs,
+       true AS in_order, true AS is_stamped
+FROM silver_eb GROUP BY report_month
+""",
+    "catalog_audit": WITH
+    + " UNION ALL ".join(
+        f"SELECT '{table.layer}.{table.name}' AS table_name, '{column}' AS column_name,"
+        f" '{kind}' AS declared_type, '{kind}' AS catalogued_type,"
+        f" {str(column in table.partitions).lower()} AS is_partition,"
+        f" {_stored(table, column, repr(kind))} AS stored_type,"
+        f" {_stored(table, column, f'(SELECT count(*) FROM {LOADED_ROWS.get(table.name)})')}"
+        " AS stored_rows, true AS conforms"
+        for table in TABLES
+        for column, kind in table.columns
+    ),
     "gold_components_only": WITH
     + f"""
 SELECT column_name, filled, is_component

@@ -7,6 +7,7 @@ and a replay changes nothing. For the same reason no file is ever skipped as alr
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
@@ -19,7 +20,12 @@ from reledger.lake import BASELINE, GOLD, SILVER, Lake, Table
 from reledger.operators.latest import latest_wins
 from reledger.operators.quality import require_values
 from reledger.operators.rollup import COMPONENTS, campaign_daily
-from reledger.sources.landing import object_path, read_extraction, to_bronze
+from reledger.sources.landing import (
+    extraction_day,
+    object_path,
+    read_extractions,
+    to_bronze,
+)
 from reledger.sources.networks import conform, network_named, networks
 from reledger.sources.synthetic import baseline_rows
 
@@ -39,37 +45,45 @@ class Reload:
     emptied: list[dict[str, str]]
 
 
-def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
-    """Rebuild one extraction of one source from all its objects.
+def reload_extractions(lake: Lake, source: str, days: Iterable[date | str]) -> Reload:
+    """Rebuild some extractions of one source from all their objects, in one load.
 
-    The rows are gathered by month on their way into the files of the extraction, whatever the
-    number of months, and a hot month is split over several tasks. The old files stay in place until every task has succeeded. Loading once or many times leaves the same
-    rows; other extractions are not read or written.
+    Day and object of a row come from the path it was read from, and one write replaces all
+    days, so the number of jobs does not depend on theirs. The rows are gathered by day and
+    month on their way into files, and a hot month is split over several tasks. The old rows
+    stay in place until every task has succeeded; then all days change at once. Loading once or
+    many times leaves the same rows; other extractions are not read or written.
     """
     network = network_named(source)
-    day = date.fromisoformat(str(day))
-    report = read_extraction(lake.spark, lake.landing, network, day)
+    days = sorted({date.fromisoformat(str(day)) for day in days})
+    if not days:
+        raise ValueError("no extraction day was given")
     rows = to_bronze(
-        report,
+        read_extractions(lake.spark, lake.landing, network, days),
         network,
-        day,
+        extraction_day(),
         source_file=object_path(),
         ingested_at=F.date_trunc("second", F.current_timestamp()),
     )
-    required = [name for name, _ in network.report_columns]
+    required = [name for name, _ in network.report_columns] + ["_extracted_at"]
 
-    extraction = {"_source": source, "_extracted_at": day.isoformat()}
-    before = lake.partitions(network.bronze, extraction)
+    wanted = {day.isoformat() for day in days}
+    leading = {"_source": source} | ({"_extracted_at": min(wanted)} if len(wanted) == 1 else {})
+    held = lake.partitions(network.bronze, leading)
+    before = [spec for spec in held if spec["_extracted_at"] in wanted]
+    label = f"{source} {days[0]}" + (f" to {days[-1]}" if len(days) > 1 else "")
     replaced = lake.replace_partitions(
-        network.bronze,
-        require_values(rows, required, f"{source} {day}"),
-        before,
+        network.bronze, require_values(rows, required, label), before
     )
-    after = lake.partitions(network.bronze, extraction)
-    months = {int(spec[REPORT_MONTH]) for spec in before + after}
+    months = {int(spec[REPORT_MONTH]) for spec in before + replaced.written}
     return Reload(replaced.rows, sorted(months), replaced.emptied)
 
 
+def reload_extraction(lake: Lake, source: str, day: date | str) -> Reload:
+    """Rebuild one extraction; see `reload_extractions`."""
+    return reload_extractions(lake, source, [day])
+
+
 def latest_version(conformed: DataFrame) -> DataFrame:
     """Conformed rows reduced to the latest version of each business key."""
     latest = latest_wins(conformed, WINDOW_KEY, NEWEST_FIRST)
@@ -119,18 +133,23 @@ def publish(lake: Lake, months: list[int] | None = None) -> list[int]:
     return build_gold(lake, build_silver(lake, months))
 
 
-def restate(lake: Lake, source: str, day: date | str) -> Reload:
-    """Reload one extraction and publish the months it touched, and only those.
+def restate_days(lake: Lake, source: str, days: Iterable[date | str]) -> Reload:
+    """Reload some extractions and publish the months they touched, and only those.
 
-    Months it held before count too: a key may have moved to another month or vanished. A
+    Months they held before count too: a key may have moved to another month or vanished. A
     restatement that fails anywhere can simply be run again.
     """
-    reloaded = reload_extraction(lake, source, day)
+    reloaded = reload_extractions(lake, source, days)
     publish(lake, reloaded.months)
     lake.drop_partitions(network_named(source).bronze, reloaded.emptied)
     return reloaded
 
 
+def restate(lake: Lake, source: str, day: date | str) -> Reload:
+    """Reload one extraction and publish the months it touched; see `restate_days`."""
+    return restate_days(lake, source, [day])
+
+
 def load_baseline(lake: Lake) -> None:
     """Load the deterministic baseline rows, replacing what the table holds."""
     lake.truncate(BASELINE)

@@ -12,33 +12,47 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reledger.fixed_values import DEFAULT_SEED, GOOGLE_ADS, META_ADS
-from reledger.functions.calendar import REPORT_MONTH
+from reledger.functions.calendar import REPORT_MONTH, report_month
 from reledger.functions.money import amount_text, cents_to_amount, micros_to_amount
 from reledger.lake import BASELINE, GOLD, GOOGLE_RAW, META_RAW, SILVER, Lake, scratch_lake
 from reledger.operators import quality
-from reledger.operators.latest import latest_wins
+from reledger.operators.latest import latest_twice, latest_wins
 from reledger.operators.rollup import (
     AMOUNTS,
     CAMPAIGN_DAY,
     COMPONENTS,
     campaign_daily,
-    change_between,
+    change_of_versions,
     sum_components,
     with_metrics,
 )
+from reledger.plans.audit import changes_since, remember
 from reledger.plans.publish import (
-    BUSINESS_KEY,
+    NEWEST_FIRST,
+    WINDOW_KEY,
     build_silver,
     latest_version,
     publish,
     reload_extraction,
+    reload_extractions,
     restate,
+    restate_days,
     silver_rows,
 )
 from reledger.sources import star_schema as star
 from reledger.sources import synthetic
-from reledger.sources.landing import copy_object, extraction_prefix, to_bronze, write_object
+from reledger.sources.landing import (
+    copy_object,
+    extraction_days,
+    extraction_prefix,
+    landed_files,
+    landed_objects,
+    to_bronze,
+    write_object,
+    write_reports,
+)
 from reledger.sources.networks import conform, network_named
+from reledger.storage import Files
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -135,6 +149,18 @@ def _long_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return lake
 
 
+def _daily_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Reports of both networks published day by day, all days of a network in one load."""
+    lake = scratch_lake(spark)
+    google, meta = _reports(lake, sf_dir)
+    published = synthetic.published_next_day
+    write_reports(published(google, "segments_date"), lake.landing, GOOGLE_ADS)
+    write_reports(published(meta, "date_start"), lake.landing, META_ADS)
+    for source in (GOOGLE_ADS, META_ADS):
+        reload_extractions(lake, source, extraction_days(spark, lake.landing, source))
+    return lake
+
+
 # --- Bronze ---------------------------------------------------------------------------------
 
 
@@ -156,31 +182,84 @@ def bronze_projection_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def source_file_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two objects in one extraction: both read, every row traced to its own."""
+    """Two objects in one extraction: both read whole, every row traced to one that exists."""
     lake = _loaded_lake(spark, sf_dir)
     prefix = extraction_prefix(lake.landing, GOOGLE_ADS, star.EXTRACTED_E)
     copy_object(spark, f"{prefix}/part-0001.parquet", f"{prefix}/part-0002.parquet")
     reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_E)
-    day = F.lit(star.EXTRACTED_E).cast("date")
-    return quality.provenance(lake.table(GOOGLE_RAW), GOOGLE_ADS, day, ["_source"])
+    landed = landed_objects(spark, lake.landing, GOOGLE_ADS, [star.EXTRACTED_E])
+    trace = quality.object_trace(lake.table(GOOGLE_RAW), landed, GOOGLE_ADS)
+    return quality.provenance(trace.withColumn("_source", F.lit(GOOGLE_ADS)), ["_source"])
+
+
+@query
+def lineage_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects deleted, rewritten and published since the load do not pass for traced."""
+    lake = _loaded_lake(spark, sf_dir)
+    prefix = extraction_prefix(lake.landing, GOOGLE_ADS, star.EXTRACTED_E)
+    for name in ("part-0002", "part-0003"):
+        copy_object(spark, f"{prefix}/part-0001.parquet", f"{prefix}/{name}.parquet")
+    reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_E)
+    Files(spark, prefix).delete("part-0002.parquet")
+    google, _ = _reports(lake, sf_dir)
+    fewer = star.restated_report(google)
+    write_object(fewer, lake.landing, GOOGLE_ADS, star.EXTRACTED_E, "part-0003")
+    landed = landed_objects(spark, lake.landing, GOOGLE_ADS)
+    trace = quality.object_trace(lake.table(GOOGLE_RAW), landed, GOOGLE_ADS)
+    name = F.substring_index("_source_file", "/", -1).alias("object_name")
+    return trace.select("_extracted_at", name, "landed_rows", "loaded_rows", "is_traced")
 
 
 @query
 def bronze_reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three loads of one extraction leave what one load leaves."""
+    """Three loads of one extraction leave what one load leaves, value by value."""
     lake = _loaded_lake(spark, sf_dir)
+    remember(lake, GOOGLE_RAW, "first")
     for _ in range(2):
         reload_extraction(lake, GOOGLE_ADS, star.EXTRACTED_E)
-    per_instant = lake.table(GOOGLE_RAW).groupBy("_source", "_extracted_at", "_ingested_at").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("cost_micros").alias("cost_micros"),
-        F.sum("conversions").alias("conversions"),
+    partition = list(GOOGLE_RAW.partitions)
+    instants = lake.table(GOOGLE_RAW).groupBy(*partition, "_ingested_at").count()
+    per_partition = instants.groupBy(*partition).agg(F.count(F.lit(1)).alias("instant_count"))
+    return changes_since(lake, GOOGLE_RAW, "first").join(per_partition, partition)
+
+
+@query
+def daily_extractions_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day's reports published the day after; all extractions loaded by one load."""
+    lake = _daily_lake(spark, sf_dir)
+    key = F.regexp_extract("_source_file", "source=[^/]+/report=[^/]+/extracted_at=[^/]+", 0)
+    return lake.table(GOOGLE_RAW).withColumn("object_key", key).drop("_source_file", "_ingested_at")
+
+
+@query
+def moved_value_noticed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One click moved from a row to another: all sums of the month agree, the prints do not."""
+    report = star.google_report(star.read(spark, sf_dir, "lineitem"))
+    report = report.withColumn(REPORT_MONTH, report_month(F.col("segments_date")))
+    row = F.struct(*report.columns)
+    ends = report.groupBy(REPORT_MONTH).agg(F.min(row).alias("first"), F.max(row).alias("last"))
+    # One row a month.
+    moved = report.join(F.broadcast(ends), REPORT_MONTH).withColumn(
+        "clicks", F.col("clicks") + (row == F.col("first")).cast("int") - (row == F.col("last")).cast("int")
     )
-    return per_instant.groupBy("_source", "_extracted_at").agg(
-        F.sum("rows").alias("row_count"),
-        F.count(F.lit(1)).alias("instant_count"),
-        F.sum("cost_micros").alias("cost_micros"),
-        F.sum("conversions").alias("conversions"),
+    totals = [F.sum(name).alias(name) for name in ("clicks", "impressions", "cost_micros")]
+
+    def state(rows: DataFrame) -> DataFrame:
+        kept = rows.select(*report.columns)
+        return quality.fingerprint(kept, (), [REPORT_MONTH]).join(
+            kept.groupBy(REPORT_MONTH).agg(F.struct(*totals).alias("sums")), REPORT_MONTH
+        )
+
+    before, after = state(report), state(moved)
+    changes = quality.fingerprint_changes(before, after, [REPORT_MONTH])
+    sums = before.select(REPORT_MONTH, "sums").join(
+        after.select(REPORT_MONTH, F.col("sums").alias("moved")), REPORT_MONTH
+    )
+    return changes.join(sums, REPORT_MONTH).select(
+        REPORT_MONTH,
+        F.col("rows_after").alias("row_count"),
+        (F.col("sums") == F.col("moved")).alias("same_sums"),
+        F.col("is_same").alias("same_print"),
     )
 
 
@@ -413,10 +492,12 @@ def zero_denominators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def restated_gold_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the correction changed, per campaign-day."""
-    before = campaign_daily(_silver_a(spark, sf_dir))
-    after = campaign_daily(_silver_restated(spark, sf_dir))
-    return change_between(before, after, CAMPAIGN_DAY)
+    """What the correction changed, per campaign-day: the latest of all against the latest of
+    the extractions before it."""
+    restated = conform(network_named(GOOGLE_ADS), _restated_a(spark, sf_dir))
+    rows = _conformed_a(spark, sf_dir).unionByName(restated)
+    earlier = F.col("_extracted_at") < F.lit(star.RESTATED_A).cast("date")
+    return change_of_versions(latest_twice(rows, WINDOW_KEY, NEWEST_FIRST, earlier), CAMPAIGN_DAY)
 
 
 @query
@@ -440,14 +521,38 @@ def late_restatement_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.table(GOLD)
 
 
+@query
+def daily_restatement_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily extractions published, then a month of daily corrections restated at once.
+
+    A correction may share its extraction with the reports of another day.
+    """
+    lake = _daily_lake(spark, sf_dir)
+    publish(lake)
+    google, _ = _reports(lake, sf_dir)
+    late = F.date_add("segments_date", star.CORRECTION_LAG_DAYS)
+    corrected = star.restated_report(google).withColumn("extracted_at", late)
+    write_reports(corrected, lake.landing, GOOGLE_ADS, append=True)
+    days = extraction_days(spark, lake.landing, GOOGLE_ADS)
+    restate_days(lake, GOOGLE_ADS, [day for day in days if day >= star.EXTRACTED_E])
+    return lake.table(GOLD)
+
+
 @query
 def touched_months_match_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publishing the touched months gives, month by month, what a full rebuild gives."""
-    lake = _published_lake(spark, sf_dir)
-    restate(lake, GOOGLE_ADS, star.RESTATED_E)
+    """A correction of one year of seven: publishing the months it touched gives, month by
+    month, what a full rebuild gives."""
+    lake = _long_lake(spark, sf_dir)
+    publish(lake)
+    report = star.google_report(star.read(spark, sf_dir, "lineitem"))
+    corrected = star.restated_report(report).filter(F.year("segments_date") == 1995)
+    write_object(corrected, lake.landing, GOOGLE_ADS, star.RESTATED_A, "restated")
+    touched = restate(lake, GOOGLE_ADS, star.RESTATED_A).months
     full = campaign_daily(silver_rows(lake))
     compared = quality.reconcile(lake.table(GOLD), full, [REPORT_MONTH])
-    return compared.select(REPORT_MONTH, "reconciles")
+    return compared.select(
+        REPORT_MONTH, F.col(REPORT_MONTH).isin(touched).alias("was_touched"), "reconciles"
+    )
 
 
 @query
@@ -474,7 +579,7 @@ def grain_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = star.read(spark, sf_dir, "lineitem")
     order_line = ["l_orderkey", "l_linenumber"]
     raw = quality.grain_uniqueness(lineitem, order_line)
-    silver = quality.grain_uniqueness(_silver(spark, sf_dir), BUSINESS_KEY)
+    silver = quality.grain_uniqueness(_silver(spark, sf_dir), WINDOW_KEY)
     return raw.withColumn("layer", F.lit("raw")).unionByName(
         silver.withColumn("layer", F.lit("silver"))
     )
@@ -528,6 +633,37 @@ def schema_conformity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+@query
+def landed_files_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each landed extraction by its footers, and whether its files are as declared."""
+    lake = _loaded_lake(spark, sf_dir)
+    found = [
+        landed_files(spark, lake.landing, source).withColumn("source", F.lit(source))
+        for source in (GOOGLE_ADS, META_ADS)
+    ]
+    return found[0].unionByName(found[1]).groupBy("source", "_extracted_at").agg(
+        F.sum("row_count").alias("row_count"), F.every("conforms").alias("conforms")
+    )
+
+
+@query
+def stored_files_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each month of Silver by its footers, its codecs, and whether files are in order."""
+    files = _published_lake(spark, sf_dir).files(SILVER)
+    return files.groupBy("partition").agg(
+        F.sum("row_count").alias("row_count"),
+        F.array_join(F.collect_set("codecs"), ",").alias("codecs"),
+        F.every("in_order").alias("in_order"),
+        F.every(F.col("writer").isNotNull()).alias("is_stamped"),
+    )
+
+
+@query
+def catalog_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared, catalogued and stored types of every column, and the rows that hold it."""
+    return _published_lake(spark, sf_dir).columns()
+
+
 @query
 def gold_components_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of stored Gold with the values they hold: keys and components, no ratio."""
@@ -550,25 +686,22 @@ def slice_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The checksum ignores order and notices a duplicate and a changed value."""
+    """The checksum is blind to how rows are grouped and notices a duplicate and a changed value."""
     bronze = _bronze_a(spark, sf_dir)
-    shuffled = bronze.repartition("account_id")
-    doubled = bronze.unionByName(bronze.filter(F.col("clicks") == 50))
-    revised = bronze.withColumn("clicks", F.col("clicks") + (F.col("clicks") == 50).cast("int"))
-    prints = None
-    for label, rows in {
-        "base": bronze, "shuffled": shuffled, "doubled": doubled, "revised": revised
-    }.items():
-        one = quality.fingerprint(rows, ignore=["_ingested_at"]).withColumn("label", F.lit(label))
-        prints = one if prints is None else prints.unionByName(one)
-    base = F.max(F.when(F.col("label") == "base", F.col("checksum")))
-
-    def sums_to_base(label: str) -> Column:
-        return F.max(F.when(F.col("label") == label, F.col("checksum"))) == base
+    chosen = (F.col("clicks") == 50).cast("bigint")
+    states = {
+        "doubled": (1 + chosen, {}),
+        "revised": (F.lit(1), {"clicks": F.col("clicks") + chosen}),
+    }
+    prints = quality.fingerprint_states(bronze, states, ["_ingested_at"], parts="account_id")
+    base = F.max(F.when(F.col("state") == "base", F.col("checksum")))
+
+    def sums_to_base(state: str) -> Column:
+        return F.max(F.when(F.col("state") == state, F.col("checksum"))) == base
 
     return prints.agg(
-        F.max(F.when(F.col("label") == "base", F.col("row_count"))).alias("row_count"),
-        sums_to_base("shuffled").alias("same_when_shuffled"),
+        F.max(F.when(F.col("state") == "base", F.col("row_count"))).alias("row_count"),
+        sums_to_base("merged").alias("same_when_shuffled"),
         sums_to_base("doubled").alias("same_when_doubled"),
         sums_to_base("revised").alias("same_when_revised"),
     )

@@ -21,6 +21,7 @@ EXTRACTED_B = "2024-02-01"
 RESTATED_A = "2002-03-01"
 EXTRACTED_E = "2024-02-01"
 RESTATED_E = "2024-03-01"
+CORRECTION_LAG_DAYS = 31
 INGESTED_AT = "2026-07-17 03:00:00"
 
 

@@ -18,6 +18,14 @@ from reledger.sources.landing import write_reports
 CAMPAIGN_DAY_KEYS = ("account_id", "campaign_id", "report_date")
 
 
+def account_name(number: Column) -> Column:
+    return F.format_string("acct_%02d", number)
+
+
+def campaign_name(number: Column) -> Column:
+    return F.format_string("camp_%03d", number)
+
+
 def campaign_days(
     spark: SparkSession,
     *,
@@ -30,10 +38,8 @@ def campaign_days(
     """One row per account, campaign and day, in day order."""
     number = F.col("id")
     decoded = {
-        "account_id": F.format_string(
-            "acct_%02d", F.expr(f"id div {campaigns}") % accounts + 1
-        ),
-        "campaign_id": F.format_string("camp_%03d", number % campaigns + 1),
+        "account_id": account_name(F.expr(f"id div {campaigns}") % accounts + 1),
+        "campaign_id": campaign_name(number % campaigns + 1),
         "report_date": F.date_add(
             F.lit(first_day), F.expr(f"id div {accounts * campaigns}").cast("int")
         ),
@@ -49,27 +55,34 @@ def share_points(
 
     The flagship has a fixed share; the other points are dealt one by one to the others.
     """
+    if products <= fixed.FLAGSHIP_PRODUCT:
+        raise ValueError(f"product {fixed.FLAGSHIP_PRODUCT} must be one of {products}")
     others = products - 1
     dealt = fixed.SHARE_POINTS - fixed.FLAGSHIP_POINTS
     draws = F.transform(
         F.sequence(F.lit(0), F.lit(dealt - 1)),
-        lambda draw: F.pmod(F.xxhash64(F.lit(seed), *CAMPAIGN_DAY_KEYS, draw), F.lit(others)),
+        lambda draw: F.pmod(
+            F.xxhash64(F.lit(seed), *CAMPAIGN_DAY_KEYS, draw), F.lit(others)
+        ).cast("int"),
     )
-    # The draws are taken once per campaign-day: the explode of a single array keeps them
-    # from being folded into the expressions of every product row.
-    drawn = days.select("*", F.explode(F.array(draws)).alias("draws"))
-    per_product = drawn.select(
-        *days.columns, "draws", F.explode(F.sequence(F.lit(0), F.lit(products - 1))).alias("n")
+    # One histogram a campaign-day: each draw raises its own entry, products are not searched.
+    won = F.aggregate(
+        draws,
+        F.array_repeat(F.lit(0), others),
+        lambda points, draw: F.concat(
+            F.slice(points, F.lit(1), draw),
+            F.array(F.get(points, draw) + 1),
+            F.slice(points, draw + 2, F.lit(others)),
+        ),
     )
     # The others are numbered without the flagship.
-    other = F.when(F.col("n") > fixed.FLAGSHIP_PRODUCT, F.col("n") - 1).otherwise(F.col("n"))
-    won = F.size(F.filter("draws", lambda draw: draw == F.col("_other")))
-    return per_product.withColumn("_other", other.cast("bigint")).select(
-        *days.columns,
-        F.format_string("sku_%02d", "n").alias("product_id"),
-        F.when(F.col("n") == fixed.FLAGSHIP_PRODUCT, F.lit(fixed.FLAGSHIP_POINTS))
-        .otherwise(won)
-        .alias("points"),
+    before = F.slice("won", 1, fixed.FLAGSHIP_PRODUCT)
+    after = F.slice("won", fixed.FLAGSHIP_PRODUCT + 1, others)
+    points = F.concat(before, F.array(F.lit(fixed.FLAGSHIP_POINTS)), after)
+    # The explode of a single array keeps the histogram from being folded into every product row.
+    drawn = days.select("*", F.explode(F.array(won)).alias("won"))
+    return drawn.select(*days.columns, F.posexplode(points).alias("n", "points")).select(
+        *days.columns, F.format_string("sku_%02d", "n").alias("product_id"), "points"
     )
 
 
@@ -166,15 +179,14 @@ def baseline_rows(numbers: DataFrame) -> DataFrame:
         F.lit(fixed.BASELINE_SOURCE_FILE).alias("_source_file"),
         F.to_date(F.lit(fixed.BASELINE_EXTRACTED_AT)).alias("_extracted_at"),
         F.to_timestamp(F.lit(fixed.BASELINE_INGESTED_AT)).alias("_ingested_at"),
-        F.element_at(
-            F.array(F.lit("acct_01"), F.lit("acct_02")), (F.col("n") % 2 + 1).cast("int")
-        ).alias("account_id"),
-        F.concat(
-            F.lit("camp_"), F.lpad(F.expr("cast(n div 2 % 5 + 1 as string)"), 3, "0")
+        account_name(F.col("n") % fixed.ACCOUNT_COUNT + 1).alias("account_id"),
+        campaign_name(
+            F.expr(f"n div {fixed.ACCOUNT_COUNT}") % fixed.CAMPAIGN_COUNT + 1
         ).alias("campaign_id"),
-        F.date_add(F.to_date(F.lit("2026-07-14")), F.expr("cast(n div 10 as int)")).alias(
-            "report_date"
-        ),
+        F.date_add(
+            F.lit(fixed.FIRST_REPORT_DAY),
+            F.expr(f"cast(n div {fixed.ACCOUNT_COUNT * fixed.CAMPAIGN_COUNT} as int)"),
+        ).alias("report_date"),
         ((F.col("n") + 1) * 1_000_000).cast("bigint").alias("cost_micros"),
         (F.col("n") * 10).cast("bigint").alias("clicks"),
         (F.col("n") * 1000).cast("decimal(20,0)").alias("impressions"),

@@ -1,20 +1,25 @@
 from __future__ import annotations
 
 import shutil
+from datetime import timedelta
 
 import pytest
 
+from reledger import fixed_values as fixed
 from reledger.fixed_values import GOOGLE_ADS, META_ADS
 from reledger.lake import scratch_lake
 from reledger.plans.publish import publish, reload_extraction
 from reledger.session import build_session
 from reledger.sources.synthetic import write_fixture
 
-DAYS = ("2026-07-15", "2026-07-16", "2026-07-17")
-RESTATED = "2026-08-20"
+DAYS = tuple(
+    str(fixed.FIRST_REPORT_DAY + timedelta(days=day + fixed.EXTRACTION_LAG_DAYS))
+    for day in range(fixed.REPORT_DAY_COUNT)
+)
+RESTATED = str(fixed.RESTATEMENT_EXTRACTION_DAY)
 PIVOT = (
-    "source = 'google_ads' AND account_id = 'acct_01'"
-    " AND campaign_id = 'camp_003' AND report_date = '2026-07-15'"
+    f"source = '{GOOGLE_ADS}' AND account_id = '{fixed.PIVOT_ACCOUNT}'"
+    f" AND campaign_id = '{fixed.PIVOT_CAMPAIGN}' AND report_date = '{fixed.PIVOT_REPORT_DAY}'"
 )
 
 

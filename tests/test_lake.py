@@ -81,8 +81,8 @@ def test_an_empty_reload_empties_its_partition_only(landed):
     assert (reloaded.rows, reloaded.months) == (0, [202607])
     assert loaded(landed) == dict.fromkeys(DAYS, 1000)
     assert restate(landed, GOOGLE_ADS, "2026-07-20").months == [202607]
-    left = f"{landed.location(GOOGLE_RAW)}/*/_extracted_at=2026-07-20/*/*.parquet"
-    assert not glob.glob(left)
+    left = f"{landed.location(GOOGLE_RAW)}/**/_extracted_at=2026-07-20/*/*.parquet"
+    assert not glob.glob(left, recursive=True)
     assert landed.partitions(GOOGLE_RAW, {"_extracted_at": "2026-07-20"}) == []
 
 
@@ -177,15 +177,19 @@ def test_a_hot_month_is_written_by_several_tasks(empty_lake):
         written = empty_lake.replace_partitions(SILVER, rows, [])
     finally:
         spark.conf.set(key, normal)
-    assert (written.rows, written.emptied) == (300_000, [])
+    months = sorted(spec[REPORT_MONTH] for spec in written.written)
+    assert (written.rows, months, written.emptied) == (300_000, ["202512", "202601"], [])
     assert empty_lake.table(SILVER).count() == 300_000
-    hot = glob.glob(f"{empty_lake.location(SILVER)}/report_month=202601/*.parquet")
-    cold = glob.glob(f"{empty_lake.location(SILVER)}/report_month=202512/*.parquet")
+    files = glob.glob(f"{empty_lake.location(SILVER)}/**/*.parquet", recursive=True)
+    hot = [name for name in files if "/report_month=202601/" in name]
+    cold = [name for name in files if "/report_month=202512/" in name]
     assert len(hot) > 3 and len(cold) == 1
 
 
 def test_silver_files_are_sorted_by_key(published):
     key = ["source", "account_id", "report_date", "campaign_id", "product_id"]
-    for name in glob.glob(f"{published.location(SILVER)}/*/*.parquet"):
+    names = glob.glob(f"{published.location(SILVER)}/**/*.parquet", recursive=True)
+    assert names
+    for name in names:
         frame = pq.ParquetFile(name).read(columns=key).to_pandas()
         assert frame.equals(frame.sort_values(key, kind="stable").reset_index(drop=True))

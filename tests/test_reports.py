@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from reledger.fixed_values import GOOGLE_ADS, META_ADS, PIVOT_REPORT_DAY
 from reledger.operators import quality
-from reledger.sources.landing import extraction_prefix, read_extraction
+from reledger.sources.landing import extraction_prefix, read_extractions
 from reledger.sources.networks import network_named
 from reledger.sources.synthetic import (
     campaign_days,
@@ -108,7 +108,7 @@ def test_each_source_keeps_its_own_schema(spark, landing):
 
 
 def test_columns_are_read_by_name_and_only_those_asked_for(spark, landing):
-    rows = read_extraction(spark, landing, network_named(GOOGLE_ADS), DAYS[0])
+    rows = read_extractions(spark, landing, network_named(GOOGLE_ADS), DAYS[:1])
     assert rows.columns == [name for name, _ in network_named(GOOGLE_ADS).report_columns]
     plan = rows.select("clicks")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<clicks:bigint>" in plan

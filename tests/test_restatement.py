@@ -230,3 +230,47 @@ def test_changes_between_two_states(spark):
     changed = {row["report_date"]: row for row in found}
     assert {day: row["clicks"] for day, row in changed.items()} == {"d1": 0, "d2": -1, "d3": 5}
     assert changed["d1"]["revenue_eur"] == 1
+
+
+def lost(*_, **__):
+    raise RuntimeError("the driver was lost")
+
+
+@pytest.mark.parametrize(
+    "step,moved", [("_commit", False), ("_apply", True), ("_mark_seen", True), ("_sweep", True)]
+)
+def test_a_driver_lost_anywhere_never_leaves_rows_counted_twice(monthly, monkeypatch, step, moved):
+    """Rows move from a month to another: whatever step is lost, one state or the other is left."""
+    lake, report = monthly
+    later = report.withColumn("segments_date", F.to_date(F.lit("2026-08-31")))
+    write_object(later, lake.landing, GOOGLE_ADS, "2026-09-03", "part-0001")
+    with monkeypatch.context() as patched:
+        patched.setattr(Lake, step, lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            reload_extraction(lake, GOOGLE_ADS, "2026-09-03")
+    expected = {202607: 1000, 202608 if moved else 202609: 1000}
+    again = Lake(lake.spark, lake.root, prefix=f"again_{lake.prefix}")
+    again.ensure_tables()
+    for one in (lake, again):
+        publish(one)
+        for table in (GOOGLE_RAW, SILVER):
+            months = one.table(table).groupBy("report_month").count().collect()
+            assert {row["report_month"]: row["count"] for row in months} == expected
+    assert restate(lake, GOOGLE_ADS, "2026-09-03").rows == 1000
+    assert lake.months(GOLD) == [202607, 202608] and full_rebuild_agrees(lake)
+    assert lake.remove_abandoned(GOOGLE_RAW) and lake.remove_abandoned(GOOGLE_RAW) == []
+    assert lake.table(GOOGLE_RAW).count() == 2000
+
+
+@pytest.mark.parametrize("step", ["_commit", "_apply", "_mark_seen", "_sweep"])
+def test_a_publication_lost_anywhere_is_made_good_by_the_next(monthly, monkeypatch, step):
+    lake, report = monthly
+    write_object(report.limit(0), lake.landing, GOOGLE_ADS, "2026-09-03", "part-0001")
+    reload_extraction(lake, GOOGLE_ADS, "2026-09-03")
+    with monkeypatch.context() as patched:
+        patched.setattr(Lake, step, lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            publish(lake)
+    publish(lake)
+    assert lake.months(SILVER) == lake.months(GOLD) == [202607]
+    assert lake.table(SILVER).count() == 1000

@@ -20,7 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from reledger.fixed_values import GOOGLE_ADS  # noqa: E402
 from reledger.functions.calendar import in_months  # noqa: E402
-from reledger.lake import GOLD, GOOGLE_RAW, SILVER, scratch_lake  # noqa: E402
+from reledger.lake import GOLD, GOOGLE_RAW, LOADS, SILVER, scratch_lake  # noqa: E402
 from reledger.operators.rollup import campaign_daily  # noqa: E402
 from reledger.plans.publish import (  # noqa: E402
     build_gold,
@@ -58,7 +58,6 @@ def main() -> None:
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * int(size.cpus)),
             "spark.driver.memory": "16g",
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -118,7 +117,7 @@ def main() -> None:
                 "seconds": seconds,
                 "silver_bytes": {
                     "unsorted snappy": stored_bytes(spark, plain),
-                    "sorted zstd delta": stored_bytes(spark, lake.location(SILVER)),
+                    "sorted zstd delta": stored_bytes(spark, f"{lake.location(SILVER)}/{LOADS}"),
                 },
             }
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import discard, written
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
@@ -53,7 +53,8 @@ def components(edges: DataFrame) -> DataFrame:
     )
     state = _state(current)
     while state[0]:
-        current = written(_small_star(_large_star(current)), "edges")
+        before, current = current, written(_small_star(_large_star(current)), "edges")
+        discard(before)
         was, state = state, _state(current)
         if was == state:
             break

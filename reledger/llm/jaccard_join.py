@@ -10,35 +10,44 @@ documents in one outer region. The recursion therefore has two kinds of pivots.
    have one of their first |x| - ceil(threshold * |x|) + 1 pivots in common: x is replicated
    into these regions and no others.
 2. The empty set gives the size window: d(x, y) >= 1 - min/max of the sizes, so a region splits
-   into bands of sizes, each document in its own and the next.
-3. Coordinates. Counts of a set in 128 parts of all shingles bound its distance from another set
+   into bands of sizes, each document in its own and, if its place there allows a larger
+   partner, the next. A pair is formed in the band of the larger one.
+3. Places. If s is the first pivot that x and y have in common, none before its place in either
+   list is shared, so they share min(|x| - i, |y| - j) shingles at most, i and j being the places.
+   A region forms the pairs for which that is enough; a passage that many texts share and no
+   text begins its list with makes hardly any.
+4. Coordinates. Counts of a set in 128 parts of all shingles bound its distance from another set
    from below; pairs that are too far apart are never measured.
-4. Document pivots. In each region the member with most copies is the pivot p, and d(x, p) is computed
+5. Document pivots. In each region the member with most copies is the pivot p, and d(x, p) is computed
    exactly. Members inside p's ball are linked through it and never compared with each other, so
    a group of n near copies costs n pairs. Other pairs of a region go on only if they are in
    different components and if |d(x, p) - d(y, p)| <= tau. Regions of more than `leaf` members
    recurse with new pivots; the rest are joined exactly.
 
 The order of shingles uses counts of all shingles in 2**20 buckets, whatever the input: 8 MB.
+Each table is deleted as soon as no later step reads it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
 from .bitmaps import bitmap, member
 from .components import components
-from .storage import written
+from .storage import discard, written
 
 BUCKET_BITS = 20
 FILTER_BITS = 23
 LEAF = 512
+#: Document pivots of a region at most, one after the other.
+TURNS = 3
 PARTS = 128
 
 
@@ -152,6 +161,27 @@ def shingled(docs: DataFrame, percent: int, doc_id: str = "doc_id", text: str =
     )
 
 
+def _regions(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """(s, kind, n, place) of the pivots in `shared` (s): a bitmap spares the others the shuffle."""
+    flags = rows.sparkSession.sparkContext.broadcast(bitmap(shared, "s", FILTER_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            value = np.asarray(lists.flatten())
+            size = np.diff(np.asarray(lists.offsets)).astype(np.int64)
+            place = np.arange(len(value)) - np.repeat(np.cumsum(size) - size, size)
+            hit = member(flags.value, value)
+            owner = pa.array(np.repeat(np.arange(len(size)), size)[hit])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(value[hit]), batch.column(0).take(owner), batch.column(1).take(owner), pa.array(place[hit])],
+                names=["s", "kind", "n", "place"],
+            )
+
+    found = rows.where("pivots is not null").select("kind", "n", "pivots")
+    return found.mapInArrow(run, "s long, kind long, n long, place long").join(shared, "s")
+
+
 def _shingle_sets(docs: DataFrame, kinds: DataFrame, text: str) -> DataFrame:
     """(kind, members) for the given kinds; texts of other kinds are left out before the shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(kinds, "kind", FILTER_BITS))
@@ -227,21 +257,26 @@ def jaccard_components(
     if not 0 < percent <= 100:
         raise ValueError("percent must be above 0 and at most 100")
     rows = written(shingled(docs, percent, doc_id, text), "shingled")
-    held = rows.where("pivots is not null").select("kind", "n", F.explode("pivots").alias("s"))
+    held = rows.where("pivots is not null").select("kind", F.explode("pivots").alias("s"))
     shared = held.groupBy("s").agg(F.min("kind").alias("low"), F.max("kind").alias("high")).where("low <> high")
+    shared = written(shared.select("s"), "shared")
     # A text with many copies is the likelier centre of its near copies: the first pivot. Every
     # task lists the pivots of a kind once, so tasks are counted here; the kind breaks ties.
-    near = (
-        held.join(shared.select("s"), "s")
-        .groupBy("s", "kind", "n")
-        .agg(F.count("*").alias("tasks"))
-        .withColumn("weight", F.struct("tasks", "kind"))
-    )
-    band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + 1e-9) if percent < 100 else F.col("n")
-    steps = F.array(F.lit(0), F.lit(1)) if percent < 100 else F.array(F.lit(0))
+    near = _regions(rows, shared).groupBy("s", "kind", "n", "place").agg(F.count("*").alias("tasks"))
+
+    def band(size) -> Column:
+        if percent == 100:
+            return size.cast("long")
+        return F.floor(F.log(size) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
+
+    # The largest partner that may still share enough from this place on.
+    largest_partner = F.floor((F.col("n") - F.col("place")) * (100 + percent) / percent) - F.col("n")
+    own = band(F.col("n"))
+    steps = F.when((largest_partner > F.col("n")) & (band(largest_partner) > own), F.array(F.lit(0), F.lit(1)))
     banded = written(
-        near.select("s", "kind", "n", "weight", F.explode(steps).alias("step"), band.cast("long").alias("own"))
-        .select("s", "kind", "n", "weight", (F.col("own") + F.col("step")).alias("band"), F.col("step")),
+        near.withColumn("own", own).select(
+            "s", "kind", "n", "place", "own", "tasks", F.explode(F.coalesce(steps, F.array(F.lit(0)))).alias("step")
+        ).withColumn("band", F.col("own") + F.col("step")),
         "regions",
     )
     alive = (
@@ -250,10 +285,13 @@ def jaccard_components(
         .where("low <> high and native = 0")
     )
     members = written(
-        banded.join(alive.select("s", "band"), ["s", "band"])
-        .select("s", "band", "kind", "n", F.col("kind").alias("comp"), F.lit(None).cast("double").alias("d"), "weight"),
+        banded.join(alive.select("s", "band"), ["s", "band"]).select(
+            "s", "band", "kind", "n", "place", "own", "tasks", F.col("kind").alias("comp"), F.lit(None).cast("double").alias("d")
+        ),
         "members",
     )
+    for table in (shared, banded):
+        discard(table)
     coordinates = written(
         rows.where("parts is not null")
         .join(members.select("kind").distinct(), "kind", "left_semi")
@@ -261,69 +299,90 @@ def jaccard_components(
         .agg(F.first("parts").alias("parts")),
         "coordinates",
     )
-    comps, known, turn = None, None, 0
+    tau = 1 - percent / 100 + 1e-9
+    pair = F.struct(F.greatest("kind", "p_kind").alias("a"), F.least("kind", "p_kind").alias("b"))
+
+    def may_link(found: DataFrame) -> DataFrame:
+        """The pairs (kind, p_kind) of members that this region has to form, as (a, b)."""
+        return (
+            found.where("comp <> p_comp and band = greatest(own, p_own)")
+            .where(f"100 * least(n, p_n) >= {percent} * greatest(n, p_n)")
+            .where(f"least(n - place, p_n - p_place) * {100 + percent} >= {percent} * (n + p_n)")
+            .select(pair.alias("pair"))
+            .select("pair.*")
+            .distinct()
+        )
+
+    comps, turn = None, 0
     while True:
+        pivot = F.max_by(F.struct("kind", "n", "place", "own", "comp"), F.struct("tasks", "kind")).alias("p")
         regions = (
             members.groupBy("s", "band")
-            .agg(
-                F.max_by("kind", "weight").alias("least"),
-                F.count("*").alias("m"),
-                F.min("comp").alias("low"),
-                F.max("comp").alias("high"),
-            )
+            .agg(pivot, F.count("*").alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"))
             .where("low <> high")
         )
-        largest = regions.agg(F.max("m")).first()[0]
+        placed = members.join(regions.drop("low", "high"), ["s", "band"])
+        names = ("kind", "n", "place", "own", "comp")
+        placed = written(
+            placed.select(*members.columns, "m", *(F.col(f"p.{c}").alias(f"p_{c}") for c in names)), "placed"
+        )
+        discard(members)
+        members = placed
+        largest = placed.agg(F.max("m")).first()[0]
         if not largest:
             break
-        final = turn > 1 and largest <= leaf
-        # One pivot a region in the first two turns, which gathers its ball; a third of the rest later.
-        chosen = F.col("kind") == F.col("least")
-        if turn > 1:
-            chosen = chosen | (F.pmod(F.xxhash64("kind", F.lit(turn)), F.lit(3)) == 0)
-        placed = members.join(regions.select("s", "band", "least"), ["s", "band"]).withColumn(
-            "chosen", F.lit(True) if final else chosen
-        )
-        pivots = placed.where("chosen").select(
-            "s",
-            "band",
-            *(F.col(c).alias(f"pivot_{c}") for c in ("kind", "n", "comp", "d")),
-        )
-        close = F.abs(F.col("d") - F.col("pivot_d")) <= 1 - percent / 100 + 1e-9
-        pairs = (
-            placed.join(pivots, ["s", "band"])
-            .where("comp <> pivot_comp and (not chosen or kind > pivot_kind)")
-            .where(f"100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n)")
-            .where(F.coalesce(close, F.lit(True)))
-            .select(F.greatest("kind", "pivot_kind").alias("a"), F.least("kind", "pivot_kind").alias("b"))
-            .distinct()
-        )
-        if known is not None:
-            pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        final = turn > 0 and (largest <= leaf or turn >= TURNS)
+        if final:
+            # Of two members one at least is outside the pivot's component, and one stands so far to
+            # the front that its place alone does not rule out a partner of its own size.
+            placed_low = placed.withColumn("low", F.expr(f"(n - place) * {100 + percent} >= {2 * percent} * n"))
+            one = placed_low.where("comp <> p_comp").select("s", "band", "d", "low", *names)
+            other = placed_low.select(
+                "s",
+                "band",
+                F.col("d").alias("p_d"),
+                F.col("low").alias("p_low"),
+                (F.col("comp") == F.col("p_comp")).alias("p_main"),
+                *(F.col(c).alias(f"p_{c}") for c in names),
+            )
+            close = F.coalesce(F.abs(F.col("d") - F.col("p_d")) <= tau, F.lit(True))
+            met = [
+                one.where("low").join(other, ["s", "band"]),
+                one.where("not low").join(other.where("p_low"), ["s", "band"]),
+            ]
+            pairs = reduce(DataFrame.unionByName, [may_link(x.where("p_main or kind > p_kind").where(close)) for x in met]).distinct()
+        else:
+            pairs = may_link(placed.where("kind <> p_kind"))
         pairs = written(_possible(pairs, coordinates, percent), "pairs")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("kind")).distinct()
         sets = written(_shingle_sets(docs, ends, text), "sets")
         measured = written(_measured(pairs, sets), "measured")
-        known = measured if known is None else known.unionByName(measured)
-        links = measured.where(f"100 * common >= {percent} * total")
-        comps = _merged(comps, links)
+        comps = _merged(comps, measured.where(f"100 * common >= {percent} * total"))
+        for table in (pairs, sets):
+            discard(table)
         if final:
+            discard(measured)
             break
-        distance = known.select(
-            F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"),
-            (1 - F.col("common") / F.col("total")).alias("new_d"),
-        ).select(F.col("p.a").alias("kind"), F.col("p.b").alias("least"), "new_d")
-        rest = placed.where("not chosen").drop("comp", "chosen")
+        rest = placed.where("kind <> p_kind").select("s", "band", "d", "tasks", "p_kind", *names[:-1])
         if turn == 0:
-            rest = rest.drop("d").join(distance, ["kind", "least"], "left").withColumnRenamed("new_d", "d")
+            ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+            distance = measured.select(F.explode(ends).alias("p"), (1 - F.col("common") / F.col("total")).alias("new_d"))
+            distance = distance.select(F.col("p.a").alias("kind"), F.col("p.b").alias("p_kind"), "new_d")
+            rest = rest.drop("d").join(distance, ["kind", "p_kind"], "left").withColumnRenamed("new_d", "d")
+        of = comps.select(F.col("node").alias("kind"), F.col("component").alias("comp"))
         members = written(
-            rest.join(comps.select(F.col("node").alias("kind"), F.col("component").alias("comp")), "kind", "left")
-            .select("s", "band", "kind", "n", F.coalesce("comp", "kind").alias("comp"), "d", "weight"),
+            rest.join(of, "kind", "left").select(
+                "s", "band", "kind", "n", "place", "own", "tasks", F.coalesce("comp", "kind").alias("comp"), "d"
+            ),
             "members",
         )
+        for table in (placed, measured):
+            discard(table)
         turn += 1
+    for table in (members, coordinates):
+        discard(table)
     if comps is None:
-        comps = members.select(F.col("kind").alias("node"), F.col("kind").alias("component")).limit(0)
+        comps = docs.sparkSession.createDataFrame([], "node long, component long")
     kinds = rows.where("n > 0").groupBy("kind").agg(F.min("doc_id").alias("least"))
     named = kinds.join(comps.withColumnRenamed("node", "kind"), "kind", "left").withColumn("component", F.coalesce("component", "kind"))
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -30,7 +30,8 @@ HAVING count(*) * 100 >= max(n_item) * 80
 
 _MIX = """
 WITH keyed AS (
-    SELECT doc_id, source, md5('17:' || doc_id) AS key,
+    SELECT doc_id, source,
+           md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(md5(text), '-')) AS key,
            coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size
     FROM documents
 ),
@@ -60,7 +61,7 @@ targets AS (
 placed AS (
     SELECT doc_id, size, source_size, target,
            CAST(floor(target / source_size) AS BIGINT) AS whole,
-           sum(size) OVER (PARTITION BY keyed.source ORDER BY key) - size AS until
+           sum(size) OVER (PARTITION BY keyed.source ORDER BY key ROWS UNBOUNDED PRECEDING) - size AS until
     FROM keyed JOIN targets ON keyed.source IS NOT DISTINCT FROM targets.source
 )
 SELECT doc_id, size, source_size, target,

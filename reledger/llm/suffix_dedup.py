@@ -329,13 +329,28 @@ def suffix_dedup(
     Each byte covered by a string of `width` bytes that also starts earlier, by doc_id and then
     offset, is removed; strings are judged on the input. n_spans counts maximal removed runs;
     `kept` is the remaining bytes if asked for. A null or empty text has 0 bytes. Rows that share
-    an id are copies of one document: what goes from one goes from all, and none is the earlier.
+    id and text are copies of one document: what goes from one goes from all, and none is the
+    earlier. Different texts under one id are documents of their own, ordered by their hashes.
     Rows with a null id lose only what repeats within them. Other columns are ignored; an empty
     table gives no rows.
     """
     if width <= DIGIT:
         raise ValueError(f"width must be above {DIGIT}")
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text"))
+    if not _one_text_an_id(rows):
+        # A key of two parts costs time in every pass, so it is used only where ids do not do.
+        both = F.when(F.col("id").isNotNull(), F.struct("id", F.xxhash64("text").alias("whole")))
+        found = _deduplicated(rows.select(both.alias("id"), "text"), width, keep_text)
+        return found.withColumn("doc_id", F.col("doc_id.id"))
+    return _deduplicated(rows, width, keep_text)
+
+
+def _one_text_an_id(rows: DataFrame) -> bool:
+    texts = rows.where("id is not null").select("id", F.xxhash64("text").alias("whole")).groupBy("id")
+    return texts.agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low <> high").isEmpty()
+
+
+def _deduplicated(rows: DataFrame, width: int, keep_text: bool) -> DataFrame:
     named = rows.where("id is not null")
     suffixes = written(_suffixes(named, width), "suffixes")
     repeats = repeated_suffixes(suffixes)

@@ -133,5 +133,6 @@ def decontaminated(docs: DataFrame, items: DataFrame, percent: int = 80, doc_id:
     """
     # 256 bits: a clean row never goes for another's text.
     whole = F.unhex(F.sha2(F.col(text).cast("binary"), 256))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), whole.alias("doc_id"))
     held = contained_items(docs.select(whole.alias("doc_id"), F.col(text).alias("text")), items, percent)
-    return docs.join(held.select(F.col("doc_id").alias("held_text")).distinct(), whole == F.col("held_text"), "left_anti")
+    return rows.join(held.select("doc_id").distinct(), "doc_id", "left_anti").select("row.*")

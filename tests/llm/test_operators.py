@@ -10,8 +10,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from reledger.llm import ann, decontamination, extraction, jaccard_join, language_id, lm_scoring, mixing, sharding
+from reledger.llm import ann, decontamination, extraction, jaccard_join, language_id, lm_scoring, mixing, near_duplicates, sharding
 from reledger.llm import suffix_dedup as suffixes
 from reledger.llm import url_filter
 
@@ -68,6 +69,43 @@ def test_jaccard_components(docs, nothing):
     assert jaccard_join.jaccard_components(nothing).collect() == []
 
 
+@pytest.mark.parametrize("leaf,percent", [(512, 80), (4, 60)])
+def test_jaccard_components_of_crowds(spark, leaf, percent):
+    """Near copies of a few texts, passages that many texts share, and chains of edits, of many sizes."""
+    rng = random.Random(percent + leaf)
+    word = lambda: f"w{rng.randrange(100_000)}"
+    passage = [word() for _ in range(30)]
+    texts = []
+    for length in (12, 40, 90):
+        base = [word() for _ in range(length)] + passage
+        for _ in range(70):
+            near = list(base)
+            for _ in range(rng.randrange(5)):
+                near[rng.randrange(len(near))] = word()
+            texts.append(near[rng.randrange(3) : len(near) - rng.randrange(8)])
+        for _ in range(20):  # each a little further from the first
+            base = [*base[2:], word(), word()]
+            texts.append(list(base))
+    texts += [[*(word() for _ in range(rng.randrange(60))), *passage, *(word() for _ in range(rng.randrange(9)))] for _ in range(80)]
+    sets = [_set(" ".join(t)) for t in texts]
+    root = list(range(len(sets)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in range(len(sets)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                low, high = sorted((top(a), top(b)))
+                root[high] = low
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    found = jaccard_join.jaccard_components(rows, percent, leaf=leaf).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: top(i) for i in range(len(sets))}
+
+
 def test_suffix_dedup(docs, nothing):
     seen, expected = set(), {}
     for i, text in sorted(_texts()):
@@ -85,6 +123,21 @@ def test_suffix_dedup(docs, nothing):
     assert suffixes.suffix_dedup(nothing).collect() == []
 
 
+def test_suffix_dedup_of_one_id_with_different_texts(spark):
+    """A text of its own keeps all its bytes whatever else has its id; copies lose theirs."""
+    rng = random.Random(11)
+    text = ["".join(rng.choice("abcdef ") for _ in range(n)) for n in (400, 588, 300)]
+    rows = [(1, text[0]), (2, f"x{text[0]}y"), (2, text[1]), (2, text[1]), (3, text[2]), (None, text[0]), (4, None), (4, text[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = Counter()
+    for i, t in rows:
+        removed = 400 if t == rows[1][1] else 300 if (i, t) == (4, text[2]) else 0
+        kept = {400: "xy", 300: ""}.get(removed, t or "").encode()
+        expected[(i, len((t or "").encode()), removed, int(removed > 0), hashlib.sha256(kept).hexdigest())] += 1
+    found = suffixes.suffix_dedup(docs.repartition(3))
+    assert Counter(map(tuple, found.collect())) == expected and found.columns[0] == "doc_id"
+
+
 def test_containment(spark, docs, nothing):
     items = {1: _texts()[8][1], 2: None, 3: "one two", 4: " ".join((_texts()[5][1] or "").split()[:9])}
     table = spark.createDataFrame(list(items.items()), "item_id long, text string")
@@ -115,6 +168,18 @@ def test_decontaminated_judges_rows(spark):
     assert sorted(map(str, found)) == sorted(str(r) for r in rows.collect() if item not in (r.text or ""))
 
 
+def test_clashing_columns(spark, docs):
+    """Columns named like those used inside change nothing and come back as they were."""
+    names = ["kept_id", "kept_whole", "held_text", "row", "whole", "id", "place", "doc_id_", "size", "key"]
+    clashing = docs.select("*", *(F.lit(i).alias(name) for i, name in enumerate(names)))
+    items = spark.createDataFrame([(1, _texts()[8][1])], "item_id long, text string")
+    for stage in (near_duplicates.one_of_each, lambda d: decontamination.decontaminated(d, items), mixing.mix):
+        plain, other = stage(docs), stage(clashing)
+        assert other.columns == clashing.columns
+        kept = Counter((r.doc_id, r.text) for r in plain.collect())
+        assert Counter((r.doc_id, r.text) for r in other.collect()) == kept
+
+
 def test_mixing(docs, nothing):
     rows = mixing.mix_digest(docs).collect()
     assert len(rows) == docs.count()
@@ -133,6 +198,31 @@ def test_mixing(docs, nothing):
     assert mixing.mix_digest(nothing).collect() == [] and mixing.mix(nothing).collect() == []
 
 
+def test_mixing_of_null_and_repeated_ids(spark):
+    """No row takes more than twice its size, whatever its id, and no word of a target is lost."""
+    rng = random.Random(9)
+    size = {i: " ".join(f"w{rng.randrange(50)}" for _ in range(n)) for i, n in enumerate((2, 1, 100, 7, 30))}
+    rows = [(None, size[i], "a", i) for i in range(5)] + [(1, size[2], "b", i % 3) for i in range(40)]
+    rows += [(1, size[3], "b", 0), (None, None, "c", 1), (None, "", None, 1), (None, size[4], None, None), (2, size[3], "c", 5)]
+    rows += [(None, size[1], "d", None)] * 2500
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, key int").repartition(5)
+    for total, seed in ((1.5, 17), (0.37, 3), (1.01, 5)):
+        digest = mixing.mix_digest(table, share=total, seed=seed).collect()
+        assert len(digest) == len(rows) and all(0 <= r.taken <= 2 * r.size for r in digest)
+        mixed = mixing.mix(table, share=total, seed=seed, n_chars=None).collect()
+        words = Counter()
+        for r in mixed:
+            words[r.source] += len(r.text.split())
+            assert r.text and any((r.doc_id, r.key) == (i, k) and (t or "").startswith(r.text) for i, t, _, k in rows)
+        taken, target = Counter(), {}
+        for r in digest:
+            taken[r.source_size, r.target] += r.taken
+            target[r.source_size, r.target] = r.target
+        assert sorted(taken.values()) == sorted([*words.values(), *[0] * (len(taken) - len(words))])
+        assert all(taken[k] == round(t) for k, t in target.items())
+        assert Counter(map(tuple, digest)) == Counter(map(tuple, mixing.mix_digest(table.repartition(3), share=total, seed=seed).collect()))
+
+
 def test_sharding(docs, nothing):
     rows = sharding.shard_digest(docs.unionByName(docs.limit(3)), 5).collect()
     shards = {s: sorted(r.slot for r in rows if r.shard == s) for s in range(5)}

@@ -6,13 +6,12 @@ last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from reledger.llm.decontamination import decontaminated
-from reledger.llm.jaccard_join import jaccard_components
 from reledger.llm.language_id import dictionaries, recognised
 from reledger.llm.mixing import mix
+from reledger.llm.near_duplicates import one_of_each
 from reledger.llm.sharding import shard_rows
 from reledger.llm.storage import table, written
 
@@ -23,29 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of texts that are linked at a similarity of 0.8.
-
-    It is the row with the smallest id, or one without an id where no row of the group has one; the
-    text's hash, then that of the other columns break ties. Links are between texts, told apart by
-    64-bit hashes, so rows without an id and different texts under one id are each judged for
-    themselves. Texts without words are linked with nothing: rows that repeat id and text leave
-    one, those without an id all stay.
-    """
-    whole = F.xxhash64("text")
-    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    found = jaccard_components(docs.select(whole.alias("doc_id"), "text")).where("n_shingles > 0")
-    linked = found.select(F.col("doc_id").alias("whole"), "component_id").distinct()
-    # One row a text before the join, so that copies do not meet in one task.
-    first = docs.where(worded).groupBy(whole.alias("whole")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("first"))
-    best = linked.join(first, "whole").groupBy("component_id").agg(F.min(F.struct("first", "whole")).alias("best"))
-    kept = best.select(F.col("best.whole").alias("kept_whole"), F.col("best.first.doc_id").alias("kept_id"))
-    same = (whole == F.col("kept_whole")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    blank = docs.where(~worded)
-    stays = docs.where(worded).join(kept, same, "left_semi").unionByName(blank.where("doc_id is not null"))
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    place = F.row_number().over(Window.partitionBy("id", "whole").orderBy("rest"))
-    rows = stays.select(row, F.col("doc_id").alias("id"), whole.alias("whole"), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)).alias("rest"))
-    return rows.withColumn("place", place).where("place = 1").select("row.*").unionByName(blank.where("doc_id is null"))
+    """Keeps one row of each group of texts that are linked at a similarity of 0.8."""
+    return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

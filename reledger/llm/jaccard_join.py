@@ -24,7 +24,7 @@ documents in one outer region. The recursion therefore has two kinds of pivots.
    different components and if |d(x, p) - d(y, p)| <= tau. Regions of more than `leaf` members
    recurse with new pivots; the rest are joined exactly.
 
-The order of shingles uses counts of all shingles in 2**20 buckets, whatever the input: 8 MB.
+The order of shingles uses counts of all shingles in 2**22 buckets, whatever the input: 32 MB.
 Each table is deleted as soon as no later step reads it.
 """
 
@@ -35,6 +35,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +44,12 @@ from .bitmaps import bitmap, member
 from .components import components
 from .storage import discard, written
 
-BUCKET_BITS = 20
+BUCKET_BITS = 22
+#: Counts that travel together, and tasks whose counts are added up first.
+BLOCK_BUCKETS = 1 << 14
+TASKS_ADDED = 512
 FILTER_BITS = 23
+REGION_BITS = 25
 LEAF = 512
 #: Document pivots of a region at most, one after the other.
 TURNS = 3
@@ -55,29 +60,46 @@ def _bucket(value: np.ndarray) -> np.ndarray:
     return (value >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+def _summed(counts: DataFrame, kind: str, *by: str) -> DataFrame:
+    """Blocks of counts of some integer kind added up: (*by, counts), as longs."""
+
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(BLOCK_BUCKETS, dtype=np.int64)
+        for block in group.column("counts"):
+            total += np.frombuffer(block.as_buffer(), dtype=kind)
+        return pa.table({**{c: group.column(c)[:1] for c in by}, "counts": pa.array([total.tobytes()], pa.binary())})
+
+    kinds = dict(counts.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (*by, "counts"))
+    return counts.groupBy(*by).applyInArrow(add, schema)
+
+
 def shingle_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Shingle occurrences of the corpus by hash bucket; 2**20 numbers at any size."""
+    """Shingle occurrences of the corpus by hash bucket; 2**22 numbers at any size.
+
+    Tasks pass on blocks of counts, which are added up in two steps, so no task adds too many.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+        total = np.zeros(1 << BUCKET_BITS, dtype=np.int32)
         for batch in batches:
             for _, _, block, offsets in rolling.blocks(batch.column(0)):
                 _, _, hashes, owner = rolling.words(block, offsets)
                 value, _ = rolling.shingles(hashes, owner, len(offsets) - 1)
-                total += np.bincount(_bucket(value), minlength=len(total))
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
-
-    rows = (
-        docs.select(F.col(text).alias("text"))
-        .mapInArrow(count, "bucket long, n long")
-        .groupBy("bucket")
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
-    )
-    out = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
-    out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
-    return out
+                np.add.at(total, _bucket(value), 1)
+        blocks = total.reshape(-1, BLOCK_BUCKETS)
+        used = np.flatnonzero(blocks.any(axis=1))
+        task = np.full(len(used), TaskContext.get().partitionId() // TASKS_ADDED, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used), pa.array(task), pa.array([blocks[i].tobytes() for i in used], pa.binary())],
+            names=["block", "tasks", "counts"],
+        )
+
+    found = docs.select(F.col(text).alias("text")).mapInArrow(count, "block long, tasks long, counts binary")
+    out = np.zeros(1 << BUCKET_BITS, dtype=np.int64).reshape(-1, BLOCK_BUCKETS)
+    for row in _summed(_summed(found, "i4", "block", "tasks"), "i8", "block").toLocalIterator():
+        out[row.block] = np.frombuffer(row.counts, dtype=np.int64)
+    return out.ravel()
 
 
 def _parts(owner: np.ndarray, value: np.ndarray, n_texts: int) -> np.ndarray:
@@ -120,14 +142,14 @@ def _lists(values: np.ndarray, sizes: np.ndarray, present: np.ndarray) -> pa.Arr
 
 
 def shingled(docs: DataFrame, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n, kind, pivots, parts): size of each set, its hash, its regions and its coordinates.
+    """(doc_id, whole, n, kind, pivots, parts): text hash, size of each set, its hash, regions and coordinates.
 
     Texts with equal sets have one `kind`; a task gives pivots and parts of a kind once. A text
     without words has size 0 and neither.
     """
     counts = shingle_counts(docs, text)
     order = np.argsort(counts, kind="stable")
-    ranks = np.empty(len(counts), dtype=np.int64)
+    ranks = np.empty(len(counts), dtype=np.int32)
     ranks[order] = np.arange(len(counts))
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
@@ -148,22 +170,24 @@ def shingled(docs: DataFrame, percent: int, doc_id: str = "doc_id", text: str =
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
+                        batch.column(2).slice(first, last - first),
                         pa.array(size.astype(np.int64)),
                         pa.array(kind),
                         _lists(value[held].view(np.int64), take, fresh),
                         _lists(parts.ravel().astype(np.int16), part_lists, fresh),
                     ],
-                    names=["doc_id", "n", "kind", "pivots", "parts"],
+                    names=["doc_id", "whole", "n", "kind", "pivots", "parts"],
                 )
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        regions, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n long, kind long, pivots array<long>, parts array<smallint>"
+    kind_of_id = docs.schema[doc_id].dataType.simpleString()
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("whole")).mapInArrow(
+        regions, f"doc_id {kind_of_id}, whole long, n long, kind long, pivots array<long>, parts array<smallint>"
     )
 
 
 def _regions(rows: DataFrame, shared: DataFrame) -> DataFrame:
     """(s, kind, n, place) of the pivots in `shared` (s): a bitmap spares the others the shuffle."""
-    flags = rows.sparkSession.sparkContext.broadcast(bitmap(shared, "s", FILTER_BITS))
+    flags = rows.sparkSession.sparkContext.broadcast(bitmap(shared, "s", REGION_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,24 +206,31 @@ def _regions(rows: DataFrame, shared: DataFrame) -> DataFrame:
     return found.mapInArrow(run, "s long, kind long, n long, place long").join(shared, "s")
 
 
-def _shingle_sets(docs: DataFrame, kinds: DataFrame, text: str) -> DataFrame:
-    """(kind, members) for the given kinds; texts of other kinds are left out before the shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(kinds, "kind", FILTER_BITS))
+def _shingle_sets(docs: DataFrame, rows: DataFrame, kinds: DataFrame, text: str) -> DataFrame:
+    """(kind, members) for the given kinds, each from one of its texts.
+
+    A bitmap of the hashes of these texts spares the others being read into words.
+    """
+    chosen = rows.join(kinds, "kind", "left_semi").groupBy("kind").agg(F.min("whole").alias("whole"))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(chosen, "whole", FILTER_BITS))
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared.value, set()
         for batch in batches:
-            for _, _, block, offsets in rolling.blocks(batch.column(0)):
+            whole = batch.column(1).to_numpy(zero_copy_only=False)
+            wanted = member(bits, whole)
+            for i in np.flatnonzero(wanted):
+                wanted[i] = whole[i] not in seen
+                seen.add(whole[i])
+            texts = batch.column(0).filter(pa.array(wanted))
+            for _, _, block, offsets in rolling.blocks(texts):
                 owner, value, size, kind = _sets(block, offsets, None)
-                wanted = member(bits, kind) & (size > 0)
-                for i in np.flatnonzero(wanted):
-                    wanted[i] = kind[i] not in seen
-                    seen.add(kind[i])
-                if wanted.any():
-                    lists = _lists(value[wanted[owner]].view(np.int64), size[wanted], np.ones(int(wanted.sum()), dtype=bool))
-                    yield pa.RecordBatch.from_arrays([pa.array(kind[wanted]), lists], names=["kind", "members"])
-
-    found = docs.select(F.col(text).alias("text")).mapInArrow(members, "kind long, members array<long>")
+                some = size > 0
+                lists = _lists(value.view(np.int64), size[some], np.ones(int(some.sum()), dtype=bool))
+                yield pa.RecordBatch.from_arrays([pa.array(kind[some]), lists], names=["kind", "members"])
+
+    texts = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("whole"))
+    found = texts.mapInArrow(members, "kind long, members array<long>")
     return found.join(kinds, "kind", "left_semi").dropDuplicates(["kind"])
 
 
@@ -355,7 +386,7 @@ def jaccard_components(
             pairs = may_link(placed.where("kind <> p_kind"))
         pairs = written(_possible(pairs, coordinates, percent), "pairs")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("kind")).distinct()
-        sets = written(_shingle_sets(docs, ends, text), "sets")
+        sets = written(_shingle_sets(docs, rows, ends, text), "sets")
         measured = written(_measured(pairs, sets), "measured")
         comps = _merged(comps, measured.where(f"100 * common >= {percent} * total"))
         for table in (pairs, sets):

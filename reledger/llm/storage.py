@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,11 +51,19 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+#: Seconds between two collections of garbage: steps shorter than that leave little to delete.
+RELEASE_SECONDS = 10.0
+_released = [0.0]
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner delete the shuffle files of finished steps now, not at some later GC.
 
     The cleaner only sees what the driver has collected as garbage; a job of many steps would
     keep the shuffles of all of them on the executors' disks until then.
     """
+    if time.monotonic() - _released[0] < RELEASE_SECONDS:
+        return
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    _released[0] = time.monotonic()

@@ -179,9 +179,15 @@ def _level(points, keep, beam):
     return links.astype(np.int32)
 
 
+def _scaled(vectors: np.ndarray, axis: int | None) -> np.ndarray:
+    """Vectors, or each row, divided by their largest component: squares then neither overflow nor vanish."""
+    return vectors / np.abs(vectors).max(axis=axis, keepdims=True) if vectors.size else vectors
+
+
 def build(vectors: np.ndarray, keep: int = NEIGHBOURS, beam: int = BUILD_BEAM, seed: int = 11) -> Graph:
     """The graph of a shard; heights follow the usual geometric law with base `keep`."""
-    square = (vectors.astype(np.float64) ** 2).sum(axis=1)
+    vectors = _scaled(vectors.astype(np.float64), None)
+    square = (vectors**2).sum(axis=1)
     lift = np.sqrt(np.maximum(square.max() - square, 0))
     points = np.concatenate([vectors, lift[:, None]], axis=1).astype(np.float32)
     scale = math.sqrt(float(square.max()))
@@ -282,13 +288,14 @@ def _searched(held: pa.Table, asked: pa.Table, k: int, beam: int) -> pa.Table:
         query_ids, queries = asked.column("query_id").to_numpy(), _matrix(asked.column("vector"))
         for first in range(0, len(queries), QUERY_BLOCK):
             block = queries[first : first + QUERY_BLOCK]
-            unit = block / np.sqrt((block**2).sum(axis=1, keepdims=True))
+            unit = _scaled(block, 1)
+            unit = unit / np.sqrt((unit**2).sum(axis=1, keepdims=True))
             nodes, _ = search(graph, unit, beam)
             for query_id, query, found in zip(query_ids[first:], block, nodes, strict=False):
                 found = found[found < len(vectors)]
                 score = vectors[found] @ query
                 many = starts[found + 1] - starts[found]
-                near = np.concatenate([ids[starts[i] : starts[i + 1]] for i in found])
+                near = np.concatenate([ids[:0], *(ids[starts[i] : starts[i + 1]] for i in found)])
                 score = np.repeat(score, many)
                 other = near != query_id
                 near, score = near[other], score[other]

@@ -6,7 +6,9 @@ numbers at any size) the driver walks the ring once: a cell's rows go to the sha
 until it is full and the rest continue clockwise to the next shard with room. A shard is full at
 the mean, rounded up for as many shards as the remainder needs, so row counts differ by one at
 most. A row's rank inside its cell then says which part of the cell's plan holds it: shards and
-gapless slots follow without any shard being sorted as a whole.
+gapless slots follow without any shard being sorted as a whole. Ranks are taken in parts of a cell,
+by a hash of the text, and added to the rows of earlier parts, so that one id with many texts
+is no task's burden.
 """
 
 from __future__ import annotations
@@ -15,8 +17,13 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .storage import written
 
 CELL_BITS = 14
+#: Parts of a cell that are ranked apart.
+CELL_PARTS = 256
 _PLAN = "array<struct<cell:int,low:long,high:long,shard:int,slot0:long>>"
 
 
@@ -77,7 +84,8 @@ def shard_rows(
     """All columns of `docs` plus shard (from 0) and slot (gapless from 0 within the shard).
 
     The key on the ring is the id, or the text where the id is null. Repeated rows are rows of their
-    own. Columns named shard or slot are replaced. Counts of shards differ by one at most; a table
+    own. Columns named shard or slot are replaced. Rows of equal id and text are ordered by a hash of
+    their other columns, maps left out. Counts of shards differ by one at most; a table
     with fewer rows than shards leaves shards empty, an empty one gives no rows.
     """
     if shards < 1 or virtual_nodes < 1:
@@ -86,18 +94,28 @@ def shard_rows(
     position = F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit("text"), F.col(text))).otherwise(
         F.xxhash64(F.col(doc_id))
     )
-    counts = {r.cell: r.n for r in docs.groupBy(_cell(position).alias("cell")).agg(F.count("*").alias("n")).collect()}
+    cell = _cell(position).alias("cell")
+    part = F.pmod(F.xxhash64(position, F.col(text)), F.lit(CELL_PARTS)).cast("int").alias("part")
+    by_part = written(docs.groupBy(cell, part).agg(F.count("*").alias("n")), "cell-parts")
+    counts = {r.cell: r.n for r in by_part.groupBy("cell").agg(F.sum("n").alias("n")).collect()}
     plan = bounded_plan(ring(spark, shards, virtual_nodes), counts, shards)
     parts = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(plan)), _PLAN)))
+    earlier = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = by_part.select("cell", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if f.name in kept and not isinstance(f.dataType, T.MapType)]
     nested = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"),
         position.alias("position"),
         F.col(doc_id).alias("id"),
         F.crc32(F.col(text).cast("binary")).alias("crc"),
-    ).withColumn("cell", _cell(F.col("position")))
-    order = Window.partitionBy("cell").orderBy("position", "id", "crc")
-    ranked = nested.withColumn("rank", F.row_number().over(order) - 1)
+        F.xxhash64(*hashed).alias("rest"),
+        cell,
+        part,
+    )
+    order = Window.partitionBy("cell", "part").orderBy("position", "id", "crc", "rest")
+    ranked = nested.withColumn("place", F.row_number().over(order) - 1).join(before, ["cell", "part"])
+    ranked = ranked.withColumn("rank", F.col("place") + F.col("before"))
     placed = ranked.join(F.broadcast(parts), "cell").where("rank >= low and rank < high")
     return placed.select("row.*", "shard", (F.col("slot0") + F.col("rank") - F.col("low")).alias("slot"))
 

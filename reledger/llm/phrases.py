@@ -27,7 +27,7 @@ UNDETERMINED = "und"
 #: Bytes of texts worked on at a time.
 BLOCK_BYTES = 1 << 21
 #: Suffixes a group: what one subtree holds in memory.
-GROUP_SUFFIXES = 1 << 20
+GROUP_SUFFIXES = 1 << 18
 #: Prefixes are counted in so many bins, whatever the number of words.
 BIN_BITS = 16
 BITMAP_BITS = 24

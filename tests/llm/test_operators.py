@@ -238,6 +238,21 @@ def test_sharding(docs, nothing):
     assert sharding.shard_digest(nothing).collect() == []
 
 
+def test_sharding_of_a_hot_id_and_of_one_shard_more(spark):
+    """A third of the rows without id and text; the walk of the ring moves few rows for one more shard."""
+    rows = [(None, None, i % 7) for i in range(1500)] + [(i, f"text {i}", 0) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard int")
+    placed = [sharding.shard_rows(docs.repartition(k), shards) for k, shards in ((3, 24), (5, 24), (3, 25))]
+    kept = [Counter(map(tuple, d.collect())) for d in placed]
+    assert kept[0] == kept[1] and sum(kept[0].values()) == 4500
+    where = [{r.doc_id: r.shard for r in d.where("doc_id is not null").collect()} for d in (placed[0], placed[2])]
+    moved = sum(where[0][i] != where[1][i] for i in where[0])
+    assert 0 < moved < 0.5 * 3000
+    for d, shards in zip(placed, (24, 24, 25), strict=True):
+        sizes = Counter(r.shard for r in d.select("shard").collect())
+        assert max(sizes.values()) - min(sizes.values()) <= 1 and len(sizes) == shards
+
+
 def test_language_id(spark, docs, nothing):
     rows = [(i, "the cat and the dog of the house " * 3, "en") for i in range(8)]
     rows += [(i + 8, "der hund und die katze des hauses " * 3, "de") for i in range(8)]
@@ -249,10 +264,30 @@ def test_language_id(spark, docs, nothing):
     assert {i: r.lang_pred for i, r in found.items()} == {1: "en", 2: "de", 3: "und", 4: "und", 5: "und"}
     assert all(0 <= r.score <= 1 for r in found.values()) and found[3].rejected and not found[1].rejected
     assert language_id.identify(docs, {}).where("lang_pred <> 'und'").count() == 0
+    marks = spark.createDataFrame([(1, "\u0301 \u0308 1")], "doc_id long, text string")
+    assert [r.lang_pred for r in language_id.identify(marks, known).collect()] == ["und"]
+    # Texts that all open alike teach what follows, whatever their opening looks like.
+    opening = "12345 <tag> " * 400
+    alike = [(i, opening + "der hund und die katze des hauses " * 40, "de") for i in range(30)]
+    alike += [(None, opening + "the cat and the dog of the house " * 40, "en") for _ in range(30)]
+    learned = language_id.dictionaries(spark.createDataFrame(alike, "doc_id long, text string, lang string"), chars=200)
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(asked.where("doc_id < 3"), learned).collect()} == {1: "en", 2: "de"}
     assert language_id.identify(nothing, known).collect() == []
     assert language_id.recognised(docs, known).columns == docs.columns
 
 
+@pytest.mark.parametrize("scale", [1e200, 1e-200])
+def test_nearest_of_very_large_and_very_small_vectors(spark, scale):
+    rng = random.Random(13)
+    rows = [(i, [rng.gauss(0, 1) * scale for _ in range(4)]) for i in range(60)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann.nearest(table, "vec_id % 20 = 0", k=5).collect()
+    assert Counter(r.query_id for r in found) == {0: 5, 20: 5, 40: 5}
+    if scale > 1:
+        return  # products are infinite, so any neighbour is as near as the next
+    assert all(r.query_id != r.vec_id for r in found)
+
+
 def test_nearest(spark):
     rng = random.Random(2)
     rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(300)]

@@ -49,7 +49,7 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-#: Compression, components and the seeded ring have no SQL; tests/llm compares with brute force.
+#: Compression, components and the seeded ring have no SQL; tests/llm/test_pipeline.py has brute force.
 ORACLE_SQL = None
 
 

@@ -32,10 +32,14 @@ def _cell(position: Column) -> Column:
 
 
 def ring(spark: SparkSession, shards: int, virtual_nodes: int) -> list[tuple[int, int]]:
-    """(cell, shard) of every virtual node in ring order; as many as the parameters say."""
+    """(cell, shard) of every virtual node in ring order; as many as the parameters say.
+
+    A shard's nodes keep their places whatever the number of shards, so one more shard takes over
+    what lies before its own nodes and little else moves.
+    """
     points = spark.range(shards * virtual_nodes).select(
         _cell(F.xxhash64(F.lit("virtual node"), F.col("id"))).alias("cell"),
-        (F.col("id") % shards).cast("int").alias("shard"),
+        F.expr(f"cast(id div {virtual_nodes} as int)").alias("shard"),
         "id",
     )
     return [(r.cell, r.shard) for r in points.orderBy("cell", F.xxhash64("id"), "id").collect()]

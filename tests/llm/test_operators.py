@@ -247,7 +247,7 @@ def test_sharding_of_a_hot_id_and_of_one_shard_more(spark):
     assert kept[0] == kept[1] and sum(kept[0].values()) == 4500
     where = [{r.doc_id: r.shard for r in d.where("doc_id is not null").collect()} for d in (placed[0], placed[2])]
     moved = sum(where[0][i] != where[1][i] for i in where[0])
-    assert 0 < moved < 0.5 * 3000
+    assert 0 < moved < 0.3 * 3000
     for d, shards in zip(placed, (24, 24, 25), strict=True):
         sizes = Counter(r.shard for r in d.select("shard").collect())
         assert max(sizes.values()) - min(sizes.values()) <= 1 and len(sizes) == shards
@@ -269,7 +269,7 @@ def test_language_id(spark, docs, nothing):
     # Texts that all open alike teach what follows, whatever their opening looks like.
     opening = "12345 <tag> " * 400
     alike = [(i, opening + "der hund und die katze des hauses " * 40, "de") for i in range(30)]
-    alike += [(None, opening + "the cat and the dog of the house " * 40, "en") for _ in range(30)]
+    alike += [(None, f"{opening} {i} " + "the cat and the dog of the house " * 40, "en") for i in range(30)]
     learned = language_id.dictionaries(spark.createDataFrame(alike, "doc_id long, text string, lang string"), chars=200)
     assert {r.doc_id: r.lang_pred for r in language_id.identify(asked.where("doc_id < 3"), learned).collect()} == {1: "en", 2: "de"}
     assert language_id.identify(nothing, known).collect() == []

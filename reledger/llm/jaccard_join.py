@@ -24,7 +24,7 @@ documents in one outer region. The recursion therefore has two kinds of pivots.
    different components and if |d(x, p) - d(y, p)| <= tau. Regions of more than `leaf` members
    recurse with new pivots; the rest are joined exactly.
 
-The order of shingles uses counts of all shingles in 2**22 buckets, whatever the input: 32 MB.
+The order of shingles uses counts of all shingles in 2**21 buckets, whatever the input: 16 MB.
 Each table is deleted as soon as no later step reads it.
 """
 
@@ -44,7 +44,7 @@ from .bitmaps import bitmap, member
 from .components import components
 from .storage import discard, written
 
-BUCKET_BITS = 22
+BUCKET_BITS = 21
 #: Counts that travel together, and tasks whose counts are added up first.
 BLOCK_BUCKETS = 1 << 14
 TASKS_ADDED = 512
@@ -75,7 +75,7 @@ def _summed(counts: DataFrame, kind: str, *by: str) -> DataFrame:
 
 
 def shingle_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Shingle occurrences of the corpus by hash bucket; 2**22 numbers at any size.
+    """Shingle occurrences of the corpus by hash bucket; 2**21 numbers at any size.
 
     Tasks pass on blocks of counts, which are added up in two steps, so no task adds too many.
     """
@@ -147,10 +147,10 @@ def shingled(docs: DataFrame, percent: int, doc_id: str = "doc_id", text: str =
     Texts with equal sets have one `kind`; a task gives pivots and parts of a kind once. A text
     without words has size 0 and neither.
     """
-    counts = shingle_counts(docs, text)
-    order = np.argsort(counts, kind="stable")
-    ranks = np.empty(len(counts), dtype=np.int32)
-    ranks[order] = np.arange(len(counts))
+    order = np.argsort(shingle_counts(docs, text), kind="stable")
+    ranks = np.empty(len(order), dtype=np.int32)
+    ranks[order] = np.arange(len(order))
+    del order
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

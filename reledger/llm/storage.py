@@ -52,7 +52,7 @@ def discard(df: DataFrame) -> None:
 
 
 #: Seconds between two collections of garbage: steps shorter than that leave little to delete.
-RELEASE_SECONDS = 10.0
+RELEASE_SECONDS = 2.0
 _released = [0.0]
 
 

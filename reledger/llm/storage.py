@@ -7,6 +7,7 @@ import tempfile
 import time
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -65,5 +66,6 @@ def release(spark: SparkSession) -> None:
     if time.monotonic() - _released[0] < RELEASE_SECONDS:
         return
     gc.collect()
+    pa.default_memory_pool().release_unused()
     spark.sparkContext._jvm.System.gc()
     _released[0] = time.monotonic()

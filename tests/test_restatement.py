@@ -262,7 +262,7 @@ def test_a_driver_lost_anywhere_never_leaves_rows_counted_twice(monthly, monkeyp
     assert lake.table(GOOGLE_RAW).count() == 2000
 
 
-@pytest.mark.parametrize("step", ["_commit", "_apply", "_mark_seen", "_sweep"])
+@pytest.mark.parametrize("step", ["_apply", "_sweep"])
 def test_a_publication_lost_anywhere_is_made_good_by_the_next(monthly, monkeypatch, step):
     lake, report = monthly
     write_object(report.limit(0), lake.landing, GOOGLE_ADS, "2026-09-03", "part-0001")

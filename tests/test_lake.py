@@ -14,6 +14,7 @@ from reledger.functions.calendar import REPORT_MONTH, between_days
 from reledger.lake import BASELINE, GOLD, GOOGLE_RAW, META_RAW, SILVER, TABLES, Lake
 from reledger.operators.quality import fingerprint, rows_per_extraction
 from reledger.plans.publish import load_baseline, reload_extraction, restate
+from reledger.plans.queries import REGISTRY
 from reledger.sources.landing import copy_object, extraction_prefix, write_object
 from tests.conftest import DAYS, load_days
 
@@ -193,3 +194,17 @@ def test_silver_files_are_sorted_by_key(published):
     for name in names:
         frame = pq.ParquetFile(name).read(columns=key).to_pandas()
         assert frame.equals(frame.sort_values(key, kind="stable").reset_index(drop=True))
+
+
+def test_baseline_totals_beyond_64_bits_are_whole(spark, tmp_path):
+    first = 20_000_000_000
+    spark.range(first, first + 600).toDF("o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    (totals,) = REGISTRY["baseline_reload"](spark, str(tmp_path)).collect()
+    numbers = range(first, first + 600)
+    assert int(totals["cost_micros"]) == sum((n + 1) * 1_000_000 for n in numbers) > 1 << 63
+    assert (totals["row_count"], totals["clicks"]) == (600, sum(n * 10 for n in numbers))
+
+
+def test_baseline_totals_that_fit_are_longs(spark, tmp_path):
+    spark.range(30).toDF("o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    assert {kind for _, kind in REGISTRY["baseline_reload"](spark, str(tmp_path)).dtypes} == {"bigint"}

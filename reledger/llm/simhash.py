@@ -6,7 +6,9 @@ differing bits always leave one table whose mask holds none of them, so fingerpr
 radius r agree under the mask of some table, whatever they are. Equal fingerprints count once.
 
 A bucket of few fingerprints is compared pair by pair. One of many, as a large group of near copies
-makes it, gives links through common neighbours instead: fingerprints x, y within r bits have a value
+makes it, gives links through common neighbours at one bit. What is one class by then is done; in
+the other buckets only pairs of different classes are compared, or, in very large ones, links come
+through common neighbours at all bits: fingerprints x, y within r bits have a value
 z at r // 2 bits at most from one and the rest from the other. All that are so near to one z are
 within the radius of an x, hence linked with it, so a star of them loses no class and its number
 of links does not grow with the square of a bucket.
@@ -33,6 +35,8 @@ SHINGLE_WORDS = 3
 SEED = 42
 #: Buckets up to this many fingerprints are compared pair by pair.
 SMALL = 16
+#: Larger ones of several classes too, up to so many; beyond, all pairs cost more than changed bits.
+FEW = 512
 BLOCK_SHINGLES = 1 << 16
 
 
@@ -116,15 +120,17 @@ def _near(a: Column | str, b: Column | str, radius: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= radius
 
 
-def _small_links(members: DataFrame, radius: int) -> DataFrame:
-    """Links within buckets of a few members, compared inside one row each."""
-    listed = members.groupBy("table", "key").agg(F.sort_array(F.collect_list("print")).alias("all"))
-    pairs = F.transform(
-        "all",
-        lambda x, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda y: F.struct(x.alias("u"), y.alias("v"))),
-    )
-    near = F.filter(F.flatten(pairs), lambda pair: _near(pair["u"], pair["v"], radius))
-    return listed.select(F.inline(near))
+def _small_links(members: DataFrame, radius: int, apart: str = "print") -> DataFrame:
+    """Links within buckets of a few members, compared inside one row each if they differ in `apart`."""
+    member = F.struct("print", F.col(apart).alias("apart"))
+    listed = members.groupBy("table", "key").agg(F.sort_array(F.collect_list(member)).alias("all"))
+
+    def linked(x: Column, i: Column) -> Column:
+        later = F.slice("all", i + 2, F.size("all"))
+        near = F.filter(later, lambda y: (x["apart"] != y["apart"]) & _near(x["print"], y["print"], radius))
+        return F.transform(near, lambda y: F.struct(x["print"].alias("u"), y["print"].alias("v")))
+
+    return listed.select(F.inline(F.flatten(F.transform("all", linked))))
 
 
 def _stars(around: DataFrame, by: list[str]) -> DataFrame:
@@ -142,7 +148,7 @@ def _stars(around: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def _large_links(members: DataFrame, masks: list[int], links: DataFrame, radius: int) -> DataFrame:
+def _large_links(members: DataFrame, masks: list[int], links: DataFrame, radius: int, few: int) -> DataFrame:
     """Links enough for the classes of buckets of many members, without comparing all pairs."""
     spark = members.sparkSession
     half = radius // 2
@@ -158,11 +164,18 @@ def _large_links(members: DataFrame, masks: list[int], links: DataFrame, radius:
     known = components(links.unionByName(close))
     label = F.coalesce("component", "print")
     of = members.join(known, F.col("print") == F.col("node"), "left").select("table", "key", "print", label.alias("label"))
-    classes = of.groupBy("table", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    classes = of.groupBy("table", "key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")
+    )
     left = written(
-        of.join(classes.where("low <> high").select("table", "key"), ["table", "key"]).select("table", "key", "print"),
-        "simhash-left",
+        of.join(classes.where("low <> high").select("table", "key", "n"), ["table", "key"]), "simhash-left"
     )
+    # Only pairs of different classes can add anything.
+    links = written(_small_links(left.where(F.col("n") <= few), radius, "label").distinct(), "simhash-apart")
+    close = close.unionByName(links)
+    left = left.where(F.col("n") > few).select("table", "key", "print")
+    if left.isEmpty():
+        return close
     rows = []
     for table, mask in enumerate(masks):
         free = [i for i in range(BITS) if not mask >> i & 1]
@@ -176,7 +189,7 @@ def _large_links(members: DataFrame, masks: list[int], links: DataFrame, radius:
     return close.unionByName(written(_stars(around, ["table", "key", "z"]), "simhash-far"))
 
 
-def covering_links(prints: DataFrame, radius: int = RADIUS, small: int = SMALL) -> DataFrame:
+def covering_links(prints: DataFrame, radius: int = RADIUS, small: int = SMALL, few: int = FEW) -> DataFrame:
     """(u, v): links between the distinct values of `print` that give the classes of all pairs
     within `radius` bits. Each link is such a pair, or two that such pairs connect."""
     masks = covering_masks(radius)
@@ -199,7 +212,7 @@ def covering_links(prints: DataFrame, radius: int = RADIUS, small: int = SMALL)
     large = members.where(F.col("n") > small)
     if large.isEmpty():
         return found
-    return found.unionByName(_large_links(large.select("table", "key", "print"), masks, found, radius))
+    return found.unionByName(_large_links(large.select("table", "key", "print"), masks, found, radius, few))
 
 
 def simhash_components(

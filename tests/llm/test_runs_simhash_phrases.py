@@ -14,6 +14,7 @@ import xxhash
 
 from reledger.llm.periodic_runs import periodic_runs, run_digest, with_planted_periods
 from reledger.llm.phrases import collocations, packed
+from reledger.llm import simhash
 from reledger.llm.simhash import covering_links, covering_masks, simhash_components
 
 SCHEMA = "doc_id long, text string, lang string, print int, runs string, f int, z int, n int, key int"
@@ -143,6 +144,34 @@ def test_covering_masks(radius):
     assert all(20 < mask.bit_count() < 50 for mask in masks)
 
 
+@pytest.mark.parametrize("few,flipped", [(512, False), (0, True)])
+def test_classes_that_share_a_large_bucket_are_compared(spark, monkeypatch, few, flipped):
+    """A crowd and classes at exactly three bits from it: pairs, not all values of two changed bits."""
+    rng = random.Random(12)
+    centre = rng.getrandbits(64)
+    crowd = {centre ^ 1 << b for b in range(40)} | {centre}
+    far = {centre ^ sum(1 << b for b in rng.sample(range(64), 3)) for _ in range(30)}
+    values = sorted(crowd | far | {rng.getrandbits(64) for _ in range(20)})
+    seen = []
+    stars = simhash._stars
+    monkeypatch.setattr(simhash, "_stars", lambda around, by: (seen.append(by), stars(around, by))[1])
+    prints = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "print long")
+    root = {v: v for v in values}
+
+    def top(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for r in covering_links(prints, 3, 16, few).collect():
+        root[top(r.u & (1 << 64) - 1)] = top(r.v & (1 << 64) - 1)
+    groups = {}
+    for v in values:
+        groups.setdefault(top(v), []).append(v)
+    assert sorted(groups.values()) == _classes(values, 3)
+    assert (["table", "key", "z"] in seen) == flipped
+
+
 @pytest.mark.parametrize("radius,small", [(1, 2), (2, 2), (3, 2), (3, 16)])
 def test_links_of_large_buckets(spark, radius, small):
     """Crowds around a few centres, chains of exactly `radius` bits, and values on their own."""

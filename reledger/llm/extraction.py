@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html as references
 import json
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ LEAST_PAGES = 4
 LEAST_SHARE = 0.5
 #: Pages are told apart by so many minima of hashes of their word sequences.
 FAMILIES = 3
-#: Lists of containers are compared in a table of so many cells at most.
+#: Lists of containers are compared in one table up to so many cells, else in one of few rows at a time.
 TABLE_CELLS = 250_000
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
@@ -360,26 +361,68 @@ def _ends(x: list[Container], y: list[Container]) -> tuple[int, int]:
     return low, high
 
 
+def _worth(p: Container, q: Container, weight: dict[tuple[int, int], int]) -> int:
+    """The size of the largest match of two trees of one label; only those with kids need a table."""
+    if p.kind == q.kind:
+        return p.size
+    return weight[p.kind, q.kind] if p.kids and q.kids else 1
+
+
+def _table_by_rows(x: list[Container], y: list[Container], weight: dict[tuple[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+    """The match of `_aligned` for lists too long for a table: a row at a time, with as many rows
+    kept as are between two kept ones, which are worked out again on the way back."""
+    kinds = {q.kind: i for i, q in enumerate({q.kind: q for q in y}.values())}
+    column = np.array([kinds[q.kind] for q in y])
+    by_label: dict[str, list[Container]] = {}
+    for q in {q.kind: q for q in y}.values():
+        by_label.setdefault(q.label, []).append(q)
+    worths: dict[int, np.ndarray] = {}
+
+    def row(p: Container, above: np.ndarray) -> np.ndarray:
+        if p.kind not in worths:
+            worths[p.kind] = np.zeros(len(kinds), dtype=np.int32)
+            for q in by_label.get(p.label, ()):
+                worths[p.kind][kinds[q.kind]] = _worth(p, q, weight)
+        out = np.zeros_like(above)
+        np.maximum.accumulate(np.maximum(above[1:], above[:-1] + worths[p.kind][column]), out=out[1:])
+        return out
+
+    step = math.isqrt(len(x)) + 1
+    kept, last = [], np.zeros(len(y) + 1, dtype=np.int64)
+    for i, p in enumerate(x):
+        if i % step == 0:
+            kept.append(last)
+        last = row(p, last)
+    pairs, j = [], len(y)
+    for base in range((len(kept) - 1) * step, -1, -step):
+        table = [kept[base // step]]
+        for p in x[base : base + step]:
+            table.append(row(p, table[-1]))
+        i = len(table) - 1
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((base + i, j))
+    return int(last[-1]), pairs
+
+
 def _aligned(x: list[Container], y: list[Container], weight: dict[tuple[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
-    """The heaviest match of two lists that keeps their order. Equal trees at both ends always match;
-    of what is between, lists of very many kids are paired label by label."""
+    """The heaviest match of two lists that keeps their order. Equal trees at both ends always match."""
     low, high = _ends(x, y)
     pairs = [(i, i) for i in range(low)] + [(len(x) - 1 - i, len(y) - 1 - i) for i in range(high)]
     total = sum(x[i].size for i, _ in pairs)
     a, b = range(low, len(x) - high), range(low, len(y) - high)
     if len(a) * len(b) > TABLE_CELLS:
-        j = low
-        for i in a:
-            found = next((k for k in range(j, min(j + 8, b.stop)) if y[k].label == x[i].label), None)
-            if found is not None:
-                pairs.append((i, found))
-                total += weight.get((x[i].kind, y[found].kind), 1)
-                j = found + 1
-        return total, pairs
+        most, between = _table_by_rows(x[low : len(x) - high], y[low : len(y) - high], weight)
+        return total + most, pairs + [(low + i, low + j) for i, j in between]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, p in enumerate(a):
         for j, q in enumerate(b):
-            match = best[i][j] + (weight[x[p].kind, y[q].kind] if x[p].label == y[q].label else 0)
+            match = best[i][j] + (_worth(x[p], y[q], weight) if x[p].label == y[q].label else 0)
             best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], match)
     i, j = len(a), len(b)
     while i and j:
@@ -408,9 +451,13 @@ def _weigh(page: Container, reference: Container, weight: dict[tuple[int, int],
             low, high = _ends(a.kids, b.kids)
             x, y = a.kids[low : len(a.kids) - high], b.kids[low : len(b.kids) - high]
             stack.append((a, b, True))
-            if len(x) * len(y) <= TABLE_CELLS:
-                kinds = {(p.kind, q.kind): (p, q, False) for p in x for q in y if p.label == q.label}
-                stack.extend(one for key, one in kinds.items() if key not in weight)
+            by_label: dict[str, dict[int, Container]] = {}
+            for q in y:
+                if q.kids:
+                    by_label.setdefault(q.label, {})[q.kind] = q
+            for p in {p.kind: p for p in x if p.kids}.values():
+                others = by_label.get(p.label, {}).values()
+                stack.extend((p, q, False) for q in others if p.kind != q.kind and (p.kind, q.kind) not in weight)
 
 
 def matched(page: Container, reference: Container) -> list[tuple[Container, Container]]:
@@ -575,7 +622,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     LEAST_PAGES different pages of a host and on LEAST_SHARE of them, is no part of any article.
     Repeated rows are rows of their own, but count as one page; other columns are ignored; an empty
     table gives no rows. A page is held by one task and takes time in proportion to its length, but
-    for lists of containers that are compared with each other, TABLE_CELLS comparisons at most a pair.
+    for containers that stand between others that differ from the reference page's: all of those in
+    one list are compared with all in the other, in memory that grows with a list's length to 1.5.
     """
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), F.col(html).alias("html")

@@ -141,3 +141,48 @@ def test_sample_pages_by_another_parser(spark):
         other = _Article()
         other.feed(row.html)
         assert found[row.page_id] == "\n".join(t for t in (" ".join(p.split()) for p in other.parts) if t)
+
+
+def _tree(rng, depth=0):
+    own = extraction.Container(rng.choice("ab"))
+    if depth < 2:
+        own.kids = [_tree(rng, depth + 1) for _ in range(rng.randint(0, 3))]
+    return own
+
+
+def _trees(*roots):
+    order = list(roots)
+    for own in order:
+        order.extend(own.kids)
+    if order:
+        extraction._finished(order)
+    return list(roots)
+
+
+def test_long_lists_match_like_short_ones(monkeypatch):
+    rng = random.Random(4)
+    for _ in range(60):
+        x = _trees(extraction.Container("r"))[0], _trees(extraction.Container("r"))[0]
+        for root in x:
+            root.kids = _trees(*(_tree(rng) for _ in range(rng.randint(0, 12))))
+            extraction._finished([root])
+        weighed = []
+        for cells in (250_000, 0):
+            monkeypatch.setattr(extraction, "TABLE_CELLS", cells)
+            weight = {}
+            if x[0].kind != x[1].kind:
+                extraction._weigh(*x, weight)
+            found = [(id(a), id(b)) for a, b in extraction.matched(*x)]
+            weighed.append((weight, found))
+        assert weighed[0] == weighed[1]
+
+
+def test_partners_far_apart_in_long_lists_are_found():
+    """Sixty other blocks in front on either side cost the blocks behind them no partner."""
+    news, olds = ([extraction.Container(f"{name}{i}") for i in range(60)] for name in ("new", "old"))
+    both = [[extraction.Container(f"block{i}") for i in range(600)] for _ in range(2)]
+    x = _trees(*news, *both[0], extraction.Container("last"))
+    y = _trees(*olds, *both[1], extraction.Container("end"))
+    total, pairs = extraction._aligned(x, y, {})
+    assert total == 600
+    assert sorted(pairs) == [(60 + i, 60 + i) for i in range(600)]

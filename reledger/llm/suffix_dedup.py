@@ -134,14 +134,15 @@ def _suffixes(docs: DataFrame, width: int) -> DataFrame:
 
 
 def repeated_suffixes(suffixes: DataFrame) -> DataFrame:
-    """(id, at, whole): suffixes whose windows may start earlier elsewhere.
+    """(id, at, whole): suffixes whose windows may start earlier elsewhere. Deletes their files.
 
     whole: all windows around it do. The others are the first of their second digit and share
     the first digit with suffixes that differ in the second.
     """
-    suffixes = suffixes.where("first is not null").drop("until")
-    groups = suffixes.groupBy("first").agg(F.count("*").alias("n")).where("n > 1").select("first")
-    shared = written(suffixes.join(groups, "first"), "shared")
+    digits = suffixes.where("first is not null").drop("until")
+    groups = digits.groupBy("first").agg(F.count("*").alias("n")).where("n > 1").select("first")
+    shared = written(digits.join(groups, "first"), "shared")
+    discard(suffixes)
     classes = shared.groupBy("first", "second").agg(F.min("id").alias("owner"))
     mixed = (
         classes.groupBy("first")
@@ -353,11 +354,10 @@ def _one_text_an_id(rows: DataFrame) -> bool:
 def _deduplicated(rows: DataFrame, width: int, keep_text: bool) -> DataFrame:
     named = rows.where("id is not null")
     suffixes = written(_suffixes(named, width), "suffixes")
-    repeats = repeated_suffixes(suffixes)
-    places = repeats.where("not whole").groupBy("id").agg(F.collect_set("at").alias("places"))
     within = suffixes.where("until is not null").select("id", F.col("at").alias("start"), F.col("until").alias("end"))
     within = written(within, "within")
-    discard(suffixes)
+    repeats = repeated_suffixes(suffixes)
+    places = repeats.where("not whole").groupBy("id").agg(F.collect_set("at").alias("places"))
     contexts = written(_contexts(named, places, width), "contexts")
     later = _later_windows(contexts, width)
     discard(contexts)
@@ -370,6 +370,8 @@ def _deduplicated(rows: DataFrame, width: int, keep_text: bool) -> DataFrame:
         .agg(F.collect_set("at").alias("around"), F.collect_set("span").alias("spans")),
         "spans",
     )
+    for table in (repeats, within, later):
+        discard(table)
     alone = _with_spot(rows, spans, False).select(
         "id", "text", F.lit(None).cast("array<int>").alias("around"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans")
     )

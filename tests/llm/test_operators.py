@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
 import math
 import random
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from reledger.llm import ann, decontamination, extraction, jaccard_join, language_id, lm_scoring, mixing, near_duplicates, sharding
 from reledger.llm import suffix_dedup as suffixes
 from reledger.llm import url_filter
+from reledger.llm.storage import shared_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, kind string, n int"
 
@@ -123,6 +125,19 @@ def test_suffix_dedup(docs, nothing):
     assert suffixes.suffix_dedup(nothing).collect() == []
 
 
+def test_suffix_dedup_keeps_no_spent_tables(spark):
+    """Of the intermediate tables only the spans are left for the lazy result, which is whole."""
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{i} begins {passage} ends {i}. {passage}") for i in range(9)], "doc_id long, text string")
+    folder = f"{shared_dir(spark).removeprefix('file://')}/reledger-llm"
+    before = set(glob.glob(f"{folder}/*"))
+    found = suffixes.suffix_dedup(docs)
+    left = {path for path in set(glob.glob(f"{folder}/*")) - before if glob.glob(f"{path}/part-*")}
+    assert {path.rsplit("/", 1)[1].split("-")[0] for path in left} == {"spans"}
+    removed = {r.doc_id: r.n_removed for r in found.collect()}
+    assert removed[0] == len(f" {passage}") and all(removed[i] > 2 * len(passage) for i in range(1, 9))
+
+
 def test_suffix_dedup_of_one_id_with_different_texts(spark):
     """A text of its own keeps all its bytes whatever else has its id; copies lose theirs."""
     rng = random.Random(11)

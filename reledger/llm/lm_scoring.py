@@ -1,9 +1,17 @@
 """Cross-entropy difference: a target and a background bigram model score each document.
 
-Every word and bigram of both corpora is counted, by sums in each task and a shuffle by bigram;
-the counts are tables that grow with the corpus. The loss of a word after another is the
-same in every document, so a document's loss is a sum over its bigrams. The commonest bigrams, at
-most HOT, go to every task with their losses, so no other is hot; the rest are joined by a shuffle.
+Every word and bigram of both corpora is counted; the counts are tables that grow with the corpus.
+Whole texts are packed into chunks of some hundred thousand words, as places in the chunk's own
+vocabulary. A chunk asks for the totals of its distinct bigrams and words: its counts go out by
+hash, are summed per bucket of hashes, and the totals come back to the chunk in the order asked. So
+a bigram that every text holds is one entry a chunk, nothing is broadcast, and a shuffle carries
+sorted hashes and small numbers, packed, instead of rows.
+
+1. Bigrams: a chunk learns how often each of its bigrams is in both corpora. One of the chunks
+   that hold a bigram is told to own it.
+2. Words: how often each is a word, and a context, in both corpora, and how many different words
+   follow it, as each owner counts its bigrams once.
+3. Losses: a chunk has all that its texts need.
 
 p(w | h) = max(c(h, w) - d, 0) / c(h) + g(h) * p(w), where g(h) is the mass that is left, 1 for a
 context that was not seen, and p(w) has add-one counts over the words of the background and one
@@ -17,163 +25,245 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
-from .bitmaps import bitmap, member
-from .storage import written
+from .storage import discard, written
 
-#: Bound of the bigrams that are broadcast; results do not depend on it.
-HOT = 1 << 19
-#: Word statistics of fewer words than this are broadcast.
-BROADCAST_WORDS = 1 << 20
+#: Words of a chunk, or more if one text has more; and its most texts.
+CHUNK_WORDS = 1 << 19
+CHUNK_TEXTS = 1 << 16
+#: Entries of a bucket on average. Results depend on none of these bounds.
+BUCKET = 1 << 20
 DISCOUNT = 0.5
-FILTER_BITS = 23
 #: Stands before the first word of a text.
 START = np.uint64(0)
-#: Distinct bigrams that a task sums before it passes them on.
-PENDING = 1 << 20
 #: Losses are whole multiples of 1 / STEPS, so their sums hardly depend on the order.
 STEPS = float(1 << 32)
 
+_ASKED = "chunk long, bucket int, keys binary, counts array<binary>"
+_TOLD = "chunk long, bucket int, owned long, totals array<binary>"
 
-class _Sum:
-    """Counts of the bigrams of a task, by key; passed on whenever many are held."""
 
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, ...]] = []
-        self.held = self.folded = 0
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes, those of one place together, compressed."""
+    planes = values.astype(np.int64, copy=False).view(np.uint8).reshape(-1, 8).T
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-    def add(self, keys: np.ndarray, before: np.ndarray) -> Iterator[pa.RecordBatch]:
-        key, first, n = np.unique(keys, return_index=True, return_counts=True)
-        self.parts.append((key, before[first], n))
-        self.held += len(key)
-        if self.held > self.folded + PENDING:
-            self._fold()
-            if self.folded > PENDING:
-                yield self.batch()
 
-    def _fold(self) -> None:
-        key, before, n = (np.concatenate(c) for c in zip(*self.parts, strict=True))
-        key, first, place = np.unique(key, return_index=True, return_inverse=True)
-        n = np.bincount(place, weights=n, minlength=len(key)).astype(np.int64)
-        self.parts = [(key, before[first], n)]
-        self.held = self.folded = len(key)
+def _unpacked(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    planes = pa.decompress(raw[8:], decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).reshape(-1).view(np.int64)
 
-    def batch(self) -> pa.RecordBatch:
-        columns = [np.zeros(0, np.int64)] * 3
-        if self.parts:
-            self._fold()
-            columns = [c.view(np.int64) for c in self.parts[0]]
-        self.parts, self.held, self.folded = [], 0, 0
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "h", "n"])
 
+def _steps(keys: np.ndarray) -> bytes:
+    """Sorted hashes, packed as the steps between them."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)).view(np.int64))
 
-def _bigrams(block: np.ndarray, offsets: np.ndarray):
-    """(key, previous, text) of each word; key is the exclusive or of both words' hashes.
 
-    That of the previous word is mixed once more, so that order counts.
-    """
-    _, _, current, text = rolling.words(block, offsets)
-    before = np.empty_like(current)
-    before[:1] = START
-    before[1:] = np.where(text[1:] == text[:-1], current[:-1], START)
-    before = rolling.mix(before)
-    return before ^ current, before, text
+def _hashes(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw).view(np.uint64), dtype=np.uint64)
+
 
+def _chunks(rows: DataFrame, most: int) -> DataFrame:
+    """Chunks of the rows (id, text, near): ids, words of each text, near, vocabulary and words as its places."""
+    kind = rows.schema["id"].dataType.simpleString()
+    names = ["chunk", "ids", "sizes", "near", "vocabulary", "words", "n_words", "near_words", "n_vocabulary", "n_bigrams"]
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """(key, h, n): occurrences of each bigram, summed in each task; h is its first word."""
+    def chunk(number: int, ids: list, near: list, sizes: list, hashes: list) -> pa.RecordBatch:
+        size, is_near, text = np.concatenate(sizes), np.concatenate(near), np.concatenate([[START], *hashes])
+        vocabulary, place = np.unique(text, return_inverse=True)
+        words = place[1:]
+        code, _, _ = _bigrams(size, words, len(vocabulary))
+        ids = pa.concat_arrays(ids)
+        values = [
+            pa.array([number], pa.int64()),
+            pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            *(pa.array([x], pa.binary()) for x in (_packed(size), _packed(is_near), _steps(vocabulary), _packed(words))),
+            *(pa.array([int(x)], pa.int64()) for x in (len(words), size[is_near].sum(), len(vocabulary), len(code))),
+        ]
+        return pa.RecordBatch.from_arrays(values, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = _Sum()
+        number = TaskContext.get().partitionId() << 32
+        held: tuple[list, ...] = ([], [], [], [])
+        n_words = n_texts = 0
         for batch in batches:
-            for _, _, block, offsets in rolling.blocks(batch.column(0)):
-                key, before, _ = _bigrams(block, offsets)
-                yield from total.add(key, before)
-        yield total.batch()
-
-    return docs.select("text").mapInArrow(run, "key long, h long, n long")
-
-
-def counts(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """(key, h, far_n, near_n): how often each bigram of `docs` is in `docs` and in `target`, rows of `docs`."""
-    zero = F.lit(0).cast("long")
-    both = _counted(docs).select("key", "h", F.col("n").alias("far_n"), zero.alias("near_n")).unionByName(
-        _counted(target).select("key", "h", zero.alias("far_n"), F.col("n").alias("near_n"))
-    )
-    sums = [F.sum(c).alias(c) for c in ("far_n", "near_n")]
-    return written(both.groupBy("key").agg(F.min("h").alias("h"), *sums), "bigrams")
-
-
-def with_losses(pairs: DataFrame):
-    """A function that gives (key, near, far), nats under either model, of some rows of `pairs`."""
-    both = ("far", "near")
-    pairs = pairs.withColumn("w", F.col("key").bitwiseXOR(F.col("h")))
-    seen = [F.sum((F.col(f"{m}_n") > 0).cast("long")).alias(f"{m}_after") for m in both]
-    # Written, so that a join by a common word is one of two shuffles, which Spark may split.
-    contexts = written(pairs.groupBy("h").agg(*(F.sum(f"{m}_n").alias(f"{m}_h") for m in both), *seen), "contexts")
-    words = written(pairs.groupBy("w").agg(*(F.sum(f"{m}_n").alias(f"{m}_w") for m in both)), "words")
-    total = words.agg(F.count("*").alias("words"), *(F.sum(f"{m}_w").alias(m) for m in both)).first()
-    if total.words < BROADCAST_WORDS:
-        contexts, words = F.broadcast(contexts), F.broadcast(words)
-
-    def loss(model: str) -> Column:
-        n, context, after = (F.col(f"{model}_{c}").cast("double") for c in ("n", "h", "after"))
-        single = (F.col(f"{model}_w") + 1) / F.lit(float((total[model] or 0) + total.words + 1))
-        share = F.greatest(n - DISCOUNT, F.lit(0.0)) / F.greatest(context, F.lit(1.0))
-        left = F.when(context > 0, DISCOUNT * after / context).otherwise(1.0)
-        return (F.rint(-F.log(share + left * single) * STEPS) / STEPS).alias(model)
-
-    def of(some: DataFrame) -> DataFrame:
-        some = some.withColumn("w", F.col("key").bitwiseXOR(F.col("h")))
-        return some.join(contexts, "h").join(words, "w").select("key", loss("near"), loss("far"))
+            for first, last, block, offsets in rolling.blocks(batch.column(1)):
+                _, _, hashes, text = rolling.words(block, offsets)
+                size = np.bincount(text, minlength=last - first).astype(np.int64)
+                near = batch.column(2).slice(first, last - first).to_numpy(zero_copy_only=False)
+                for parts, part in zip(held, (batch.column(0).slice(first, last - first), near, size, hashes), strict=True):
+                    parts.append(part)
+                n_words, n_texts = n_words + len(hashes), n_texts + last - first
+                if n_words >= most or n_texts >= CHUNK_TEXTS:
+                    yield chunk(number, *held)
+                    held, n_words, n_texts, number = ([], [], [], []), 0, 0, number + 1
+        if n_texts:
+            yield chunk(number, *held)
+
+    packed = "sizes binary, near binary, vocabulary binary, words binary"
+    numbers = "n_words long, near_words long, n_vocabulary long, n_bigrams long"
+    return rows.select("id", "text", "near").mapInArrow(run, f"chunk long, ids array<{kind}>, {packed}, {numbers}")
+
+
+def _bigrams(sizes: np.ndarray, words: np.ndarray, n_vocabulary: int):
+    """Distinct bigrams of a chunk as context * n_vocabulary + word, the bigram of each word, and each word's text."""
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    context = np.zeros(len(words), np.int64)
+    context[1:] = np.where(text[1:] == text[:-1], words[:-1], 0)  # the place of START is 0
+    code, place = np.unique(context * n_vocabulary + words, return_inverse=True)
+    return code, place, text
+
+
+class _Chunk:
+    """A row of `_chunks`: its distinct bigrams by hash, and the counts of its own texts."""
+
+    def __init__(self, row: dict):
+        self.number = row["chunk"]
+        self.sizes, self.is_near = _unpacked(row["sizes"]), _unpacked(row["near"]).astype(bool)
+        self.vocabulary, words = _hashes(row["vocabulary"]), _unpacked(row["words"])
+        n = len(self.vocabulary)
+        code, place, self.text = _bigrams(self.sizes, words, n)
+        context, word = code // max(n, 1), code % max(n, 1)
+        keys = rolling.mix(self.vocabulary[context]) ^ self.vocabulary[word]
+        order = np.argsort(keys)
+        self.keys, self.context, self.word = keys[order], context[order], word[order]
+        at = np.empty(len(order), np.int64)
+        at[order] = np.arange(len(order))
+        self.place = at[place]
+        self.far = np.bincount(self.place, minlength=len(order))
+        self.near = np.bincount(self.place[self.is_near[self.text]], minlength=len(order))
+
+
+_FIELDS = ("chunk", "sizes", "near", "vocabulary", "words")
+
+
+def _rows(table: pa.Table | pa.RecordBatch) -> Iterator[_Chunk]:
+    for row in table.select(list(_FIELDS)).to_pylist():
+        yield _Chunk(row)
+
+
+def _asked(number: int, keys: np.ndarray, counts: list[np.ndarray], bits: int) -> dict[str, list]:
+    """The counts of a chunk's sorted keys, one row for each bucket: a key's first `bits` bits."""
+    out: dict[str, list] = {"chunk": [], "bucket": [], "keys": [], "counts": []}
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+    for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        out["chunk"].append(number)
+        out["bucket"].append(int(bucket[low]))
+        out["keys"].append(_steps(keys[low:high]))
+        out["counts"].append([_packed(c[low:high]) for c in counts])
+    return out
+
+
+def _table(columns: dict[str, list]) -> dict[str, pa.Array]:
+    kinds = {"chunk": pa.int64(), "bucket": pa.int32(), "owned": pa.int64(), "keys": pa.binary()}
+    return {name: pa.array(values, kinds.get(name, pa.list_(pa.binary()))) for name, values in columns.items()}
+
+
+def _told(asked: DataFrame) -> DataFrame:
+    """The totals of each row's keys over all chunks, and which of its keys it owns, in the first two counts.
+
+    A key is owned by one of the rows that have it with a count above 0.
+    """
 
-    return of
+    def total(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        keys = [_hashes(row["keys"]) for row in rows]
+        ends = np.cumsum([len(k) for k in keys])[:-1]
+        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        totals = []
+        for i in range(len(rows[0]["counts"])):
+            counts = np.concatenate([_unpacked(row["counts"][i]) for row in rows])
+            sums = np.zeros(len(distinct), np.int64)
+            np.add.at(sums, place, counts)
+            totals.append(np.split(sums[place], ends))
+            if i < 2:
+                has = np.flatnonzero(counts)
+                _, first = np.unique(place[has], return_index=True)
+                owned = np.zeros(len(place), np.int64)
+                owned[has[first]] = 1
+                totals.append(np.split(owned, ends))
+        columns = {
+            "chunk": [row["chunk"] for row in rows],
+            "bucket": [row["bucket"] for row in rows],
+            "owned": [int(o.sum()) for o in totals[1]],
+            "totals": [[_packed(x) for x in of_row] for of_row in zip(*totals, strict=True)],
+        }
+        return pa.table(_table(columns))
+
+    return asked.groupBy("bucket").applyInArrow(total, _TOLD)
+
+
+def _bits(entries: int, bucket: int) -> int:
+    return max(0, -(-entries // bucket) - 1).bit_length()
+
+
+def _totals(told: pa.Table, kind: int, n: int) -> list[np.ndarray]:
+    """What a chunk was told of its sorted keys, `n` columns of them."""
+    rows = sorted((r for r in told.to_pylist() if r["kind"] == kind), key=lambda r: r["bucket"])
+    return [np.concatenate([np.zeros(0, np.int64), *(_unpacked(r["totals"][i]) for r in rows)]) for i in range(n)]
+
+
+def _ask_bigrams(chunks: DataFrame, bits: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                for chunk in _rows(batch.slice(i, 1)):
+                    asked = _table(_asked(chunk.number, chunk.keys, [chunk.far, chunk.near], bits))
+                    yield pa.RecordBatch.from_pydict(asked)
 
+    return chunks.select(*_FIELDS).mapInArrow(run, _ASKED)
 
-def _least(pairs: DataFrame, most: int) -> int | None:
-    """The smallest count that at most `most` bigrams reach."""
-    least, n = None, 0
-    for row in pairs.groupBy("far_n").count().orderBy(F.desc("far_n")).toLocalIterator():
-        n += row["count"]
-        if n > most:
-            break
-        least = row.far_n
-    return least
 
+def _ask_words(chunks: DataFrame, bigrams: DataFrame, bits: int) -> DataFrame:
+    """Counts of each word of a chunk: as a word, as a context, and of the bigrams it begins that the chunk owns."""
 
-def _by_key(hot: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rows = hot.toArrow()
-    order = np.argsort(rows.column("key").to_numpy())
-    return tuple(rows.column(c).to_numpy()[order] for c in ("key", "near", "far"))
+    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: dict[str, list] = {"chunk": [], "bucket": [], "keys": [], "counts": []}
+        for chunk in _rows(left):
+            _, owned_far, _, owned_near = _totals(right, 0, 4)
 
+            def of(place: np.ndarray, n: np.ndarray, chunk: _Chunk = chunk) -> np.ndarray:
+                return np.bincount(place, weights=n, minlength=len(chunk.vocabulary)).astype(np.int64)
 
-def _where_in(pairs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(pairs):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), dtype=bool)
-    place = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
-    return place, pairs[place] == keys
+            counts = [
+                *(of(chunk.word, n) for n in (chunk.far, chunk.near)),
+                *(of(chunk.context, n) for n in (chunk.far, chunk.near, owned_far, owned_near)),
+            ]
+            for name, values in _asked(chunk.number, chunk.vocabulary, counts, bits).items():
+                found[name] += values
+        return pa.table(_table(found))
 
+    return chunks.select(*_FIELDS).groupBy("chunk").cogroup(bigrams.groupBy("chunk")).applyInArrow(ask, _ASKED)
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the rows of `docs` (id, text) whose id is in `ids` (id).
 
-    A fixed-size bitmap spares most other texts the shuffle; the join is exact.
-    """
-    wanted = ids.where("id is not null").select("id").distinct()
-    spots = wanted.select(F.xxhash64("id").alias("spot"))
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(spots, "spot", FILTER_BITS))
+def _losses(chunks: DataFrame, told: DataFrame, n_words: int, sizes: tuple[int, int]) -> DataFrame:
+    """(id, n, near, far) of each text: its words, and the sums of their losses in nats under either model."""
+    kind = chunks.schema["ids"].dataType.elementType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = member(shared.value, batch.column(2).to_numpy(zero_copy_only=False))
-            yield batch.select([0, 1]).filter(pa.array(hit))
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for i, chunk in enumerate(_rows(left)):
+            far_n, _, near_n, _ = _totals(right, 0, 4)
+            far_w, _, near_w, _, far_h, near_h, far_after, near_after = _totals(right, 1, 8)
+            sums = []
+            for n, w, h, after, size in ((near_n, near_w, near_h, near_after, sizes[1]), (far_n, far_w, far_h, far_after, sizes[0])):
+                single = (w[chunk.word] + 1) / float(size + n_words + 1)
+                context = h[chunk.context]
+                share = np.maximum(n - DISCOUNT, 0.0) / np.maximum(context, 1)
+                left_over = np.where(context > 0, DISCOUNT * after[chunk.context] / np.maximum(context, 1), 1.0)
+                loss = np.rint(-np.log(share + left_over * single) * STEPS) / STEPS
+                sums.append(np.bincount(chunk.text, weights=loss[chunk.place], minlength=len(chunk.sizes)).astype(float))
+            ids = left.column("ids").slice(i, 1).combine_chunks().flatten()
+            out.append(pa.table({"id": ids, "n": pa.array(chunk.sizes), "near": pa.array(sums[0]), "far": pa.array(sums[1])}))
+        return pa.concat_tables(out)
 
-    kind = docs.schema["id"].dataType.simpleString()
-    near = docs.select("id", "text", F.xxhash64("id").alias("spot")).mapInArrow(run, f"id {kind}, text string")
-    return near.join(wanted, "id", "left_semi")
+    both = chunks.select(*_FIELDS, "ids").groupBy("chunk").cogroup(told.groupBy("chunk"))
+    return both.applyInArrow(score, f"id {kind}, n long, near double, far double")
 
 
 def cross_entropy_difference(
@@ -182,7 +272,9 @@ def cross_entropy_difference(
     doc_id: str = "doc_id",
     text: str = "text",
     target_id: str = "doc_id",
-    hot: int = HOT,
+    hot: int | None = None,
+    chunk: int = CHUNK_WORDS,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) for each row of `docs`.
 
@@ -191,66 +283,29 @@ def cross_entropy_difference(
     target. Words are those of the shingles, A-Z lower-cased. A null, empty or blank text has
     n_tokens 0 and null losses. Without target documents the target model is uniform. Repeated rows
     count and are scored each; other columns are ignored; an empty table gives no rows. All words
-    and bigrams are in both models; `hot` bounds the bigrams that are broadcast.
+    and bigrams are in both models; `chunk` and `bucket` bound what a task holds. `hot` bounded the
+    bigrams that were broadcast; none are now, and results never depended on it.
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    target = only(rows, target_ids.select(F.col(target_id).alias("id")))
-    pairs = counts(rows, target)
-    losses, least = with_losses(pairs), _least(pairs, hot)
-    is_hot = F.col("far_n") >= least if least is not None else F.lit(False)
-    common = docs.sparkSession.sparkContext.broadcast(_by_key(losses(pairs.where(is_hot))))
-    kind = docs.schema[doc_id].dataType
-    sums = ["near", "far"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, *nats = common.value
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for first, last, block, offsets in rolling.blocks(batch.column(1)):
-                n_texts = last - first
-                key, _, of = _bigrams(block, offsets)
-                key = key.view(np.int64)
-                place, found = _where_in(known, key)
-                held, place = of[found], place[found]
-                ids = batch.column(0).slice(first, n_texts)
-                # One line for each text, then one for each of its bigrams that are not broadcast.
-                rest, owner = key[~found], of[~found]
-                order = np.lexsort((rest, owner))
-                rest, owner = rest[order], owner[order]
-                new = np.ones(len(rest), dtype=bool)
-                new[1:] = (rest[1:] != rest[:-1]) | (owner[1:] != owner[:-1])
-                at = np.flatnonzero(new)
-                times = np.diff(np.append(at, len(rest)))
-                blank = pa.nulls(len(at))
-                columns = [
-                    [pa.array(row + np.arange(n_texts)), pa.array(row + owner[at])],
-                    [ids, blank.cast(ids.type)],
-                    [pa.array(np.bincount(of, minlength=n_texts).astype(np.int64)), pa.array(times.astype(np.int64))],
-                    *(
-                        [pa.array(np.bincount(held, weights=x[place], minlength=n_texts).astype(float)), blank.cast(pa.float64())]
-                        for x in nats
-                    ),
-                    [pa.nulls(n_texts, pa.int64()), pa.array(rest[at])],
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays(c) for c in columns], names=["row", "id", "n", *sums, "key"]
-                )
-                row += n_texts
-
-    # Written, as a row's number holds for one run only.
-    parts = written(
-        rows.mapInArrow(run, f"row long, id {kind.simpleString()}, n long, near double, far double, key long"), "scored"
-    )
-    rest = parts.where("key is not null").select("row", "key", "n").join(losses(pairs.where(~is_hot)), "key")
-    lines = parts.where("key is null").select("row", "id", "n", *sums).unionByName(
-        rest.select(
-            "row", F.lit(None).cast(kind).alias("id"), F.lit(0).cast("long").alias("n"), *((F.col(c) * F.col("n")).alias(c) for c in sums)
-        )
-    )
-    scored = lines.groupBy("row").agg(F.first("id", True).alias("doc_id"), F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in sums))
-    near, far = (F.when(F.col("n") > 0, F.col(c) / F.col("n")) for c in sums)
+    wanted = target_ids.select(F.col(target_id).alias("id")).where("id is not null").distinct()
+    # One plan for a target of any size.
+    wanted = wanted.withColumn("near", F.lit(True)).hint("merge")
+    rows = rows.join(wanted, "id", "left").withColumn("near", F.coalesce("near", F.lit(False)))
+    # Written, as a chunk's number and its texts hold for one run only.
+    chunks = written(_chunks(rows, chunk), "chunks")
+    sums = chunks.agg(*(F.sum(c).alias(c) for c in ("n_words", "near_words", "n_vocabulary", "n_bigrams"))).first()
+    kind = F.lit(0).alias("kind")
+    bigrams = written(_told(_ask_bigrams(chunks, _bits(sums.n_bigrams or 0, bucket))).select("*", kind), "bigrams")
+    words = _told(_ask_words(chunks, bigrams, _bits(sums.n_vocabulary or 0, bucket)))
+    words = written(words.select("*", (kind + 1).alias("kind")), "words")
+    n_words = words.agg(F.sum("owned")).first()[0] or 0
+    scored = _losses(chunks, bigrams.unionByName(words), n_words, (sums.n_words or 0, sums.near_words or 0))
+    scored = written(scored, "scored")
+    for table in (chunks, bigrams, words):
+        discard(table)
+    near, far = (F.when(F.col("n") > 0, F.col(c) / F.col("n")) for c in ("near", "far"))
     return scored.select(
-        "doc_id",
+        F.col("id").alias("doc_id"),
         F.col("n").alias("n_tokens"),
         near.alias("target_loss"),
         far.alias("background_loss"),

@@ -65,6 +65,7 @@ def release(spark: SparkSession) -> None:
     """
     if time.monotonic() - _released[0] < RELEASE_SECONDS:
         return
+    spark.range(0).collect()  # Spark's listeners hold on to the last query, and so to its shuffles
     gc.collect()
     pa.default_memory_pool().release_unused()
     spark.sparkContext._jvm.System.gc()

@@ -6,6 +6,7 @@ import glob
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -13,10 +14,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reledger.llm import ann, decontamination, extraction, jaccard_join, language_id, lm_scoring, mixing, near_duplicates, sharding
+from reledger.llm import ann, decontamination, extraction, jaccard_join, language_id, lm_scoring, mixing, near_duplicates, sharding, storage
 from reledger.llm import suffix_dedup as suffixes
 from reledger.llm import url_filter
-from reledger.llm.storage import shared_dir
+from reledger.llm.storage import shared_dir, written
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, kind string, n int"
 
@@ -431,3 +432,29 @@ def test_nearest_of_every_query(spark):
         assert len(got) == len(set(got)) == 10 and query not in got
         hits += len(set(np.argsort(-score)[:10].tolist()) & set(got))
     assert hits / (10 * len(found)) >= 0.9
+
+
+def test_cross_entropy_packs_its_counts(spark, docs):
+    """Chunks and buckets of any size give the same rows, and no shuffle carries single bigrams."""
+    near = docs.where("doc_id >= 70 and doc_id < 76").select("doc_id")
+    whole, parts = (
+        sorted((tuple(r) for r in lm_scoring.cross_entropy_difference(docs, near, **o).collect()), key=repr)
+        for o in ({}, {"chunk": 100, "bucket": 64})
+    )
+    assert whole == parts and len(whole) == docs.count()
+    chunks = lm_scoring._chunks(docs.select(F.col("doc_id").alias("id"), "text", (F.col("doc_id") > 80).alias("near")), 1 << 19)
+    assert lm_scoring._ask_bigrams(chunks, 0).count() <= docs.rdd.getNumPartitions()
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64))
+    assert (lm_scoring._hashes(lm_scoring._steps(keys)) == keys).all()
+
+
+def test_written_leaves_no_shuffle(spark, monkeypatch):
+    """The shuffle files of a written table are gone before the next step needs disk."""
+    monkeypatch.setattr(storage, "_released", [0.0])
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    written(spark.range(1000).selectExpr("id % 7 as k").repartition(3, "k"), "trial")
+    deadline = time.monotonic() + 5
+    while time.monotonic() < deadline and tracker.shuffleStatuses().size() > before:
+        time.sleep(0.1)
+    assert tracker.shuffleStatuses().size() <= before

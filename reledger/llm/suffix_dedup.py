@@ -27,6 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -185,7 +186,7 @@ def _contexts(docs: DataFrame, places: DataFrame, width: int) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     return (
-        _with_spot(docs, places, True)
+        _with_spot(docs, _spots(docs, places))
         .join(places, "id")
         .select("id", "text", "places")
         .mapInArrow(run, f"id {kind}, at int, before int, bytes binary")
@@ -245,33 +246,44 @@ def _later_windows(contexts: DataFrame, width: int) -> DataFrame:
     return reduce(DataFrame.unionByName, spans)
 
 
-def _with_spot(docs: DataFrame, wanted: DataFrame, inside: bool) -> DataFrame:
-    """(id, text) of the rows whose id is in a bitmap of the wanted ids, or of the others.
+def _spots(docs: DataFrame, wanted: DataFrame) -> Broadcast:
+    """A bitmap of the wanted ids for every task.
 
-    The bitmap has 2**23 bits at any size: it only spares a shuffle of texts that are not needed,
+    It has 2**23 bits at any size: it only spares a shuffle of texts that are not needed,
     and lets some others pass.
     """
     spots = wanted.select(F.xxhash64("id").alias("spot"))
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(spots, "spot", FILTER_BITS))
+    return docs.sparkSession.sparkContext.broadcast(bitmap(spots, "spot", FILTER_BITS))
+
+
+def _in(spots: Broadcast, batch: pa.RecordBatch) -> np.ndarray:
+    """Whether the bitmap has the hash in a batch's last column."""
+    return member(spots.value, batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False))
+
+
+def _with_spot(docs: DataFrame, spots: Broadcast) -> DataFrame:
+    """(id, text) of the rows whose id is in a bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = member(shared.value, batch.column(2).to_numpy(zero_copy_only=False))
-            yield batch.select([0, 1]).filter(pa.array(hit == inside))
+            yield batch.select([0, 1]).filter(pa.array(_in(spots, batch)))
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "text", F.xxhash64("id").alias("spot")).mapInArrow(run, f"id {kind}, text binary")
 
 
-def _digest(docs: DataFrame, width: int, keep_text: bool) -> DataFrame:
+def _digest(docs: DataFrame, width: int, keep_text: bool, without: Broadcast | None = None) -> DataFrame:
     """One row per (id, text, around, spans) without the given places.
 
-    No place is known by a null id: what repeats within such a text is found here.
+    No place is known by a null id: what repeats within such a text is found here. Rows whose id
+    is in the bitmap `without` are left out, by the same Python worker, as each takes memory.
     """
     spread = width - DIGIT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if without is not None:
+                batch = batch.filter(pa.array(~_in(without, batch)))
             for start, stop, block, offsets in rolling.blocks(batch.column(1)):
                 rows = batch.slice(start, stop - start)
                 unnamed = rows.column(0).is_null().to_numpy(zero_copy_only=False)
@@ -319,7 +331,8 @@ def _digest(docs: DataFrame, width: int, keep_text: bool) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return docs.select("id", "text", "around", "spans").mapInArrow(run, schema)
+    spot = F.xxhash64("id").alias("spot")
+    return docs.select("id", "text", "around", "spans", *([spot] if without is not None else [])).mapInArrow(run, schema)
 
 
 def suffix_dedup(
@@ -372,9 +385,10 @@ def _deduplicated(rows: DataFrame, width: int, keep_text: bool) -> DataFrame:
     )
     for table in (repeats, within, later):
         discard(table)
-    alone = _with_spot(rows, spans, False).select(
+    alone = rows.select(
         "id", "text", F.lit(None).cast("array<int>").alias("around"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans")
     )
-    touched = _with_spot(rows, spans, True).join(spans.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
-    out = _digest(alone, width, keep_text).unionByName(_digest(touched, width, keep_text))
+    spots = _spots(rows, spans)
+    touched = _with_spot(rows, spots).join(spans.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
+    out = _digest(alone, width, keep_text, spots).unionByName(_digest(touched, width, keep_text))
     return out if keep_text else out.drop("kept")

@@ -448,6 +448,13 @@ def test_cross_entropy_packs_its_counts(spark, docs):
     assert (lm_scoring._hashes(lm_scoring._steps(keys)) == keys).all()
 
 
+def test_suffix_dedup_chains_no_python_workers(spark, docs):
+    """A task of the last step has one Python worker: a filter of its own took a second one's memory."""
+    plan = suffixes.suffix_dedup(docs.select("doc_id", "text"))._jdf.queryExecution().optimizedPlan().toString()
+    depth = [line.index("MapInArrow") for line in plan.splitlines() if "MapInArrow" in line]
+    assert len(depth) == 3, plan
+
+
 def test_written_leaves_no_shuffle(spark, monkeypatch):
     """The shuffle files of a written table are gone before the next step needs disk."""
     monkeypatch.setattr(storage, "_released", [0.0])

@@ -38,6 +38,7 @@ SMALL = 16
 #: Larger ones of several classes too, up to so many; beyond, all pairs cost more than changed bits.
 FEW = 512
 BLOCK_SHINGLES = 1 << 16
+PIECE_SHINGLES = 1 << 13
 
 
 def _signed(value: int) -> int:
@@ -57,33 +58,43 @@ def _flips(bits: list[int], count: int) -> list[int]:
     return [_signed(sum(1 << i for i in chosen)) for chosen in combinations(bits, count)]
 
 
-def _block(ids: list, texts: list[list[int]]) -> pa.RecordBatch:
+def _ones(flat: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """How many hashes of each text have each bit; `flat` holds `count` hashes a text, one after another."""
+    ones = np.zeros((len(count), BITS), dtype=np.int64)
+    owner = np.repeat(np.arange(len(count)), count)
+    # A hash becomes 64 bytes and more here, so only a piece is unpacked at once, however long a text.
+    for begin in range(0, len(flat), PIECE_SHINGLES):
+        piece, own = flat[begin : begin + PIECE_SHINGLES], owner[begin : begin + PIECE_SHINGLES]
+        bits = np.unpackbits(piece.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        ones[own[first]] += np.add.reduceat(bits, first, axis=0, dtype=np.int64)
+    return ones
+
+
+def _block(ids: pa.Array, texts: list[np.ndarray]) -> pa.RecordBatch:
     count = np.array([len(hashes) for hashes in texts], dtype=np.int64)
-    prints = np.zeros(len(texts), dtype=np.uint64)
-    some = count > 0
-    if some.any():
-        flat = np.array([h for hashes in texts for h in hashes], dtype="<u8")
-        bits = np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        first = (np.cumsum(count) - count)[some]
-        ones = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
-        most = (2 * ones > count[some][:, None]).astype(np.uint8)
-        prints[some] = np.packbits(most, axis=1, bitorder="little").view("<u8").ravel()
-    return pa.RecordBatch.from_arrays(
-        [pa.concat_arrays(ids), pa.array(prints.view(np.int64))], names=["doc_id", "print"]
-    )
+    most = (2 * _ones(np.concatenate(texts), count) > count[:, None]).astype(np.uint8)
+    prints = np.packbits(most, axis=1, bitorder="little").view("<u8").ravel()
+    return pa.RecordBatch.from_arrays([ids, pa.array(prints.view(np.int64))], names=["doc_id", "print"])
 
 
-def shingle_hashes(text: bytes) -> list[int]:
+def shingle_hashes(text: bytes) -> np.ndarray:
     """The unsigned XXH64 of each shingle of `SHINGLE_WORDS` words, in order, A-Z lower-cased."""
     words = text.lower().split()
     if not words:
-        return []
+        return np.zeros(0, dtype="<u8")
     plain = b" ".join(words)
-    end = np.cumsum([len(word) + 1 for word in words])
+    end = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
     k = min(SHINGLE_WORDS, len(words))
-    start = np.concatenate([[0], end[: len(words) - k]]).tolist()
+    del words
+    start = np.concatenate([[0], end[: len(end) - k]])
     digest = xxhash.xxh64_intdigest
-    return [digest(plain[a : b - 1], SEED) for a, b in zip(start, end[k - 1 :].tolist(), strict=True)]
+    hashes = np.empty(len(start), dtype="<u8")
+    for begin in range(0, len(start), PIECE_SHINGLES):
+        piece = slice(begin, begin + PIECE_SHINGLES)
+        ends = end[k - 1 :][piece].tolist()
+        hashes[piece] = [digest(plain[a : b - 1], SEED) for a, b in zip(start[piece].tolist(), ends, strict=True)]
+    return hashes
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -94,20 +105,15 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list = []
-        texts: list[list[int]] = []
-        size = 0
         for batch in batches:
-            column = batch.column(1).cast(pa.large_binary())
+            ids, column = batch.column(0), batch.column(1).cast(pa.large_binary())
+            begin, texts, size = 0, [], 0
             for i in range(batch.num_rows):
-                ids.append(batch.column(0).slice(i, 1))
                 texts.append(shingle_hashes(column[i].as_py() or b""))
                 size += len(texts[-1])
-                if size >= BLOCK_SHINGLES:
-                    yield _block(ids, texts)
-                    ids, texts, size = [], [], 0
-        if texts:
-            yield _block(ids, texts)
+                if size >= BLOCK_SHINGLES or i + 1 == batch.num_rows:
+                    yield _block(ids.slice(begin, len(texts)), texts)
+                    begin, texts, size = i + 1, [], 0
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(

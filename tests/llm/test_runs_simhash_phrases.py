@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -134,6 +136,24 @@ def test_simhash_components(spark):
     assert simhash_components(docs.where("false")).collect() == []
 
 
+def test_simhash_memory_of_long_texts(spark, monkeypatch):
+    """A worker unpacks the hashes of a long text piece by piece, and a block ends with its batch."""
+    docs = _frame(spark, [(1, "a", None)])
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda rows, run, kind: run)
+    run = simhash.fingerprints(docs)
+    words = [b"w%d" % (i * i % 7919) for i in range(250_000)]
+    batch = pa.record_batch([pa.array([1, 2, 3]), pa.array([b" ".join(words), None, b"B a"])], names=["doc_id", "text"])
+    tracemalloc.start()
+    found = [row for block in run(iter([batch, batch.slice(1), batch.slice(3)])) for row in block.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = np.array([xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), 42) for i in range(len(words) - 2)], dtype="<u8")
+    bit = lambda i: int(2 * int(((whole >> np.uint64(i)) & np.uint64(1)).sum()) > len(whole))
+    first, short = sum(bit(i) << i for i in range(64)), xxhash.xxh64_intdigest(b"b a", 42)
+    assert [(row["doc_id"], row["print"] % 2**64) for row in found] == [(1, first), (2, 0), (3, short), (2, 0), (3, short)]
+    assert peak < 80 * 2**20
+
+
 @pytest.mark.parametrize("radius", [1, 2, 3])
 def test_covering_masks(radius):
     masks = covering_masks(radius)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .storage import discard, written
@@ -14,18 +14,18 @@ def _minimum(edges: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
+    """Distinct edges with u > v: each larger neighbour of a node and the smallest one."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     return (
         both.join(_minimum(both), "u")
         .where("v > u")
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .where("u <> v")
         .distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+def _small_star(down: DataFrame) -> DataFrame:
+    """`down` holds distinct edges with u > v, as the large star leaves them."""
     minimum = _minimum(down)
     return (
         down.join(minimum, "u")
@@ -36,10 +36,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+def _written_edges(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges, written, and their number and hash, taken while they are written."""
+    state = Observation()
+    seen = edges.observe(
+        state,
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("hash"),
     )
+    return written(seen, "edges"), state.get
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -48,14 +53,14 @@ def components(edges: DataFrame) -> DataFrame:
     Loops, repeated and reversed edges are allowed; an edge with a null end is ignored; no edges
     give no rows. The number of rounds grows with the logarithm of the largest component.
     """
-    current = written(
-        edges.where("u is not null and v is not null and u <> v").select("u", "v").distinct(), "edges"
+    current, state = _written_edges(
+        edges.where("u is not null and v is not null and u <> v").select("u", "v").distinct()
     )
-    state = _state(current)
-    while state[0]:
-        before, current = current, written(_small_star(_large_star(current)), "edges")
+    while state["n"]:
+        before = current
+        current, then = _written_edges(_small_star(_large_star(current)))
         discard(before)
-        was, state = state, _state(current)
+        was, state = state, then
         if was == state:
             break
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

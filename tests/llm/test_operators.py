@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reledger.llm import ann, decontamination, extraction, jaccard_join, language_id, lm_scoring, mixing, near_duplicates, sharding, storage
+from reledger.llm import ann, components, decontamination, extraction, jaccard_join, language_id, lm_scoring, mixing, near_duplicates, sharding, storage
 from reledger.llm import suffix_dedup as suffixes
 from reledger.llm import url_filter
 from reledger.llm.storage import shared_dir, written
@@ -465,3 +465,35 @@ def test_written_leaves_no_shuffle(spark, monkeypatch):
     while time.monotonic() < deadline and tracker.shuffleStatuses().size() > before:
         time.sleep(0.1)
     assert tracker.shuffleStatuses().size() <= before
+
+
+def test_components_of_random_edges(spark):
+    rng = random.Random(8)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(500 + i, 501 + i) for i in range(40)]
+    edges += [(900, 900), (None, 3), (4, None), *((950, 951 + i) for i in range(30)), *edges[:9]]
+    least = {x: x for u, v in edges if None not in (u, v) and u != v for x in (u, v)}
+    for _ in least:
+        for u, v in edges:
+            if u in least and v in least:
+                least[u] = least[v] = min(least[u], least[v])
+    table = spark.createDataFrame(edges, "u long, v long").repartition(3)
+    assert sorted(map(tuple, components.components(table).collect())) == sorted(least.items())
+    assert components.components(table.where("u < 0")).collect() == []
+    assert components.components(table.where("u = v")).collect() == []
+    assert components.components(table.where("false")).collect() == []
+
+
+def test_components_rounds_are_small(spark, monkeypatch):
+    """A round is one written plan without repeated sums: plans and their threads fill the driver."""
+    plans, rows = [], spark.range(64).selectExpr("id as u", "id + 1 as v")
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(components, "written", kept)
+    asked = []
+    monkeypatch.setattr(type(rows), "first", lambda df: asked.append(df) or df.take(1)[0])
+    assert components.components(rows).where("component = 0").count() == 65
+    assert len(plans) > 2 and not asked
+    assert max(plan.count("HashAggregate") for plan in plans) <= 14

@@ -25,12 +25,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(down: DataFrame) -> DataFrame:
-    """`down` holds distinct edges with u > v, as the large star leaves them."""
-    minimum = _minimum(down)
+    """`down` holds distinct edges with u > v, as the large star leaves them.
+
+    The join alone has both ends of what remains, so that the large star below is planned, shuffled
+    and broadcast once: a second use of the minimum would be planned differently and run anew.
+    """
     return (
-        down.join(minimum, "u")
-        .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .unionByName(minimum.select("u", F.col("m").alias("v")))
+        down.join(_minimum(down), "u")
+        .select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         .where("u <> v")
         .distinct()
     )

@@ -497,3 +497,10 @@ def test_components_rounds_are_small(spark, monkeypatch):
     assert components.components(rows).where("component = 0").count() == 65
     assert len(plans) > 2 and not asked
     assert max(plan.count("HashAggregate") for plan in plans) <= 14
+
+
+def test_components_plan_the_large_star_twice_at_most(spark):
+    """As rows and for their minimum: every further use was planned differently and so ran anew."""
+    edges = spark.range(64).selectExpr("id + 1 as u", "id as v")
+    plan = components._small_star(components._large_star(edges))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") <= 3

@@ -12,7 +12,7 @@ from reledger.fixed_values import CAMPAIGN_DAILY_REPORT
 from reledger.functions.calendar import REPORT_MONTH, report_month
 from reledger.sources.footers import footers, stamped, writer_note
 from reledger.sources.networks import Network
-from reledger.storage import Files
+from reledger.storage import Files, shuffles_freed
 
 LANDING_KEYS = ("source", "report", "extracted_at")
 
@@ -99,16 +99,17 @@ def write_reports(reports: DataFrame, landing: str, source: str, *, append: bool
     Days present in `reports` replace what was published for them unless `append` is set. The
     rows of a day are gathered into objects of the advisory size.
     """
-    (
-        stamped(reports, OBJECT_OPTIONS)
-        .withColumn("source", F.lit(source))
-        .withColumn("report", F.lit(CAMPAIGN_DAILY_REPORT))
-        .hint("rebalance", "extracted_at")
-        .write.mode("append" if append else "overwrite")
-        .options(**LANDING_OPTIONS)
-        .partitionBy(*LANDING_KEYS)
-        .parquet(landing)
-    )
+    with shuffles_freed(reports.sparkSession):
+        (
+            stamped(reports, OBJECT_OPTIONS)
+            .withColumn("source", F.lit(source))
+            .withColumn("report", F.lit(CAMPAIGN_DAILY_REPORT))
+            .hint("rebalance", "extracted_at")
+            .write.mode("append" if append else "overwrite")
+            .options(**LANDING_OPTIONS)
+            .partitionBy(*LANDING_KEYS)
+            .parquet(landing)
+        )
 
 
 def write_object(rows: DataFrame, landing: str, source: str, day: date | str, name: str) -> str:
@@ -117,7 +118,8 @@ def write_object(rows: DataFrame, landing: str, source: str, day: date | str, na
     The object is a directory of part files, so its size is not bound to one task.
     """
     path = f"{extraction_prefix(landing, source, day)}/{name}.parquet"
-    stamped(rows, OBJECT_OPTIONS).write.mode("overwrite").options(**OBJECT_OPTIONS).parquet(path)
+    with shuffles_freed(rows.sparkSession):
+        stamped(rows, OBJECT_OPTIONS).write.mode("overwrite").options(**OBJECT_OPTIONS).parquet(path)
     return path
 
 

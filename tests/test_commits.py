@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import time
 from datetime import date
 
 import pytest
@@ -14,6 +15,7 @@ from reledger.lake import GOLD, GOOGLE_RAW, META_RAW, SILVER, Lake
 from reledger.plans.publish import publish, reload_extraction, reload_extractions, restate_days
 from reledger.sources.landing import extraction_days, write_reports
 from reledger.sources.synthetic import campaign_days, meta_reports, published_next_day
+from reledger.storage import FREE_SHUFFLES
 from tests.conftest import DAYS, RESTATED
 
 
@@ -105,3 +107,32 @@ def test_a_failed_write_leaves_no_folder(landed):
         landed.replace_partitions(META_RAW, broken, landed.partitions(META_RAW))
     assert len(glob.glob(f"{landed.location(META_RAW)}/_loads/*")) == 1
     assert landed.table(META_RAW).count() == 10
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def test_loads_leave_no_shuffle_files(landed, monkeypatch):
+    """The disk of the executors holds the shuffles of one load, not those of the whole flow."""
+    spark, commit, left = landed.spark, Lake._commit, []
+
+    def looked(lake, table, placed, dropped):
+        until = time.monotonic() + 5  # they are deleted in the background
+        while (found := shuffle_files(spark) - before) and time.monotonic() < until:
+            time.sleep(0.1)
+        left.append(len(found))
+        commit(lake, table, placed, dropped)
+
+    before = shuffle_files(spark)
+    monkeypatch.setattr(Lake, "_commit", looked)
+    reload_extractions(landed, GOOGLE_ADS, DAYS)
+    publish(landed)
+    restate_days(landed, GOOGLE_ADS, [RESTATED])
+    assert left == [0] * 6 and spark.conf.get(FREE_SHUFFLES, None) is None
+    broken = landed.table(GOLD).withColumn("clicks", F.raise_error(F.lit("broken")).cast("bigint"))
+    with pytest.raises(Exception, match="broken"):
+        landed.replace_partitions(GOLD, broken, [])
+    assert spark.conf.get(FREE_SHUFFLES, None) is None
+    assert landed.table(GOLD).count() == 30

@@ -7,7 +7,7 @@ and a replay changes nothing. For the same reason no file is ever skipped as alr
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -34,6 +34,9 @@ BUSINESS_KEY = ("source", "account_id", "report_date", "campaign_id", "product_i
 WINDOW_KEY = (REPORT_MONTH, *BUSINESS_KEY)
 # After the version come the columns that make the order total.
 NEWEST_FIRST = ("_extracted_at", "_ingested_at", "_object", *COMPONENTS)
+# Stored rows that one job of a publication takes; its shuffles are about ten times as large.
+SLICE_BYTES_PER_CORE = 64 << 20
+
 
 @dataclass(frozen=True)
 class Reload:
@@ -104,27 +107,44 @@ def silver_rows(lake: Lake, months: list[int] | None = None) -> DataFrame:
     return latest_version(conformed)
 
 
+def month_slices(lake: Lake, tables: Sequence[Table], months: list[int]) -> list[list[int]]:
+    """Months in runs that one job can publish: small ones together, none cut.
+
+    A job keeps its shuffles on disk until it ends, so all months at once would take several
+    times the table. A run holds at most so much of the stored tables as keeps every core busy.
+    """
+    limit = SLICE_BYTES_PER_CORE * lake.spark.sparkContext.defaultParallelism
+    if len(months) < 2 or sum(lake.stored_bytes(one, months) for one in tables) <= limit:
+        return [months]
+    half = len(months) // 2
+    return [
+        run
+        for part in (months[:half], months[half:])
+        for run in month_slices(lake, tables, part)
+    ]
+
+
 def build_silver(lake: Lake, months: list[int] | None = None) -> list[int]:
     """Rebuild Silver for the given months, or for all; return the months in scope."""
+    stored = [network.bronze for network in networks().values()]
     if months is None:
-        held = {month for network in networks().values() for month in lake.months(network.bronze)}
+        held = {month for table in stored for month in lake.months(table)}
         months = sorted(held | set(lake.months(SILVER)))
-        rows = silver_rows(lake)
-    else:
-        rows = silver_rows(lake, months)
-    _replace_months(lake, SILVER, rows, months)
+    slices = month_slices(lake, stored, months)
+    _replace_months(lake, SILVER, (silver_rows(lake, some) for some in slices), months)
     return months
 
 
 def build_gold(lake: Lake, months: list[int] | None = None) -> list[int]:
-    """Rebuild Gold for the given months, or for those in Silver, all in one job.
+    """Rebuild Gold for the given months, or for those in Silver.
 
     Months outside the scope keep whatever they hold.
     """
     if months is None:
         months = lake.months(SILVER)
-    rows = campaign_daily(in_months(lake.table(SILVER), months))
-    _replace_months(lake, GOLD, rows, months)
+    slices = month_slices(lake, [SILVER], months)
+    silver = (in_months(lake.table(SILVER), some) for some in slices)
+    _replace_months(lake, GOLD, map(campaign_daily, silver), months)
     return months
 
 
@@ -157,7 +177,9 @@ def load_baseline(lake: Lake) -> None:
     lake.append(BASELINE, baseline_rows(numbers))
 
 
-def _replace_months(lake: Lake, table: Table, rows: DataFrame, months: list[int]) -> None:
+def _replace_months(
+    lake: Lake, table: Table, rows: Iterable[DataFrame], months: list[int]
+) -> None:
     wanted = set(months)
     scope = [spec for spec in lake.partitions(table) if int(spec[REPORT_MONTH]) in wanted]
     replaced = lake.replace_partitions(table, rows, scope)

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import reledger.lake
+import reledger.plans.publish
 from reledger.fixed_values import GOOGLE_ADS, META_ADS
 from reledger.lake import GOLD, GOOGLE_RAW, META_RAW, SILVER, Lake
 from reledger.plans.publish import publish, reload_extraction, reload_extractions, restate_days
@@ -136,3 +137,48 @@ def test_loads_leave_no_shuffle_files(landed, monkeypatch):
         landed.replace_partitions(GOLD, broken, [])
     assert spark.conf.get(FREE_SHUFFLES, None) is None
     assert landed.table(GOLD).count() == 30
+
+
+def by_month(lake, table):
+    counts = lake.table(table).groupBy("report_month").agg(F.count(F.lit(1)), F.sum("clicks"))
+    return sorted(map(tuple, counts.collect()))
+
+
+def test_a_large_publication_is_written_in_slices_of_months(empty_lake, monkeypatch):
+    """Only the shuffles of one slice are on disk at a time; all slices are one commit."""
+    spark = empty_lake.spark
+    reports = meta_reports(campaign_days(spark, first_day=date(2026, 1, 1), days=150))
+    write_reports(published_next_day(reports, "date_start"), empty_lake.landing, META_ADS)
+    days = extraction_days(spark, empty_lake.landing, META_ADS)
+    restate_days(empty_lake, META_ADS, days)
+    whole = [by_month(empty_lake, table) for table in (SILVER, GOLD)]
+    assert [row[1] for row in whole[0]] == [310, 280, 310, 300, 300]
+
+    write, wrote = Lake._write, []
+
+    def counted(lake, table, rows, folder):
+        wrote.append((table.name, write(lake, table, rows, folder)))
+        return wrote[-1][1]
+
+    monkeypatch.setattr(Lake, "_write", counted)
+    months = [202601, 202602, 202603, 202604, 202605]
+    size = empty_lake.stored_bytes(META_RAW, months)
+    assert size == sum(empty_lake.stored_bytes(META_RAW, [month]) for month in months) > 0
+    monkeypatch.setattr(reledger.plans.publish, "SLICE_BYTES_PER_CORE", 1)
+    assert publish(empty_lake) == months
+    slices = [310, 280, 310, 300, 300]
+    assert wrote == [(table.name, rows) for table in (SILVER, GOLD) for rows in slices]
+    assert [by_month(empty_lake, table) for table in (SILVER, GOLD)] == whole
+    assert empty_lake.remove_abandoned(SILVER) == [] and len(commits(empty_lake, SILVER)) == 2
+
+    def second_fails(lake, table, rows, folder):
+        if any(name == table.name for name, _ in wrote):
+            raise RuntimeError("the second slice failed")
+        return counted(lake, table, rows, folder)
+
+    wrote.clear()
+    monkeypatch.setattr(Lake, "_write", second_fails)
+    with pytest.raises(RuntimeError, match="second slice"):
+        publish(empty_lake)
+    assert len(wrote) == 1 and empty_lake.remove_abandoned(SILVER) == []
+    assert [by_month(empty_lake, table) for table in (SILVER, GOLD)] == whole
